@@ -96,9 +96,8 @@ def stage_detail(runs: DataFrame, logs: DataFrame, limit: int = STAGE_LOG_LIMIT)
         .agg(F.array_sort(F.collect_list(line)).alias("logs"))
     )
     lines = F.transform("logs", lambda item: item.dropFields("__position"))
-    empty = F.array().cast("array<struct<log_time:timestamp,level:string,message:string>>")
     joined = _stages(runs).join(collected, ["pipeline_id", "stage"], "left")
-    return joined.withColumn("logs", F.coalesce(lines, empty.cast(joined.select(lines).schema[0].dataType)))
+    return joined.withColumn("logs", F.coalesce(lines, F.array().cast(joined.select(lines).schema[0].dataType)))
 
 
 def logs_of_run(

@@ -63,4 +63,4 @@ class StagingArea:
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of a frame; it is the file size for a plain scan."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
