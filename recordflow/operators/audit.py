@@ -74,11 +74,16 @@ def status_breakdown(runs: DataFrame) -> DataFrame:
 
 
 def stage_log_lines(runs: DataFrame, logs: DataFrame) -> DataFrame:
-    """One row per stage and log line of that stage; a stage without log lines has one row."""
-    stages = _stages(runs).alias("s")
-    lines = logs.select("pipeline_id", "stage", "log_id", "log_time", "level", "message").alias("g")
-    match = (F.col("s.pipeline_id") == F.col("g.pipeline_id")) & (F.col("s.stage") == F.col("g.stage"))
-    return stages.join(lines, match, "left").select("s.*", "g.log_id", "g.log_time", "g.level", "g.message")
+    """One row per stage and log line of that stage; a stage without log lines has one row.
+
+    An inner join and the stages without a match, rather than an outer join, because a run with
+    very many log lines can be split over tasks only in an inner join.
+    """
+    stages = _stages(runs)
+    key = ["pipeline_id", "stage"]
+    lines = logs.select(*key, "log_id", "log_time", "level", "message")
+    silent = stages.join(logs.select(*key).distinct(), key, "left_anti")
+    return stages.join(lines, key).unionByName(silent, allowMissingColumns=True)
 
 
 def stage_detail(runs: DataFrame, logs: DataFrame, limit: int = STAGE_LOG_LIMIT) -> DataFrame:

@@ -20,6 +20,8 @@ log = logging.getLogger(__name__)
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # Below this size a table cannot hold a group that is too large for one task.
 SKEW_CHECK_BYTES = 8 * 1024**3
+# A key with more rows than this is hot: its rows should not meet in one task.
+HOT_ROWS = 20_000_000
 # More pivot columns than this are refused, as Spark does.
 MAX_PIVOT_VALUES = 10_000
 JOIN_TYPES = ("inner", "left", "right", "full", "semi", "anti")
@@ -56,11 +58,17 @@ def deduplicate(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
     return df.withColumn("__position", position).filter("__position = 1").drop("__position")
 
 
-def join(left: DataFrame, right: DataFrame, params: Mapping[str, Any]) -> DataFrame:
+def join(
+    left: DataFrame, right: DataFrame, params: Mapping[str, Any], look_for_skew: bool = False
+) -> DataFrame:
     """Equality join on ``on``, with an optional further ``condition`` over the aliases l and r.
 
     ``on`` items are a shared name or ``{"left": name, "right": name}``. A shared key appears
     once; another right-hand column whose name the left side has gets the suffix ``_right``.
+
+    Adaptive execution splits a hot key of either side of an inner join, but in an outer join
+    only on the side that is kept. With ``look_for_skew`` a large other side is checked for hot
+    keys first, and an outer join over one is put together from an inner and an anti join.
     """
     how = params.get("how", "inner")
     if how not in JOIN_TYPES:
@@ -73,26 +81,85 @@ def join(left: DataFrame, right: DataFrame, params: Mapping[str, Any]) -> DataFr
     known_columns(left, [name for name, _ in pairs], "join, left side")
     known_columns(right, [name for _, name in pairs], "join, right side")
 
-    condition = params.get("condition")
-    left, right = left.alias("l"), right.alias("r")
-    matches = [_qualified("l", a) == _qualified("r", b) for a, b in pairs]
-    if condition:
-        matches.append(F.expr(condition))
-    match = reduce(lambda a, b: a & b, matches)
+    sides = _Sides(left, right, pairs, params.get("condition"))
     if how in ("semi", "anti"):
-        if not condition:
-            # Only the existence of a key matters: one row per key is all that has to move.
-            right = right.select(*dict.fromkeys(name for _, name in pairs)).distinct().alias("r")
-        return left.join(_maybe_broadcast(right, params), match, f"left_{how}")
-
-    shared = {a.lower() for a, b in pairs if a.lower() == b.lower()}
-    output = _join_output(left, right, how, shared)
-    if how == "full" and max(estimated_bytes(left), estimated_bytes(right)) > params.get("skewBytes", SKEW_CHECK_BYTES):
-        # Spark splits a hot key in a left outer and in an anti join, but not in a full outer one.
-        matched = left.join(right, match, "left").select(*output)
-        unmatched = right.join(left, match, "left_anti")
-        return matched.unionByName(_pad_left(unmatched, left, right, shared))
-    return left.join(_maybe_broadcast(right, params), match, how).select(*output)
+        return left.alias("l").join(_maybe_broadcast(sides.right_keys(), params), sides.match(), f"left_{how}")
+    if look_for_skew and sides.has_hot_key(how, params):
+        return sides.outer_by_parts(how)
+    joined = left.alias("l").join(_maybe_broadcast(right.alias("r"), params), sides.match(), how)
+    return joined.select(*sides.output(how))
+
+
+class _Sides:
+    """The two sides of a join under the aliases l and r, and the shape of its result."""
+
+    def __init__(self, left, right, pairs, condition):
+        self.left, self.right, self.pairs, self.condition = left, right, pairs, condition
+        self.shared = {a.lower() for a, b in pairs if a.lower() == b.lower()}
+
+    def match(self) -> Column:
+        parts = [_qualified("l", a) == _qualified("r", b) for a, b in self.pairs]
+        if self.condition:
+            parts.append(F.expr(self.condition))
+        return reduce(lambda a, b: a & b, parts)
+
+    def left_keys(self) -> DataFrame:
+        return self._keys_of(self.left, [a for a, _ in self.pairs]).alias("l")
+
+    def right_keys(self) -> DataFrame:
+        return self._keys_of(self.right, [b for _, b in self.pairs]).alias("r")
+
+    def _keys_of(self, df: DataFrame, names: list[str]) -> DataFrame:
+        """What a semi or anti join needs of a side: without a condition, one row per key."""
+        return df if self.condition else df.select(*dict.fromkeys(names)).distinct()
+
+    def has_hot_key(self, how: str, params: Mapping[str, Any]) -> bool:
+        """Whether a side that Spark cannot split in this outer join has a hot key."""
+        checked = []
+        if how in ("left", "full"):
+            checked.append((self.right, [b for _, b in self.pairs]))
+        if how in ("right", "full"):
+            checked.append((self.left, [a for a, _ in self.pairs]))
+        for df, names in checked:
+            if estimated_bytes(df) > params.get("skewBytes", SKEW_CHECK_BYTES):
+                counts = df.dropna(subset=names).groupBy(*[column_of(df, name) for name in names]).count()
+                if counts.filter(F.col("count") > params.get("hotRows", HOT_ROWS)).head(1):
+                    return True
+        return False
+
+    def outer_by_parts(self, how: str) -> DataFrame:
+        left, right = self.left.alias("l"), self.right.alias("r")
+        result = left.join(right, self.match(), "inner").select(*self.output("inner"))
+        if how in ("left", "full"):
+            alone = left.join(self.right_keys(), self.match(), "left_anti")
+            result = result.unionByName(alone.select(*self.output("left", without="r")))
+        if how in ("right", "full"):
+            alone = right.join(self.left_keys(), self.match(), "left_anti")
+            result = result.unionByName(alone.select(*self.output("right", without="l")))
+        return result
+
+    def output(self, how: str, without: str | None = None) -> list[Column]:
+        """The result columns; those of the side named by ``without`` are NULL."""
+        right_names = {name.lower(): name for name in self.right.columns}
+        left_names = {name.lower() for name in self.left.columns}
+        output = []
+        for field in self.left.schema:
+            column = _qualified("l", field.name)
+            if field.name.lower() in self.shared:
+                other = _qualified("r", right_names[field.name.lower()])
+                if how == "right":
+                    column = other
+                elif how == "full":
+                    column = F.coalesce(column, other)
+            elif without == "l":
+                column = F.lit(None).cast(field.dataType)
+            output.append(column.alias(field.name))
+        for field in self.right.schema:
+            if field.name.lower() not in self.shared:
+                column = F.lit(None).cast(field.dataType) if without == "r" else _qualified("r", field.name)
+                clash = field.name.lower() in left_names
+                output.append(column.alias(f"{field.name}_right" if clash else field.name))
+        return output
 
 
 def union(frames: Sequence[DataFrame], params: Mapping[str, Any]) -> DataFrame:
@@ -169,35 +236,3 @@ def _maybe_broadcast(right: DataFrame, params: Mapping[str, Any]) -> DataFrame:
         log.warning("broadcast hint ignored: the side is estimated at %d bytes, the limit is %d", size, limit)
         return right
     return F.broadcast(right)
-
-
-def _join_output(left: DataFrame, right: DataFrame, how: str, shared: set[str]) -> list[Column]:
-    left_names = {name.lower() for name in left.columns}
-    output = []
-    for name in left.columns:
-        column = _qualified("l", name)
-        if name.lower() in shared and how == "right":
-            column = _qualified("r", name)
-        elif name.lower() in shared and how == "full":
-            column = F.coalesce(column, _qualified("r", name))
-        output.append(column.alias(name))
-    for name in right.columns:
-        if name.lower() not in shared:
-            output.append(_qualified("r", name).alias(f"{name}_right" if name.lower() in left_names else name))
-    return output
-
-
-def _pad_left(unmatched, left, right, shared) -> DataFrame:
-    """Unmatched right rows in the shape of the join result."""
-    left_names = {name.lower() for name in left.columns}
-    right_names = {name.lower(): name for name in right.columns}
-    columns = []
-    for field in left.schema:
-        if field.name.lower() in shared:
-            columns.append(_qualified("r", right_names[field.name.lower()]).alias(field.name))
-        else:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
-    for name in right.columns:
-        if name.lower() not in shared:
-            columns.append(_qualified("r", name).alias(f"{name}_right" if name.lower() in left_names else name))
-    return unmatched.select(*columns)

@@ -20,7 +20,10 @@ def apply_step(
     run_time=None,
     area: StagingArea | None = None,
 ) -> DataFrame:
-    """The output frame of any step but ``validate_fields``, which has two."""
+    """The output frame of any step but ``validate_fields``, which has two.
+
+    Without a staging area the frame is only planned: no job looks for hot keys.
+    """
     first, params = inputs[0], step.params
     builders = {
         "add_fields": lambda: projections.add_fields(first, params, fields, run_time),
@@ -29,7 +32,7 @@ def apply_step(
         "select_columns": lambda: projections.select_columns(first, params),
         "filter": lambda: projections.filter_rows(first, params),
         "deduplicate": lambda: relational.deduplicate(first, params),
-        "join": lambda: relational.join(first, inputs[1], params),
+        "join": lambda: relational.join(first, inputs[1], params, look_for_skew=area is not None),
         "union": lambda: relational.union(inputs, params),
         "aggregate": lambda: relational.aggregate(first, params),
         "pivot": lambda: relational.pivot(first, params),

@@ -18,12 +18,10 @@ from pyspark.sql import functions as F
 
 from recordflow.errors import SpecError
 from recordflow.functions.columns import column_of, known_columns
-from recordflow.operators.relational import SKEW_CHECK_BYTES, order_columns, sort_keys
+from recordflow.operators.relational import HOT_ROWS, SKEW_CHECK_BYTES, order_columns, sort_keys
 from recordflow.plans.staging import StagingArea, estimated_bytes
 
 WINDOW_FUNCTIONS = ("row_number", "rank", "dense_rank", "lag", "lead")
-# A key with more rows than this is spread over several tasks.
-HOT_ROWS = 20_000_000
 # Hot keys are matched by a broadcast table of at most this many rows. Keys beyond it have fewer
 # rows than each of these and keep the plain window.
 MAX_HOT_KEYS = 10_000

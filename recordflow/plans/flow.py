@@ -138,6 +138,9 @@ class CompiledFlow:
         self.run_time = run_time or datetime.datetime.now(datetime.timezone.utc)
         self.inputs = dict(inputs or {})
         self.plan = FlowPlan(self.flow)
+        # Kept between the check and the execution of a run, so that neither schema inference nor
+        # the lookup of pivot values is done twice.
+        self._source_frames: dict[int, DataFrame] = {}
         self._pivot_values: dict[int, list] = {}
 
     @property
@@ -156,8 +159,10 @@ class CompiledFlow:
 
         Raises FlowFailed, which carries the report, when the run stops.
         """
-        report = RunReport.start(run_id or f"direct_{uuid.uuid4().hex}", self.flow, self.spec_version, self.run_time)
+        report = RunReport.start(run_id or f"direct_{uuid.uuid4().hex}", self.flow, self.spec_version)
         area = StagingArea(self.spark, report.pipeline_id)
+        self._source_frames.clear()
+        self._pivot_values.clear()
         try:
             self.check()
             _Run(self, area, report).execute()
@@ -180,7 +185,9 @@ class CompiledFlow:
         if node.kind == "source":
             if node.name in self.inputs:
                 return self.inputs[node.name]
-            return read_source(self.spark, node.source)
+            if node.position not in self._source_frames:
+                self._source_frames[node.position] = read_source(self.spark, node.source)
+            return self._source_frames[node.position]
         if node.kind == "annotated":
             params = node.step.params
             return annotate(

@@ -39,8 +39,8 @@ class RunReport:
     gates: list[Gate] = field(default_factory=list)
 
     @staticmethod
-    def start(pipeline_id: str, flow: Dataflow, version: str, now: datetime.datetime) -> RunReport:
-        return RunReport(pipeline_id, flow.name, version, now)
+    def start(pipeline_id: str, flow: Dataflow, version: str) -> RunReport:
+        return RunReport(pipeline_id, flow.name, version, _now())
 
     def finish(self, status: str, error: str | None = None) -> None:
         self.status, self.error_message, self.end_time = status, error, _now()

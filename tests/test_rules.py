@@ -1,0 +1,197 @@
+import datetime
+import decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from recordflow import RuleRegistry, SpecError
+from recordflow.operators.validate import DETAILS, ERRORS, annotate, split
+from tests.conftest import rows
+
+SCHEMA = (
+    "id int, text string, whole bigint, small int, real double, exact decimal(10,2), day date, at timestamp, flag boolean"
+)
+NULLS = (9, None, None, None, None, None, None, None, None)
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    day, at = datetime.date, datetime.datetime
+    return spark.createDataFrame(
+        [
+            (1, "abc", 5, 5, 1.5, decimal.Decimal("1.50"), day(2024, 1, 1), at(2024, 1, 1, 12), True),
+            (2, "  ", 18, 18, 18.0, decimal.Decimal("18.00"), day(2024, 6, 1), at(2024, 6, 1, 12), False),
+            (3, "100.5", 100, 100, 100.0, decimal.Decimal("100.00"), day(2025, 1, 1), at(2025, 1, 1, 12), True),
+            (4, "", 2**53 + 1, 101, float("nan"), decimal.Decimal("100.01"), day(2025, 6, 1), at(2025, 6, 1, 12), True),
+            NULLS,
+        ],
+        SCHEMA,
+    )
+
+
+def failing(data, field, rule, **params):
+    """Ids of the rows that one rule rejects."""
+    rule = {"type": rule, "params": params} if params else rule
+    rejected = split(data, [{"field": field, "validations": [rule]}]).rejected
+    return [row["id"] for row in rejected.orderBy("id").collect()]
+
+
+@pytest.mark.parametrize(
+    "field, rule, params, expected",
+    [
+        ("text", "notNull", {}, [9]),
+        ("text", "notEmpty", {}, [2, 4, 9]),
+        ("small", "notEmpty", {}, [9]),
+        ("text", "isNumeric", {}, [1, 2, 4]),
+        ("whole", "isNumeric", {}, []),
+        ("day", "isNumeric", {}, [1, 2, 3, 4]),
+        ("small", "rangeCheck", {"min": 18, "max": 100}, [1, 4]),
+        ("small", "rangeCheck", {"min": 18}, [1]),
+        ("small", "rangeCheck", {"max": 100.5}, [4]),
+        ("small", "rangeCheck", {"min": 4.5, "max": 10**30}, []),
+        ("text", "rangeCheck", {"max": 100}, [3]),
+        ("whole", "rangeCheck", {"max": 2**53}, [4]),
+        ("exact", "rangeCheck", {"max": 100}, [4]),
+        ("real", "rangeCheck", {"min": 2}, [1]),
+        ("day", "rangeCheck", {"min": "2024-06-01", "max": "2025-01-01"}, [1, 4]),
+        ("at", "rangeCheck", {"max": "2024-06-01 12:00:00"}, [3, 4]),
+        ("text", "regex", {"pattern": "[0-9]"}, [1, 2, 4]),
+        ("small", "regex", {"pattern": "^1"}, [1]),
+        ("text", "length", {"min": 1, "max": 3}, [3, 4]),
+        ("text", "length", {"max": 2.5}, [1, 3]),
+        ("text", "inList", {"values": ["abc", ""]}, [2, 3]),
+        ("text", "inList", {"values": []}, [1, 2, 3, 4]),
+        ("text", "inList", {"values": ["abc", None]}, []),
+        ("small", "inList", {"values": ["18", "x", 100.0, 5.5]}, [1, 4]),
+        ("flag", "inList", {"values": ["true"]}, [2]),
+        ("day", "inList", {"values": ["2024-01-01", "no date"]}, [2, 3, 4]),
+        ("whole", "custom", {"expression": "{field} % 2 = 1"}, [2, 3]),
+        ("text", "custom", {"expression": "{field} = 'abc' OR small > 50"}, [2]),
+    ],
+)
+def test_rule(data, field, rule, params, expected):
+    assert failing(data, field, rule, **params) == expected
+
+
+def test_email(spark):
+    mails = ["a.b+c@x-y.org", "a@b", "a b@c.de", "@c.de", "", None]
+    data = spark.createDataFrame(list(enumerate(mails)), "id int, mail string")
+    assert failing(data, "mail", "email") == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize(
+    "rule, params, message",
+    [
+        ("notNull", {}, "text cannot be null"),
+        ("notEmpty", {}, "text cannot be empty"),
+        ("isNumeric", {}, "text must be numeric"),
+        ("rangeCheck", {"min": 200}, "text must be between 200 and inf"),
+        ("regex", {"pattern": "^$"}, "text does not match required pattern"),
+        ("email", {}, "text must be valid email"),
+        ("length", {"min": 9}, "text length must be between 9 and inf"),
+        ("inList", {"values": ["z"]}, "text must be one of ['z']"),
+        ("custom", {"expression": "false"}, "text failed custom validation"),
+    ],
+)
+def test_default_messages(data, rule, params, message):
+    rejected = split(data, [{"field": "text", "validations": [{"type": rule, "params": params}]}]).rejected
+    assert {row[ERRORS]["text"] for row in rejected.collect()} == {message}
+
+
+def test_message_precedence(data):
+    """The field's message wins over the rule's, which wins over the default."""
+    rule = {"type": "notNull", "params": {"error_message": "from rule"}}
+    for entry, expected in (
+        ({"field": "text", "validations": [rule], "error_message": "from field"}, "from field"),
+        ({"field": "text", "validations": [rule]}, "from rule"),
+        ({"field": "text", "validations": ["notNull"]}, "text cannot be null"),
+    ):
+        assert [row[ERRORS]["text"] for row in split(data, [entry]).rejected.collect()] == [expected]
+
+
+def test_bare_rule_takes_parameters_from_the_field_entry(data):
+    entry = {"field": "small", "validations": ["rangeCheck"], "min": 18, "max": 100}
+    assert [row["id"] for row in split(data, [entry]).rejected.orderBy("id").collect()] == [1, 4]
+
+
+def test_spec_is_not_changed(data):
+    entry = {"field": "text", "validations": [{"type": "length", "params": {"min": 1}}]}
+    split(data, [entry])
+    assert entry == {"field": "text", "validations": [{"type": "length", "params": {"min": 1}}]}
+
+
+def test_first_message_per_field_and_all_details(data):
+    entries = [
+        {"field": "small", "validations": ["notNull", {"type": "rangeCheck", "params": {"min": 18, "error_message": "low"}}]},
+        {"field": "text", "validations": ["notNull", "notEmpty"]},
+        {"field": "small", "validations": [{"type": "rangeCheck", "params": {"min": 50, "error_message": "very low"}}]},
+    ]
+    rejected = {row["id"]: row for row in split(data, entries, details=True).rejected.collect()}
+    assert rejected[1][ERRORS] == {"small": "low"}
+    assert [(d["field"], d["message"]) for d in rejected[1][DETAILS]] == [("small", "low"), ("small", "very low")]
+    assert rejected[9][ERRORS] == {"small": "small cannot be null", "text": "text cannot be null"}
+    assert [d["rule"] for d in rejected[9][DETAILS]] == ["notNull", "notNull", "notEmpty"]
+    assert rejected[2][ERRORS] == {"small": "very low", "text": "text cannot be empty"}
+
+
+def test_columns_of_both_outputs(data):
+    parts = split(data, [{"field": "text", "validations": ["notNull"]}])
+    assert parts.valid.columns == data.columns
+    assert parts.rejected.columns == [*data.columns, ERRORS]
+    assert parts.rejected.schema[ERRORS].dataType.simpleString() == "map<string,string>"
+
+
+def test_split_is_a_partition_of_the_input(data):
+    entries = [{"field": "text", "validations": ["notEmpty"]}, {"field": "real", "validations": ["notNull"]}]
+    parts = split(data, entries)
+    assert rows(parts.valid.select("id").unionByName(parts.rejected.select("id"))) == rows(data.select("id"))
+    assert all(row[ERRORS] for row in parts.rejected.collect())
+
+
+def test_no_rules(data):
+    for entries in ([], [{"field": "text", "validations": []}], [{"field": "text"}]):
+        parts = split(data, entries)
+        assert parts.valid.count() == data.count()
+        assert parts.rejected.count() == 0
+        assert parts.rejected.schema[ERRORS].dataType.simpleString() == "map<string,string>"
+
+
+def test_field_names_are_never_parsed(spark):
+    """Names with underscores and dots, nested fields, and rule names with underscores."""
+    registry = RuleRegistry()
+    registry.register("is_very_odd", lambda df, field, params: F.when(F.col(field) % 2 == 0, F.lit("even")))
+    data = spark.createDataFrame([(1, 2, (None,)), (2, 3, ("x",))], "id int, my_long_name int, s struct<inner:string>")
+    entries = [
+        {"field": "my_long_name", "validations": ["is_very_odd"]},
+        {"field": "s.inner", "validations": ["notNull"]},
+    ]
+    rejected = split(data, entries, registry).rejected.collect()
+    assert [(row["id"], row[ERRORS]) for row in rejected] == [
+        (1, {"my_long_name": "even", "s.inner": "s.inner cannot be null"})
+    ]
+    dotted = spark.createDataFrame([("",)], ["a.b"])
+    assert split(dotted, [{"field": "a.b", "validations": ["notEmpty"]}]).rejected.count() == 1
+
+
+def test_unusable_rules(data, caplog):
+    for rule in ("nope", {"params": {}}, "rangeCheck", "length", "regex", "inList", "custom"):
+        with pytest.raises(SpecError):
+            split(data, [{"field": "text", "validations": [rule]}])
+    with pytest.raises(SpecError):
+        split(data, [{"field": "day", "validations": [{"type": "rangeCheck", "params": {"min": "soon"}}]}])
+    with pytest.raises(SpecError):
+        split(data, [{"validations": ["notNull"]}])
+    assert split(data, [{"field": "text", "validations": [7, "notNull"]}]).rejected.count() == 1
+    assert "skipping a rule" in caplog.text
+
+
+def test_catalogue():
+    assert RuleRegistry().names() == [
+        "notNull", "notEmpty", "isNumeric", "rangeCheck", "regex", "email", "length", "inList", "custom",
+    ]
+
+
+def test_rejects_can_be_validated_again(data):
+    once = split(data, [{"field": "text", "validations": ["notNull"]}]).rejected
+    again = annotate(once, [{"field": "small", "validations": ["notNull"]}])
+    assert again.columns.count(ERRORS) == 1

@@ -82,7 +82,7 @@ def _full_join(spark, sf_dir, **params):
     supplier = table(spark, sf_dir, "supplier")
     left = customer.select(F.col("c_custkey").alias("k"), "c_name", F.col("c_acctbal").alias("balance"))
     right = supplier.select(F.col("s_suppkey").alias("k"), "s_name", F.col("s_acctbal").alias("balance"))
-    return relational.join(left, right, {"on": ["k"], "how": "full", **params})
+    return relational.join(left, right, {"on": ["k"], "how": "full", **params}, look_for_skew=True)
 
 
 @query("join_full", FULL_SQL)
@@ -92,8 +92,18 @@ def join_full(spark, sf_dir):
 
 @query("join_full_skew_safe", FULL_SQL)
 def join_full_skew_safe(spark, sf_dir):
-    """The form used for large tables: a left join and an anti join, both of which can split a hot key."""
-    return _full_join(spark, sf_dir, skewBytes=0)
+    """The form used when a large side has a hot key: an inner join and two anti joins."""
+    return _full_join(spark, sf_dir, skewBytes=0, hotRows=0)
+
+
+@query(
+    "join_left_skew_safe",
+    f"SELECT c.*, {ORDER_SQL} FROM {RICH_SQL} c LEFT JOIN orders o ON o.o_custkey = c.c_custkey",
+)
+def join_left_skew_safe(spark, sf_dir):
+    """Customers with their orders, some customers having far more orders than others."""
+    params = {"on": [{"left": "c_custkey", "right": "o_custkey"}], "how": "left", "skewBytes": 0, "hotRows": 1}
+    return relational.join(_rich_customers(spark, sf_dir), _orders(spark, sf_dir), params, look_for_skew=True)
 
 
 @query(
