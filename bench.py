@@ -15,6 +15,9 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from recordflow import TUNING  # noqa: E402
+from workload import QUERIES  # noqa: E402
+
 HEADLINE = (
     "premium_by_vehicle",
     "valid_split_counts",
@@ -40,7 +43,6 @@ HEADLINE = (
     "win_row_number",
     "win_rank",
     "win_lag",
-    "win_hot_row_number",
     "run_stats_by_spec",
     "stage_detail",
     "recent_errors",
@@ -53,7 +55,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("recordflow-bench")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
@@ -61,11 +63,11 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for key, value in TUNING.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    from workload import QUERIES
-
     names = [name for name in os.environ.get("BENCH_QUERIES", "").split(",") if name] or HEADLINE
     seconds = {}
     for name in names:

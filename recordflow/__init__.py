@@ -3,8 +3,9 @@
 from recordflow.errors import FlowFailed, QualityGateError, SpecError
 from recordflow.functions.fields import FieldRegistry
 from recordflow.functions.rules import RuleRegistry
-from recordflow.plans.flow import CompiledFlow, compile_flow, run_flow, session_for
+from recordflow.plans.flow import CompiledFlow, compile_flow, run_flow
 from recordflow.plans.report import RunReport
+from recordflow.plans.session import TUNING, session_for
 from recordflow.plans.spec import Dataflow, Sink, Source, Spec, Step
 
 __all__ = [
@@ -20,6 +21,7 @@ __all__ = [
     "Spec",
     "SpecError",
     "Step",
+    "TUNING",
     "compile_flow",
     "run_flow",
     "session_for",

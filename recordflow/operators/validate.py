@@ -74,13 +74,20 @@ def annotate(
 ) -> DataFrame:
     """Add the valid flag, the error map and, on request, every failing rule to each row.
 
-    All rules are compiled into one projection.
+    Nothing here shuffles, however many rules there are.
     """
     bound = bind_rules(df, entries, registry or RuleRegistry())
-    added = {VALID_FLAG: _all_pass(bound), ERRORS: _error_map(bound)}
+    by_field: dict[str, list[Column]] = {}
+    for rule in bound:
+        by_field.setdefault(rule.field, []).append(rule.message)
+    first = {f"__first_{position}": F.coalesce(*messages) for position, messages in enumerate(by_field.values())}
+    added = {VALID_FLAG: _all_pass(bound), **first}
     if details:
         added[DETAILS] = _details(bound)
-    return df.withColumns(added)
+    # The first message of each field is a column before it goes into the map, so that it is
+    # computed once; Catalyst keeps the two projections apart, but in one stage.
+    errors = _error_map({field: F.col(name) for field, name in zip(by_field, first)})
+    return df.withColumns(added).withColumn(ERRORS, errors).drop(*first)
 
 
 def accepted(annotated: DataFrame) -> DataFrame:
@@ -117,20 +124,17 @@ def _all_pass(bound: list[BoundRule]) -> Column:
     return reduce(lambda left, right: left & right, (rule.message.isNull() for rule in bound), F.lit(True))
 
 
-def _error_map(bound: list[BoundRule]) -> Column:
-    """The first message of each failing field.
+def _error_map(first: Mapping[str, Column]) -> Column:
+    """The given message of each failing field.
 
     A concatenation of one-entry maps stays inside generated code, which a filter with a lambda
     would not.
     """
-    by_field: dict[str, list[Column]] = {}
-    for rule in bound:
-        by_field.setdefault(rule.field, []).append(rule.message)
     empty = F.create_map().cast(ERRORS_TYPE)
-    parts = []
-    for field, messages in by_field.items():
-        first = F.coalesce(*messages) if len(messages) > 1 else messages[0]
-        parts.append(F.when(first.isNotNull(), F.create_map(F.lit(field), first)).otherwise(empty))
+    parts = [
+        F.when(message.isNotNull(), F.create_map(F.lit(field), message)).otherwise(empty)
+        for field, message in first.items()
+    ]
     return F.map_concat(*parts).cast(ERRORS_TYPE) if parts else empty
 
 

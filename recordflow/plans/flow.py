@@ -26,6 +26,7 @@ from recordflow.operators.relational import pivot_values
 from recordflow.operators.steps import apply_step
 from recordflow.operators.validate import accepted, annotate, rejected
 from recordflow.plans.report import RunReport
+from recordflow.plans.session import tuned
 from recordflow.plans.spec import ROW_WISE_STEPS, Dataflow, Sink, Source, Spec, Step
 from recordflow.plans.staging import StagingArea
 from recordflow.sinks.writers import check_sink_columns, write_sink
@@ -164,8 +165,9 @@ class CompiledFlow:
         self._source_frames.clear()
         self._pivot_values.clear()
         try:
-            self.check()
-            _Run(self, area, report).execute()
+            with tuned(self.spark):
+                self.check()
+                _Run(self, area, report).execute()
             report.finish("success")
         except Exception as error:
             report.finish("failed", str(error))
@@ -304,16 +306,5 @@ def run_flow(spark: SparkSession, spec: Spec | Mapping[str, Any], **options) ->
     return CompiledFlow(spark, spec, **options).run()
 
 
-def session_for(flow: Dataflow) -> SparkSession:
-    """A session with the app name, master and conf of the spec's settings."""
-    settings = flow.settings.spark
-    builder = SparkSession.builder.appName(settings.get("app_name", "recordflow"))
-    if settings.get("master"):
-        builder = builder.master(settings["master"])
-    for key, value in (settings.get("config") or {}).items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
-
-
 def _makes_random_values(step: Step) -> bool:
     return any(config.get("function") == "uuid" for config in step.params.get("addFields") or [])

@@ -9,6 +9,7 @@ from recordflow.operators import quality
 from recordflow.operators.validate import ERRORS, VALID_FLAG, annotate, split
 from workload.registry import query, table
 
+# The rules of the policy flow and their messages.
 RULES = [
     {
         "field": "policy_number",
