@@ -27,7 +27,13 @@ def column_of(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def type_of(df: DataFrame, column: Column) -> T.DataType:
+def type_of(df: DataFrame, column: str | Column) -> T.DataType:
+    """The type of a column by name, or of any expression over the frame."""
+    if isinstance(column, str):
+        # The schema is kept by the frame; an expression has to be analysed each time.
+        if column in df.columns:
+            return df.schema[column].dataType
+        column = column_of(df, column)
     return df.select(column).schema[0].dataType
 
 
@@ -48,7 +54,7 @@ def is_string(data_type: T.DataType) -> bool:
 def as_text(df: DataFrame, name: str) -> Column:
     """A column as text; strings, binaries and arrays are left as they are."""
     column = column_of(df, name)
-    data_type = type_of(df, column)
+    data_type = type_of(df, name)
     if is_string(data_type) or isinstance(data_type, (T.BinaryType, T.ArrayType)):
         return column
     return column.cast("string")
@@ -57,7 +63,7 @@ def as_text(df: DataFrame, name: str) -> Column:
 def as_date(df: DataFrame, name: str) -> Column:
     """A column usable as a date; text that is no date becomes NULL."""
     column = column_of(df, name)
-    return column.try_cast("date") if is_string(type_of(df, column)) else column
+    return column.try_cast("date") if is_string(type_of(df, name)) else column
 
 
 def value_for(value, data_type: T.DataType):

@@ -93,7 +93,7 @@ def cast(df, params):
     column = column_of(df, _need(params, "cast", "column"))
     target = _need(params, "cast", "type")
     converted = column.try_cast(target)
-    if is_string(type_of(df, column)) and isinstance(type_of(df, converted), INTEGRAL):
+    if is_string(type_of(df, params["column"])) and isinstance(type_of(df, converted), INTEGRAL):
         whole_part = F.regexp_extract(F.trim(column), r"^([+-]?[0-9]+)\.[0-9]*$", 1)
         return F.coalesce(converted, whole_part.try_cast(target))
     return converted
@@ -102,7 +102,7 @@ def cast(df, params):
 def coalesce(df, params):
     names = _need(params, "coalesce", "columns")
     columns = [column_of(df, name) for name in names]
-    if len({is_string(type_of(df, column)) for column in columns}) == 2:
+    if len({is_string(type_of(df, name)) for name in names}) == 2:
         columns = [as_text(df, name) for name in names]
     return F.coalesce(*columns)
 
@@ -140,7 +140,7 @@ def expression(df, params):
 def lookup(df, params):
     """The value mapped to a column's value, else ``default``."""
     column = column_of(df, _need(params, "lookup", "column"))
-    data_type = type_of(df, column)
+    data_type = type_of(df, params["column"])
     keys, values, default = lookup_entries(params, data_type)
     if not keys:
         return F.lit(default)

@@ -51,7 +51,7 @@ def not_empty(df, field, params):
 
 def is_numeric(df, field, params):
     value = column_of(df, field)
-    data_type = type_of(df, value)
+    data_type = type_of(df, field)
     if isinstance(data_type, T.NumericType):
         return _no_error()
     if isinstance(data_type, T.DateType):
@@ -66,7 +66,7 @@ def range_check(df, field, params):
     if low is None and high is None:
         raise SpecError(f"rangeCheck on {field!r} needs 'min' or 'max'")
     value = column_of(df, field)
-    data_type = type_of(df, value)
+    data_type = type_of(df, field)
     if is_string(data_type):
         value, data_type = value.try_cast("double"), T.DoubleType()
     lower = None if low is None else bound_literal(low, data_type, upper=False)
@@ -104,7 +104,7 @@ def in_list(df, field, params):
         raise SpecError(f"inList on {field!r} needs 'values'")
     values = params["values"]
     value = column_of(df, field)
-    data_type = type_of(df, value)
+    data_type = type_of(df, field)
     literals = [literal_for(item, data_type) for item in values]
     literals = [literal for literal in literals if literal is not None]
     condition = ~value.isin(literals) if literals else value.isNotNull()
@@ -170,6 +170,6 @@ def _outside(value, lower, upper, params, default):
 
 def _no_match(df, field, pattern, params, default):
     value = column_of(df, field)
-    if not is_string(type_of(df, value)):
+    if not is_string(type_of(df, field)):
         value = value.cast("string")
     return _error(~value.rlike(pattern), params, default)

@@ -94,7 +94,7 @@ def _may_read(config: Mapping[str, Any], batch: Mapping[str, Any]) -> bool:
 def _lookup_join(df: DataFrame, config: Mapping[str, Any]) -> DataFrame:
     """A large lookup as a left join with the mapping as a table."""
     column = column_of(df, config["column"])
-    key_type = type_of(df, column)
+    key_type = type_of(df, config["column"])
     keys, values, default = lookup_entries(config, key_type)
     stored_type = T.StringType() if isinstance(key_type, TEMPORAL) else key_type
     value_type = df.sparkSession.createDataFrame([(value,) for value in values[:1]], ["v"]).schema["v"].dataType

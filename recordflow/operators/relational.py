@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordflow.errors import SpecError
 from recordflow.functions.columns import column_of, is_string, known_columns, type_of
@@ -17,7 +18,7 @@ from recordflow.plans.staging import estimated_bytes
 log = logging.getLogger(__name__)
 
 # A side is broadcast on request only while Spark's size estimate stays below this.
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # Below this size a table cannot hold a group that is too large for one task.
 SKEW_CHECK_BYTES = 8 * 1024**3
 # A key with more rows than this is hot: its rows should not meet in one task.
@@ -47,17 +48,29 @@ def sort_keys(df: DataFrame, order: Sequence[tuple[str, bool]]) -> list[Column]:
 def deduplicate(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
     """One row per key: any row, or the first by ``orderBy``.
 
-    Both forms reduce each key to one row per task before the shuffle, so a hot key stays small.
+    Each key is reduced to one row per task before the shuffle, so a hot key stays small.
     """
     subset = known_columns(df, params.get("subset") or [], "deduplicate")
-    if not params.get("orderBy"):
+    order = order_columns(df, params.get("orderBy") or [], "deduplicate")
+    if not order and (not subset or not _dedupe_needs_sort(df, subset)):
         return df.dropDuplicates(subset) if subset else df.dropDuplicates()
-    order = order_columns(df, params["orderBy"], "deduplicate")
     keys = [column_of(df, name) for name in subset or df.columns]
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*sort_keys(df, order)))
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*(sort_keys(df, order) or keys)))
     return df.withColumn("__position", position).filter("__position = 1").drop("__position")
 
 
+def _dedupe_needs_sort(df: DataFrame, subset: Sequence[str]) -> bool:
+    """Whether ``dropDuplicates`` would sort instead of hash.
+
+    It does when a column outside the key has no fixed width. Taking row number 1 then costs about
+    half, as its limit drops rows right after the sort.
+    """
+    inside = {name.lower() for name in subset}
+    types = {field.name.lower(): field.dataType for field in df.schema}
+    fixed_width = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return not all(isinstance(types[name], fixed_width) for name in types.keys() - inside)
+
+
 def join(
     left: DataFrame, right: DataFrame, params: Mapping[str, Any], look_for_skew: bool = False
 ) -> DataFrame:
@@ -219,7 +232,7 @@ def _aggregate(df: DataFrame, function: str, name: str) -> Column:
         return F.count(F.lit(1))
     known_columns(df, [name], "aggregate")
     column = column_of(df, name)
-    if function in ("sum", "avg") and is_string(type_of(df, column)):
+    if function in ("sum", "avg") and is_string(type_of(df, name)):
         column = column.try_cast("double")
     return getattr(F, function)(column)
 

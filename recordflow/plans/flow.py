@@ -13,6 +13,7 @@ import time
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -144,7 +145,7 @@ class CompiledFlow:
         self._source_frames: dict[int, DataFrame] = {}
         self._pivot_values: dict[int, list] = {}
 
-    @property
+    @cached_property
     def frames(self) -> dict[str, DataFrame]:
         """Lazy frames by name, not counted; only a window over a hot key stages rows."""
         return self._lazy(StagingArea(self.spark))
@@ -287,7 +288,7 @@ class _Run:
     def _write(self, sink: Sink, df: DataFrame) -> dict[str, Any]:
         observation = Observation(f"{self.report.pipeline_id}_{sink.name}")
         started = time.monotonic()
-        write_sink(df.observe(observation, F.count(F.lit(1)).alias("n")), sink)
+        write_sink(df, sink, observation)
         log.info("sink %s written in %.1f s", sink.name, time.monotonic() - started)
         return {
             "name": sink.name,

@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from recordflow.errors import SpecError
 from recordflow.functions.columns import known_columns
@@ -24,8 +25,8 @@ def check_sink_columns(df: DataFrame, sink: Sink) -> None:
         raise SpecError(f"{where}: partitionBy takes all columns {df.columns}")
 
 
-def write_sink(df: DataFrame, sink: Sink) -> None:
-    """Write a frame to every path of a sink.
+def write_sink(df: DataFrame, sink: Sink, counter: Observation | None = None) -> None:
+    """Write a frame to every path of a sink; ``counter`` receives the row count as ``n``.
 
     Directories are never created beforehand, so the modes ``error`` and ``ignore`` see the real
     state. A frame for several paths should be a staged or otherwise stable one.
@@ -35,6 +36,9 @@ def write_sink(df: DataFrame, sink: Sink) -> None:
         # Adaptive execution then cuts a hot partition value into files of the advisory size and
         # packs small ones together.
         df = df.hint("rebalance", *sink.partition_by) if sink.partition_by else df.hint("rebalance")
+    if counter is not None:
+        # After the last shuffle: rows of a task that runs again are then counted once.
+        df = df.observe(counter, F.count(F.lit(1)).alias("n"))
     options = dict(sink.options)
     if sink.format == "json":
         options.setdefault("ignoreNullFields", "false")

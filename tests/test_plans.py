@@ -61,6 +61,13 @@ def test_ordered_dedupe_keeps_one_row_per_key_and_task(orders):
     assert "WindowGroupLimit" in plan[shuffle:]
 
 
+@pytest.mark.parametrize("columns", [["o_orderkey", "o_custkey"], ["o_custkey", "o_orderstatus"]])
+def test_unordered_dedupe_never_aggregates_by_sorting(orders, columns):
+    plan = plan_of(relational.deduplicate(orders.select(*columns), {"subset": ["o_custkey"]}))
+    assert plan.count("Exchange") == 1 and "SortAggregate" not in plan
+    assert ("WindowGroupLimit" in plan) == ("o_orderstatus" in columns)
+
+
 def test_stage_detail_limits_before_the_shuffle(spark, sf_dir):
     logs = table(spark, sf_dir, "logs")
     runs = logs.select("pipeline_id", F.array(F.expr("struct('x' AS name, 'ok' AS status, log_time AS start_time, log_time AS end_time)")).alias("stages"))

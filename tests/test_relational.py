@@ -88,6 +88,7 @@ def test_union(left, right):
 def test_deduplicate(left):
     assert relational.deduplicate(left, {"subset": ["k"]}).count() == 3
     assert relational.deduplicate(left.unionByName(left), {}).count() == 4
+    assert relational.deduplicate(left.select("k", "n"), {"subset": ["K"]}).count() == 3
     first = relational.deduplicate(left, {"subset": ["k"], "orderBy": ["n"]})
     last = relational.deduplicate(left, {"subset": ["k"], "orderBy": [{"column": "n", "desc": True}]})
     assert [r["v"] for r in first.filter("k = 2").collect()] == ["b"]

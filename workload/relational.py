@@ -71,17 +71,15 @@ _join_query("join_anti", "anti", f"SELECT {ORDER_SQL} FROM orders o ANTI JOIN {R
 
 FULL_SQL = """
 SELECT coalesce(a.k, b.k) AS k, a.c_name, a.c_acctbal AS balance, b.s_name, b.s_acctbal AS balance_right
-FROM (SELECT c_custkey AS k, * FROM customer WHERE c_custkey >= 20) a
-FULL JOIN (SELECT s_suppkey AS k, * FROM supplier) b ON a.k = b.k
+FROM (SELECT c_custkey AS k, * FROM customer) a
+FULL JOIN (SELECT s_suppkey * 20 AS k, * FROM supplier) b ON a.k = b.k
 """
 
 
 def _full_join(spark, sf_dir, **params):
     """A shared key comes out once; the other shared name gets a suffix."""
-    customer = table(spark, sf_dir, "customer").filter("c_custkey >= 20")
-    supplier = table(spark, sf_dir, "supplier")
-    left = customer.select(F.col("c_custkey").alias("k"), "c_name", F.col("c_acctbal").alias("balance"))
-    right = supplier.select(F.col("s_suppkey").alias("k"), "s_name", F.col("s_acctbal").alias("balance"))
+    left = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "c_name", "c_acctbal AS balance")
+    right = table(spark, sf_dir, "supplier").selectExpr("s_suppkey * 20 AS k", "s_name", "s_acctbal AS balance")
     return relational.join(left, right, {"on": ["k"], "how": "full", **params}, look_for_skew=True)
 
 
