@@ -23,18 +23,20 @@ from recordflow.errors import FlowFailed, SpecError
 from recordflow.functions.fields import FieldRegistry
 from recordflow.functions.rules import RuleRegistry
 from recordflow.operators import quality
-from recordflow.operators.relational import pivot_values
+from recordflow.operators.relational import SKEW_CHECK_BYTES, pivot_values
 from recordflow.operators.steps import apply_step
 from recordflow.operators.validate import accepted, annotate, rejected
 from recordflow.plans.report import RunReport
 from recordflow.plans.session import tuned
 from recordflow.plans.spec import ROW_WISE_STEPS, Dataflow, Sink, Source, Spec, Step
-from recordflow.plans.staging import StagingArea
+from recordflow.plans.staging import StagingArea, estimated_bytes
 from recordflow.sinks.writers import check_sink_columns, write_sink
 from recordflow.sources.readers import read_source
 
 log = logging.getLogger(__name__)
 
+HOT_KEYS, DUPLICATES = "hot keys", "duplicates"
+
 
 @dataclass
 class Node:
@@ -47,6 +49,8 @@ class Node:
     source: Source | None = None
     step: Step | None = None
     readers: list[str] = field(default_factory=list)
+    # Readers that may come on top: checks for duplicates, and for hot keys if the table is large.
+    checks: list[str] = field(default_factory=list)
 
 
 class FlowPlan:
@@ -56,12 +60,15 @@ class FlowPlan:
         self.flow = flow
         self.nodes: list[Node] = []
         self.names: dict[str, int] = {}
+        self._cheap: dict[int, bool] = {}
         for source in flow.sources:
             self.names[source.name] = self._add("source", source.name, source=source)
         for step in flow.steps:
             parents = tuple(self.names[name] for name in step.inputs)
             for parent in parents:
                 self.nodes[parent].readers.append(step.type)
+            for parent, check in self._checks(step, parents):
+                self.nodes[parent].checks.append(check)
             if step.type == "validate_fields":
                 annotated = self._add("annotated", step.name, parents, step=step)
                 for kind, output in zip(("valid", "rejected"), step.outputs):
@@ -77,6 +84,15 @@ class FlowPlan:
         self.nodes.append(Node(len(self.nodes), kind, name, parents, source, step))
         return len(self.nodes) - 1
 
+    def _checks(self, step: Step, parents: tuple[int, ...]) -> list[tuple[int, str]]:
+        if step.type == "window":
+            return [(parents[0], HOT_KEYS)]
+        if step.type == "deduplicate" and "max_duplicate_percentage" in self.flow.settings.quality_rules:
+            return [(parents[0], DUPLICATES)]
+        how = step.params.get("how") if step.type == "join" else None
+        checked = {"left": parents[1:], "right": parents[:1], "full": parents}.get(how, ())
+        return [(parent, HOT_KEYS) for parent in checked]
+
     def needed(self) -> set[int]:
         """Nodes that some sink depends on, and all validations."""
         wanted, pending = set(), [*self.sink_nodes, *(n.position for n in self.nodes if n.kind == "annotated")]
@@ -87,34 +103,32 @@ class FlowPlan:
                 pending.extend(self.nodes[position].parents)
         return wanted
 
-    def ancestors(self, position: int) -> set[int]:
-        found, pending = set(), list(self.nodes[position].parents)
-        while pending:
-            parent = pending.pop()
-            if parent not in found:
-                found.add(parent)
-                pending.extend(self.nodes[parent].parents)
-        return found
-
     def rescan_is_cheap(self, position: int) -> bool:
-        """Whether a node is only row-wise, repeatable work over columnar files."""
-        for node in (self.nodes[p] for p in self.ancestors(position)):
-            if node.source is not None and node.source.format != "parquet":
-                return False
-            if node.step is not None and node.step.type not in ROW_WISE_STEPS:
-                return False
-            if node.step is not None and _makes_random_values(node.step):
-                return False
-        return True
+        """Whether a node is only row-wise, repeatable work over columnar files or staged tables."""
+        if position not in self._cheap:
+            node = self.nodes[position]
+            if node.source is not None:
+                cheap = node.source.format == "parquet"
+            elif node.step.type not in ROW_WISE_STEPS or _makes_random_values(node.step):
+                cheap = False
+            else:
+                cheap = all(self.is_staged(parent) or self.rescan_is_cheap(parent) for parent in node.parents)
+            self._cheap[position] = cheap
+        return self._cheap[position]
 
     def is_staged(self, position: int) -> bool:
         """Whether a run writes this node once instead of computing it for every reader."""
         node, mode = self.nodes[position], self.flow.settings.staging
-        if mode == "never" or len(node.readers) < 2 or node.kind in ("source", "valid", "rejected"):
+        if mode == "never" or node.kind in ("source", "valid", "rejected"):
             return False
-        if mode == "auto" and node.kind == "annotated":
-            return not self.rescan_is_cheap(position)
-        return True
+        if len(node.readers) >= 2 and (mode == "always" or node.kind == "step"):
+            return True
+        return len(node.readers) + len(node.checks) >= 2 and not self.rescan_is_cheap(position)
+
+    def is_staged_for_size(self, position: int) -> bool:
+        """Whether a staged node is staged only for checks that a small table skips."""
+        node = self.nodes[position]
+        return len(node.readers) < 2 and DUPLICATES not in node.checks
 
 
 class CompiledFlow:
@@ -246,12 +260,17 @@ class _Run:
             if node.kind in ("source", "step") and "filter" not in node.readers:
                 # A count between a scan and a filter would keep the filter from reaching the scan.
                 df = self._observed(node.position, df)
-            if self.plan.is_staged(node.position):
+            if self._is_worth_staging(node, df):
                 df = self.area.stage(df, node.name)
             if node.kind == "annotated":
                 self._gate_validity(node, df)
             self.frames[node.position] = df
 
+    def _is_worth_staging(self, node: Node, df: DataFrame) -> bool:
+        if not self.plan.is_staged(node.position):
+            return False
+        return not self.plan.is_staged_for_size(node.position) or estimated_bytes(df) > SKEW_CHECK_BYTES
+
     def _observed(self, position: int, df: DataFrame) -> DataFrame:
         observation = Observation(f"{self.report.pipeline_id}_{position}")
         self.counts[position] = observation

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 from recordflow import CompiledFlow, FlowFailed, RuleRegistry, Spec, SpecError, run_flow
+from recordflow.plans.flow import FlowPlan
 from recordflow.plans.staging import checkpoint_root
 from tests.conftest import rows
 from workload.validation import RULES
@@ -326,3 +327,46 @@ def test_report_and_audit_rows(spark, tmp_path):
 
 def test_command_line_spec_parses():
     assert Spec.from_json(json.dumps(spec("/x"))).dataflow().sinks[2].partition_by == ("ingestion_date", "vehicle_type")
+
+
+def staged(steps, sinks, format="JSON", **settings):
+    """Names of the nodes a run would stage."""
+    document = {
+        "dataflows": [
+            {
+                "sources": [{"name": "s", "path": "-", "format": format}, {"name": "r", "path": "-", "format": format}],
+                "transformations": [{"name": n, "type": t, "params": p} for n, t, p in steps],
+                "sinks": [{"input": i, "name": f"k{n}", "paths": ["o"], "format": "CSV"} for n, i in enumerate(sinks)],
+                "settings": settings,
+            }
+        ]
+    }
+    plan = FlowPlan(Spec.from_dict(document).dataflow())
+    return [node.name for node in plan.nodes if plan.is_staged(node.position)]
+
+
+def test_what_is_staged():
+    rules = ("v", "validate_fields", {"input": "s", "validations": []})
+    named = ("n", "add_fields", {"input": "s", "addFields": [{"name": "x", "function": "uuid"}]})
+    totals = ("a", "aggregate", {"input": "s", "groupBy": ["k"], "aggregations": [{"function": "count", "column": "*"}]})
+    window = {"partitionBy": ["k"], "orderBy": ["o"], "function": "rank", "alias": "w"}
+    # A validation over text files, random values or a shuffle, but not over plain Parquet.
+    assert staged([rules], ["validation_ok"]) == ["v"]
+    assert staged([rules], ["validation_ok"], "PARQUET") == []
+    assert staged([rules], ["validation_ok"], "PARQUET", staging="always") == ["v"]
+    assert staged([rules], ["validation_ok"], staging="never") == []
+    assert staged([named, ("v", "validate_fields", {"input": "n"})], ["validation_ok"], "PARQUET") == ["v"]
+    assert staged([totals, ("v", "validate_fields", {"input": "a"})], ["validation_ok"], "PARQUET") == ["v"]
+    # A step with two readers, and one whose reader looks at it twice.
+    assert staged([totals], ["a"]) == []
+    assert staged([totals], ["a", "a"]) == ["a"]
+    assert staged([totals, ("w", "window", {"input": "a", **window})], ["w"]) == ["a"]
+    assert staged([rules, ("w", "window", {"input": "validation_ok", **window})], ["w"]) == ["v"]
+    dedupe = ("d", "deduplicate", {"input": "a"})
+    assert staged([totals, dedupe], ["d"]) == []
+    assert staged([totals, dedupe], ["d"], quality_rules={"max_duplicate_percentage": 5}) == ["a"]
+    join = {"input": "r", "right": "a", "on": ["k"]}
+    assert staged([totals, ("j", "join", {**join, "how": "left"})], ["j"]) == ["a"]
+    assert staged([totals, ("j", "join", join)], ["j"]) == []
+    chain = [(f"c{n}", "filter", {"input": f"c{n - 1}" if n else "s", "condition": "true"}) for n in range(200)]
+    assert staged([*chain, ("v", "validate_fields", {"input": "c199"})], ["validation_ok"], "PARQUET") == []
