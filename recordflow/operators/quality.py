@@ -25,9 +25,9 @@ class Gate:
     message: str
 
 
-def summary(annotated: DataFrame) -> DataFrame:
+def summary(marked: DataFrame) -> DataFrame:
     """One row: total, valid and invalid rows and the valid percentage (NULL for no rows)."""
-    counts = annotated.agg(
+    counts = marked.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(F.col(VALID_FLAG)).alias("valid_records"),
         F.count_if(~F.col(VALID_FLAG)).alias("invalid_records"),

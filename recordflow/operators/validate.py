@@ -19,7 +19,7 @@ log = logging.getLogger(__name__)
 
 ERRORS = "validation_errors"
 DETAILS = "validation_details"
-# Marks valid rows in an annotated frame.
+# Tells valid rows from others in a marked frame.
 VALID_FLAG = "__valid"
 CORRUPT_CONF = "spark.sql.columnNameOfCorruptRecord"
 
@@ -66,38 +66,58 @@ def bind_rules(
     return bound
 
 
-def annotate(
+def mark(
+    df: DataFrame, entries: Sequence[Mapping[str, Any]], registry: RuleRegistry | None = None
+) -> DataFrame:
+    """Add the flag of valid rows: those for which no rule gives a message."""
+    bound = bind_rules(df, entries, registry or RuleRegistry())
+    # One IS NULL per rule: Catalyst folds each into a plain predicate and can push it to the scan.
+    passed = reduce(lambda left, right: left & right, (rule.message.isNull() for rule in bound), F.lit(True))
+    return df.withColumn(VALID_FLAG, passed)
+
+
+def with_errors(
     df: DataFrame,
     entries: Sequence[Mapping[str, Any]],
     registry: RuleRegistry | None = None,
     details: bool = False,
 ) -> DataFrame:
-    """Add the valid flag, the error map and, on request, every failing rule to each row.
-
-    Nothing here shuffles, however many rules there are.
-    """
+    """Add the map of first messages per field and, on request, the list of every failing rule."""
     bound = bind_rules(df, entries, registry or RuleRegistry())
     by_field: dict[str, list[Column]] = {}
     for rule in bound:
         by_field.setdefault(rule.field, []).append(rule.message)
     first = {f"__first_{position}": F.coalesce(*messages) for position, messages in enumerate(by_field.values())}
-    added = {VALID_FLAG: _all_pass(bound), **first}
-    if details:
-        added[DETAILS] = _details(bound)
     # The first message of each field is a column before it goes into the map, so that it is
     # computed once; Catalyst keeps the two projections apart, but in one stage.
+    added = {**first, DETAILS: _details(bound)} if details else first
     errors = _error_map({field: F.col(name) for field, name in zip(by_field, first)})
-    return df.withColumns(added).withColumn(ERRORS, errors).drop(*first)
+    return (df.withColumns(added) if added else df).withColumn(ERRORS, errors).drop(*first)
 
 
-def accepted(annotated: DataFrame) -> DataFrame:
-    """The valid rows of an annotated frame, with the original columns."""
-    return annotated.filter(F.col(VALID_FLAG)).drop(VALID_FLAG, ERRORS, DETAILS)
+def annotate(
+    df: DataFrame,
+    entries: Sequence[Mapping[str, Any]],
+    registry: RuleRegistry | None = None,
+    details: bool = False,
+) -> DataFrame:
+    """All rows with both the flag and the errors."""
+    return mark(with_errors(df, entries, registry, details), entries, registry)
 
 
-def rejected(annotated: DataFrame) -> DataFrame:
-    """The other rows, with the original columns and the error map."""
-    return annotated.filter(~F.col(VALID_FLAG)).drop(VALID_FLAG)
+def accepted(marked: DataFrame) -> DataFrame:
+    """The valid rows of a marked frame, with the original columns."""
+    return marked.filter(F.col(VALID_FLAG)).drop(VALID_FLAG, ERRORS, DETAILS)
+
+
+def rejected(
+    marked: DataFrame,
+    entries: Sequence[Mapping[str, Any]],
+    registry: RuleRegistry | None = None,
+    details: bool = False,
+) -> DataFrame:
+    """The other rows, with the original columns and their errors, which only they are given."""
+    return with_errors(marked.filter(~F.col(VALID_FLAG)).drop(VALID_FLAG), entries, registry, details)
 
 
 def split(
@@ -106,8 +126,8 @@ def split(
     registry: RuleRegistry | None = None,
     details: bool = False,
 ) -> Split:
-    annotated = annotate(df, entries, registry, details)
-    return Split(accepted(annotated), rejected(annotated))
+    marked = mark(df, entries, registry)
+    return Split(accepted(marked), rejected(marked, entries, registry, details))
 
 
 def _corrupt_record_rule(df: DataFrame) -> list[BoundRule]:
@@ -119,11 +139,6 @@ def _corrupt_record_rule(df: DataFrame) -> list[BoundRule]:
     return [BoundRule(name, "corruptRecord", message)]
 
 
-def _all_pass(bound: list[BoundRule]) -> Column:
-    # One IS NULL per rule: Catalyst folds each into a plain predicate and can push it to the scan.
-    return reduce(lambda left, right: left & right, (rule.message.isNull() for rule in bound), F.lit(True))
-
-
 def _error_map(first: Mapping[str, Column]) -> Column:
     """The given message of each failing field.
 

@@ -1,6 +1,6 @@
 """A dataflow compiled into lazy frames, and a run of it.
 
-A run makes one pass over a row-format source: the annotated rows are staged, the gates are
+A run makes one pass over a row-format source: the marked rows are staged, the gates are
 decided from the staged table's flag column, and only then are sinks written. Row counts come
 from observations on the same jobs.
 """
@@ -25,7 +25,7 @@ from recordflow.functions.rules import RuleRegistry
 from recordflow.operators import quality
 from recordflow.operators.relational import SKEW_CHECK_BYTES, pivot_values
 from recordflow.operators.steps import apply_step
-from recordflow.operators.validate import accepted, annotate, rejected
+from recordflow.operators.validate import accepted, mark, rejected
 from recordflow.plans.report import RunReport
 from recordflow.plans.session import tuned
 from recordflow.plans.spec import ROW_WISE_STEPS, Dataflow, Sink, Source, Spec, Step
@@ -40,7 +40,7 @@ HOT_KEYS, DUPLICATES = "hot keys", "duplicates"
 
 @dataclass
 class Node:
-    """One frame of a dataflow: a source, a step, or an annotated, valid or rejected table."""
+    """One frame of a dataflow: a source, a step, or an marked, valid or rejected table."""
 
     position: int
     kind: str
@@ -70,10 +70,10 @@ class FlowPlan:
             for parent, check in self._checks(step, parents):
                 self.nodes[parent].checks.append(check)
             if step.type == "validate_fields":
-                annotated = self._add("annotated", step.name, parents, step=step)
+                marked = self._add("marked", step.name, parents, step=step)
                 for kind, output in zip(("valid", "rejected"), step.outputs):
-                    self.nodes[annotated].readers.append(kind)
-                    self.names[output] = self._add(kind, output, (annotated,), step=step)
+                    self.nodes[marked].readers.append(kind)
+                    self.names[output] = self._add(kind, output, (marked,), step=step)
             else:
                 self.names[step.name] = self._add("step", step.name, parents, step=step)
         self.sink_nodes = [self.names[sink.input] for sink in flow.sinks]
@@ -95,7 +95,7 @@ class FlowPlan:
 
     def needed(self) -> set[int]:
         """Nodes that some sink depends on, and all validations."""
-        wanted, pending = set(), [*self.sink_nodes, *(n.position for n in self.nodes if n.kind == "annotated")]
+        wanted, pending = set(), [*self.sink_nodes, *(n.position for n in self.nodes if n.kind == "marked")]
         while pending:
             position = pending.pop()
             if position not in wanted:
@@ -205,15 +205,14 @@ class CompiledFlow:
             if node.position not in self._source_frames:
                 self._source_frames[node.position] = read_source(self.spark, node.source)
             return self._source_frames[node.position]
-        if node.kind == "annotated":
-            params = node.step.params
-            return annotate(
-                parents[0], params.get("validations") or [], self.rules, bool(params.get("details", False))
-            )
         if node.kind == "valid":
             return accepted(parents[0])
-        if node.kind == "rejected":
-            return rejected(parents[0])
+        if node.kind in ("marked", "rejected"):
+            params = node.step.params
+            entries = params.get("validations") or []
+            if node.kind == "marked":
+                return mark(parents[0], entries, self.rules)
+            return rejected(parents[0], entries, self.rules, bool(params.get("details", False)))
         step = node.step
         if step.type == "pivot" and not step.params.get("values"):
             if node.position not in self._pivot_values:
@@ -247,7 +246,7 @@ class _Run:
         for node in nodes:
             if node.kind == "source":
                 ingestion.append({"name": node.name, "record_count": self._count(node.position)})
-            elif node.kind in ("step", "annotated"):
+            elif node.kind in ("step", "marked"):
                 inputs = [self._count(parent) for parent in node.parents]
                 transformation.append({"name": node.name, "type": node.step.type, "input_counts": inputs})
 
@@ -262,7 +261,7 @@ class _Run:
                 df = self._observed(node.position, df)
             if self._is_worth_staging(node, df):
                 df = self.area.stage(df, node.name)
-            if node.kind == "annotated":
+            if node.kind == "marked":
                 self._gate_validity(node, df)
             self.frames[node.position] = df
 
@@ -282,9 +281,9 @@ class _Run:
             return counted.get.get("n")
         return counted
 
-    def _gate_validity(self, node: Node, annotated: DataFrame) -> None:
+    def _gate_validity(self, node: Node, marked: DataFrame) -> None:
         """Count valid rows, from the flag column alone when the table is staged, and decide."""
-        measured = quality.summary(annotated).first().asDict()
+        measured = quality.summary(marked).first().asDict()
         self.report.add_quality(node.name, measured)
         rules = self.flow.settings.quality_rules
         for output in self.plan.nodes[node.position + 1 : node.position + 3]:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from recordflow.operators import audit, relational, windows
 from recordflow.operators.projections import add_fields
 from recordflow.operators.quality import duplicates, reject_breakdown, summary
-from recordflow.operators.validate import annotate, split
+from recordflow.operators.validate import mark, split
 from workload import QUERIES
 from workload.registry import table
 
@@ -44,7 +44,7 @@ def test_error_map_stays_in_generated_code(orders):
 
 
 def test_gate_counts_need_only_the_rule_columns(orders):
-    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan_of(summary(annotate(orders, ORDER_RULES)))
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan_of(summary(mark(orders, ORDER_RULES)))
 
 
 def test_aggregates_combine_before_the_shuffle(orders):

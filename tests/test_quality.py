@@ -2,7 +2,7 @@ import pytest
 
 from recordflow import QualityGateError
 from recordflow.operators import quality
-from recordflow.operators.validate import annotate, split
+from recordflow.operators.validate import mark, split
 from tests.conftest import rows
 
 RULES = [{"field": "v", "validations": ["notNull", {"type": "inList", "params": {"values": ["a", "b"]}}]}]
@@ -14,8 +14,8 @@ def data(spark):
 
 
 def test_summary(data):
-    assert rows(quality.summary(annotate(data, RULES))) == [(5, 3, 2, 60.0)]
-    assert rows(quality.summary(annotate(data.filter("false"), RULES))) == [(0, 0, 0, None)]
+    assert rows(quality.summary(mark(data, RULES))) == [(5, 3, 2, 60.0)]
+    assert rows(quality.summary(mark(data.filter("false"), RULES))) == [(0, 0, 0, None)]
 
 
 def test_breakdown(data):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from recordflow.functions.rules import RuleRegistry
 from recordflow.operators import quality
-from recordflow.operators.validate import ERRORS, VALID_FLAG, annotate, split
+from recordflow.operators.validate import ERRORS, VALID_FLAG, annotate, mark, split
 from workload.registry import query, table
 
 # The rules of the policy flow and their messages.
@@ -105,9 +105,9 @@ POLICY_COLUMNS = (
     f"FROM ({ANNOTATED_SQL}) t GROUP BY 1",
 )
 def valid_split_counts(spark, sf_dir):
-    annotated = annotate(table(spark, sf_dir, "policies"), RULES)
+    marked = mark(table(spark, sf_dir, "policies"), RULES)
     outcome = F.when(F.col(VALID_FLAG), "valid").otherwise("rejected").alias("outcome")
-    return annotated.groupBy(outcome).agg(F.count(F.lit(1)).alias("n_rows"))
+    return marked.groupBy(outcome).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("valid_rows", f"SELECT {POLICY_COLUMNS} FROM ({ANNOTATED_SQL}) t WHERE {ALL_NULL_SQL}")
@@ -301,7 +301,7 @@ FROM (SELECT count(*) AS total_records, count(*) FILTER (WHERE {ALL_NULL_SQL}) A
 
 @query("quality_summary", SUMMARY_SQL)
 def quality_summary(spark, sf_dir):
-    return quality.summary(annotate(table(spark, sf_dir, "policies"), RULES))
+    return quality.summary(mark(table(spark, sf_dir, "policies"), RULES))
 
 
 @query(
