@@ -65,25 +65,33 @@ class FlowPlan:
             self.names[source.name] = self._add("source", source.name, source=source)
         for step in flow.steps:
             parents = tuple(self.names[name] for name in step.inputs)
-            for parent in parents:
-                self.nodes[parent].readers.append(step.type)
-            for parent, check in self._checks(step, parents):
-                self.nodes[parent].checks.append(check)
             if step.type == "validate_fields":
                 marked = self._add("marked", step.name, parents, step=step)
                 for kind, output in zip(("valid", "rejected"), step.outputs):
-                    self.nodes[marked].readers.append(kind)
                     self.names[output] = self._add(kind, output, (marked,), step=step)
             else:
                 self.names[step.name] = self._add("step", step.name, parents, step=step)
         self.sink_nodes = [self.names[sink.input] for sink in flow.sinks]
-        for position, sink in zip(self.sink_nodes, flow.sinks):
-            self.nodes[position].readers.extend("sink" for _ in sink.paths)
+        self.needed = self._needed()
+        self._find_readers()
 
     def _add(self, kind, name, parents=(), source=None, step=None) -> int:
         self.nodes.append(Node(len(self.nodes), kind, name, parents, source, step))
         return len(self.nodes) - 1
 
+    def _find_readers(self) -> None:
+        """Who reads each node in a run; steps that no sink depends on read nothing."""
+        for node in (self.nodes[position] for position in sorted(self.needed)):
+            for parent in node.parents:
+                self.nodes[parent].readers.append(node.step.type)
+            if node.kind in ("step", "marked"):
+                for parent, check in self._checks(node.step, node.parents):
+                    self.nodes[parent].checks.append(check)
+            if node.kind == "marked":
+                node.readers.append("gate")
+        for position, sink in zip(self.sink_nodes, self.flow.sinks):
+            self.nodes[position].readers.extend("sink" for _ in sink.paths)
+
     def _checks(self, step: Step, parents: tuple[int, ...]) -> list[tuple[int, str]]:
         if step.type == "window":
             return [(parents[0], HOT_KEYS)]
@@ -93,7 +101,7 @@ class FlowPlan:
         checked = {"left": parents[1:], "right": parents[:1], "full": parents}.get(how, ())
         return [(parent, HOT_KEYS) for parent in checked]
 
-    def needed(self) -> set[int]:
+    def _needed(self) -> set[int]:
         """Nodes that some sink depends on, and all validations."""
         wanted, pending = set(), [*self.sink_nodes, *(n.position for n in self.nodes if n.kind == "marked")]
         while pending:
@@ -235,7 +243,7 @@ class _Run:
 
     def execute(self) -> None:
         report, plan = self.report, self.plan
-        nodes = [node for node in plan.nodes if node.position in plan.needed()]
+        nodes = [node for node in plan.nodes if node.position in plan.needed]
         with report.stage("ingestion") as ingestion:
             self._build(node for node in nodes if node.kind == "source")
         with report.stage("transformation") as transformation:

@@ -43,8 +43,9 @@ class StagingArea:
         return f"{checkpoint_root(self.spark)}/recordflow/{self.run_id}"
 
     def new_path(self, label: str) -> str:
+        folder = self.path
         self._count += 1
-        return f"{self.path}/{self._count:03d}_{re.sub('[^A-Za-z0-9_]', '_', label)}"
+        return f"{folder}/{self._count:03d}_{re.sub('[^A-Za-z0-9_]', '_', label)}"
 
     def stage(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` as Parquet and return the table read back with the same schema."""

@@ -357,6 +357,8 @@ def test_what_is_staged():
     assert staged([rules], ["validation_ok"], staging="never") == []
     assert staged([named, ("v", "validate_fields", {"input": "n"})], ["validation_ok"], "PARQUET") == ["v"]
     assert staged([totals, ("v", "validate_fields", {"input": "a"})], ["validation_ok"], "PARQUET") == ["v"]
+    # A step that no sink depends on is no reader.
+    assert staged([totals, ("x", "filter", {"input": "a", "condition": "true"})], ["a"]) == []
     # A step with two readers, and one whose reader looks at it twice.
     assert staged([totals], ["a"]) == []
     assert staged([totals], ["a", "a"]) == ["a"]
