@@ -86,9 +86,8 @@ def src_corrupt_lines(spark, sf_dir):
     lines = read_source(spark, Source("lines", path, "json", {}, _ddl(policies) + ", _corrupt_record string"))
     parts = split(lines, [{"field": "policy_number", "validations": ["notEmpty"]}])
     corrupt = F.col(ERRORS)["_corrupt_record"].isNotNull()
-    everything = parts.rejected.select(corrupt.alias("corrupt"), F.lit(True).alias("reject")).unionByName(
-        parts.valid.select(F.lit(False).alias("corrupt"), F.lit(False).alias("reject"), "policy_number").drop("policy_number")
-    )
+    passed = parts.valid.select(F.lit(False).alias("corrupt"), F.lit(False).alias("reject"))
+    everything = parts.rejected.select(corrupt.alias("corrupt"), F.lit(True).alias("reject")).unionByName(passed)
     return everything.agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if("corrupt").alias("n_corrupt"),
