@@ -4,8 +4,7 @@ import pytest
 
 import __spark_entry__
 from tests.oracle import differences, duck
-
-QUERIES, ORACLE = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+from workload import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
