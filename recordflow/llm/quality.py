@@ -41,7 +41,7 @@ class Estimate:
 #: Rules beside the base ones. They reject gross faults only, so that plain prose always passes.
 RULES = (
     Rule("word_length", "char_length(array_join({words}, '')) NOT BETWEEN 2 * size({words}) AND 15 * size({words})"),
-    Rule("symbols", "2 * (char_length({text}) - char_length(translate({text}, '#*$%&|<>', ''))) > size({words})"),
+    Rule("symbols", "5 * (char_length({text}) - char_length(translate({text}, '#*$%&|<>', ''))) > size({words})"),
     Rule("distinct_words", "20 * size(array_distinct({words})) < least(size({words}), 2000)"),
     Rule("letters", "2 * size(filter({words}, w -> w rlike '[\\\\p{{L}}]')) < size({words})"),
 )
@@ -146,7 +146,7 @@ counted AS (
  FROM docs LEFT JOIN repeats USING (doc_id)),
 based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
- NOT (base_failed OR word_chars NOT BETWEEN 2 * n_words AND 15 * n_words OR 2 * n_symbols > n_words
+ NOT (base_failed OR word_chars NOT BETWEEN 2 * n_words AND 15 * n_words OR 5 * n_symbols > n_words
   OR 20 * len(list_distinct(ws)) < least(n_words, 2000)
   OR 2 * len(list_filter(ws, lambda w: regexp_matches(w, '\p{L}'))) < n_words) AS kept
 FROM based
