@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +18,21 @@ from recordflow.llm.common import table
 #: Labelled documents that a model is fitted on at most, those of the smallest hash of their id.
 MAX_TRAINING_DOCS = 20_000
 
-#: Words that a model has weights for at most: those that tell the labels apart best.
+#: Features that a model has weights for at most: those that tell the labels apart best.
 MAX_FEATURES = 2_000
 
-#: Words found in fewer training documents than this tell nothing about other documents.
+#: Features found in fewer training documents than this tell nothing about other documents.
 LEAST_DOCS = 5
 
+#: Standard deviations from the overall share of toxic documents at which a feature is no chance find.
+LEAST_Z = 4.0
+
+#: Lengths of the word beginnings that are features beside the whole word: they stand for stems.
+PREFIXES = range(3, 9)
+
+#: Words whose weights one task keeps at hand.
+CACHED_WORDS = 200_000
+
 _TOKEN = re.compile(r"\w+|[.!?\n]")
 _STOPS = frozenset(".!?\n")
 
@@ -32,16 +41,30 @@ SENTENCES = T.ArrayType(
 )
 
 
+def features(word: str) -> list[str]:
+    """The whole word, and its beginnings."""
+    return ["=" + word, *("^" + word[:n] for n in PREFIXES if n <= len(word))]
+
+
 @dataclass
 class Model:
-    """A sentence's log odds are ``bias`` and the weights of its different words."""
+    """A sentence's log odds are ``bias`` and the weights of the features of its different words."""
 
     weights: dict[str, float]
     bias: float
+    words: dict[str, float] = field(default_factory=dict)
+
+    def weight(self, word: str) -> float:
+        found = self.words.get(word)
+        if found is None:
+            if len(self.words) >= CACHED_WORDS:
+                self.words.clear()
+            found = self.words[word] = sum(self.weights.get(f, 0.0) for f in features(word))
+        return found
 
     def odds(self, text: str) -> list[float]:
         """The log odds of every sentence with a word."""
-        out, weight, seen = [], self.weights.get, set()
+        out, known, seen = [], self.words.get, set()
         total, words = self.bias, 0
         for token in _TOKEN.findall(text.lower()):
             if token in _STOPS:
@@ -51,8 +74,10 @@ class Model:
                     seen.clear()
             else:
                 words += 1
-                w = weight(token)
-                if w is not None and token not in seen:
+                w = known(token)
+                if w is None:
+                    w = self.weight(token)
+                if w and token not in seen:
                     seen.add(token)
                     total += w
         if words:
@@ -120,8 +145,8 @@ def train(
 ) -> Model:
     """A model from labels (doc_id, toxic), fitted on at most ``max_docs`` labelled documents.
 
-    Words are chosen by how far their share of toxic documents is from the overall one, counted
-    by Spark; only ids of chosen words, sentence by sentence, reach the driver. Labels other than
+    Features are chosen by how far their share of toxic documents is from the overall one, counted
+    by Spark; only ids of chosen ones, sentence by sentence, reach the driver. Labels other than
     0 and 1 and null ids are passed over; of contradicting labels the largest counts; of rows with the same id
     each one counts. Without labels of both kinds the model gives every document the same small score.
     """
@@ -129,37 +154,41 @@ def train(
     sample = known.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(max_docs)
     # Bounded by max_docs rows of an id and a label.
     texts = docs.select("doc_id", F.col(text).alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id")
-    tokens = texts.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)"), F.lit(1)))).alias("word"))
+    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)"), F.lit(1)))
+    lengths = F.array(*map(F.lit, PREFIXES))
+    stems = F.flatten(F.transform(found, lambda w: F.transform(F.filter(lengths, lambda n: n <= F.char_length(w)), lambda n: F.concat(F.lit("^"), F.left(w, n)))))
+    whole = F.transform(found, lambda w: F.concat(F.lit("="), w))
+    tokens = texts.select("toxic", F.explode(F.array_distinct(F.concat(whole, stems))).alias("word"))
     totals = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n, n_toxic = sum(totals.values()), totals.get(1, 0)
     if not 0 < n_toxic < n:
         return Model({}, -5.0)
     rate = n_toxic / n
-    found = tokens.groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("k")).where(F.col("n") >= LEAST_DOCS)
+    counted = tokens.groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("k")).where(F.col("n") >= LEAST_DOCS)
     excess = F.abs(F.col("k") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
-    chosen = found.orderBy(excess.desc(), "word").limit(max_features).select("word")
+    chosen = counted.where(excess >= LEAST_Z).orderBy(excess.desc(), "word").limit(max_features).select("word")
     vocabulary = {r["word"]: i for i, r in enumerate(chosen.collect())}
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for x in batch.column("text").to_pylist():
-                ids: list[list[int]] = [[]]
+                sentences: list[set[str]] = [set()]
                 for t in _TOKEN.findall(x.lower()):
                     if t in _STOPS:
-                        ids.append([])
-                    elif (i := vocabulary.get(t)) is not None:
-                        ids[-1].append(i)
-                plain = sum(1 for _ in sentence_spans(x)) - sum(map(bool, ids))
-                out.append({"plain": plain, "ids": [sorted(set(s)) for s in ids if s]})
+                        sentences.append(set())
+                    else:
+                        sentences[-1].add(t)
+                ids = [[vocabulary[f] for w in sorted(s) for f in features(w) if f in vocabulary] for s in sentences if s]
+                out.append({"plain": sum(not s for s in ids), "ids": [s for s in ids if s]})
             yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "bag": pa.array(out, BAG)})
 
     schema = "toxic int, bag struct<plain:int,ids:array<array<int>>>"
     got = texts.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(bags, schema).toPandas()
     y = got["toxic"].to_numpy()
-    # Sentences without a chosen word have the bias alone; up to 50 of a document count.
+    # Sentences without a chosen feature have the bias alone; up to 50 of a document count.
     w, b = fit([[list(s) for s in x["ids"]] + [[]] * min(x["plain"], 50) for x in got["bag"]], y, len(vocabulary))
-    return Model({t: float(w[i]) for t, i in vocabulary.items() if abs(w[i]) > 0.05}, b)
+    return Model({t: float(w[i]) for t, i in vocabulary.items() if abs(w[i]) > 0.01}, b)
 
 
 BAG = pa.struct([("plain", pa.int32()), ("ids", pa.list_(pa.list_(pa.int32())))])
