@@ -1,12 +1,15 @@
 """Queries over the operators of this package, and the SQL of those that SQL can express."""
 
-from recordflow.llm import bpe, mixing, quality, toxicity
+from recordflow.llm import bpe, langid, mixing, quality, sketch, toxicity, warc
 
 QUERIES = {
     "op1_mix_curriculum": mixing.op1_mix_curriculum,
     "op2_toxicity_mil": toxicity.op2_toxicity_mil,
     "op3_byte_bpe": bpe.op3_byte_bpe,
+    "op4_language_fusion": langid.op4_language_fusion,
     "op5_quality_cascade": quality.op5_quality_cascade,
+    "op6_warc_segments": warc.op6_warc_segments,
+    "op7_bottomk_fingerprint": sketch.op7_bottomk_fingerprint,
 }
 
 ORACLE = {
