@@ -24,7 +24,7 @@ BINS = 1 << 15
 MAX_LANGUAGES = 64
 
 #: 4-grams beyond this many of a page add no certainty: neighbours aren't independent.
-EVIDENCE_GRAMS = 40.0
+EVIDENCE_GRAMS = 8.0
 
 #: Pages of a parent that a host's or domain's own pages are weighed against.
 PRIOR_PAGES = 5.0

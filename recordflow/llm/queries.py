@@ -1,6 +1,6 @@
 """Queries over the operators of this package, and the SQL of those that SQL can express."""
 
-from recordflow.llm import bpe, langid, mixing, quality, sketch, toxicity, warc
+from recordflow.llm import bpe, langid, mixing, quality, recompress, simhash, sketch, suffixes, toxicity, warc
 
 QUERIES = {
     "op1_mix_curriculum": mixing.op1_mix_curriculum,
@@ -10,6 +10,9 @@ QUERIES = {
     "op5_quality_cascade": quality.op5_quality_cascade,
     "op6_warc_segments": warc.op6_warc_segments,
     "op7_bottomk_fingerprint": sketch.op7_bottomk_fingerprint,
+    "op8_recompression": recompress.op8_recompression,
+    "op9_simhash_bktree": simhash.op9_simhash_bktree,
+    "op10_suffix_intervals": suffixes.op10_suffix_intervals,
 }
 
 ORACLE = {
