@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,16 +24,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished jobs whose frames nobody holds any more.
+
+    They go when the driver's JVM collects its garbage. The bridge to Python lets go of unused
+    frames now and then only, so that is asked for a few times.
+    """
+    gc.collect()
+    for _ in range(3):
+        time.sleep(1.2)
+        spark._jvm.System.gc()
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The frame written once to the shared folder and read back.
 
-    It cuts the lineage, gives later joins a known size, and lets Spark drop the shuffle files
-    behind it: they go when the driver's JVM collects its garbage, which is asked for here.
+    It cuts the lineage and gives later joins a known size.
     """
-    spark = df.sparkSession
-    out = StagingArea(spark).stage(df, label)
-    spark._jvm.System.gc()
-    return out
+    return StagingArea(df.sparkSession).stage(df, label)
+
+
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns, and all columns together as the struct ``row``, out of the way of other names."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
+
+
+def unpacked(rows: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of a packed frame, some of them changed."""
+    names = rows.schema["row"].dataType.names
+    return rows.select(*[(changed[n] if n in changed else F.col(f"row.`{n}`")).alias(n) for n in names])
 
 
 def words(text: Column) -> Column:

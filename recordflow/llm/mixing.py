@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordflow.llm.common import free_name, staged, table, words
+from recordflow.llm.common import free_name, packed, staged, table, unpacked, words
 
 #: A weight schedule: (end of the phase as a part of the run, weight in the phase), ends ascending to 1.
 Curve = Sequence[tuple[float, float]]
@@ -95,14 +95,14 @@ def curriculum(
     names = {"source_size", "target", "taken", "copies"}
     rows = docs.select(*[c for c in docs.columns if c not in names])
     rows = rows if text is None else rows.withColumn("size", word_count(text))
-    key, n, bucket, ahead, text_key = (free_name(rows, c) for c in ("md5", "n", "bucket", "ahead", "text_key"))
+    key, n, bucket, ahead, text_key, turn = (free_name(rows, c) for c in ("md5", "n", "bucket", "ahead", "text_key", "turn"))
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias(n))
-    targets = staged(source_targets(sizes, curves, share, cap), "mix-targets")
-    placed = rows.withColumn(key, digest).join(
-        targets.withColumnRenamed("source", src := free_name(rows, "src")), F.col("source").eqNullSafe(F.col(src)), "left"
-    ).drop(src)
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    src = free_name(rows, "src")
+    targets = source_targets(sizes, curves, share, cap)
+    targets = staged(targets.select(F.col("source").alias(src), "source_size", F.col("n").alias(n), F.col("turn").alias(turn), "target"), "mix-targets")
+    placed = rows.withColumn(key, digest).join(targets, F.col("source").eqNullSafe(F.col(src)), "left").drop(src)
     placed = placed.withColumn(bucket, F.floor(place * F.ceil(F.col(n) / BUCKET_ROWS) / F.lit(2.0**32)).cast("long"))
     sums = placed.groupBy("source", bucket).agg(F.sum("size").alias(ahead))
     before = F.sum(ahead).over(Window.partitionBy("source").orderBy(bucket)) - F.col(ahead)
@@ -126,16 +126,16 @@ def curriculum(
 
     def position(at: Column) -> Column:
         demand = at / F.col("target")
-        out = F.when(F.col("turn") == 0, progress(curves[0], demand))
+        out = F.when(F.col(turn) == 0, progress(curves[0], demand))
         for i, curve in enumerate(curves[1:], 1):
-            out = out.when(F.col("turn") == i, progress(curve, demand))
+            out = out.when(F.col(turn) == i, progress(curve, demand))
         return out
 
     steps = free_name(rows, "steps")
     placed = placed.withColumn(steps, F.filter(passes, lambda c: c["take"] > 0))
     placed = placed.withColumn("copies", F.coalesce(F.transform(steps, lambda c: F.struct(position(c["at"]).alias("position"), c["take"].alias("take"))), F.array()))
     placed = placed.withColumn("taken", F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["take"]))
-    return placed.drop(key, n, bucket, ahead, text_key, steps, "turn", "weight")
+    return placed.drop(key, n, bucket, ahead, text_key, steps, turn)
 
 
 def training_order(mixed: DataFrame, text: str = "text") -> DataFrame:
@@ -155,9 +155,9 @@ def op1_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the copies in training order, with the columns of documents."""
-    mixed = curriculum(docs.select("doc_id", "text", "lang", "source", "n_chars"))
-    out = training_order(mixed)
-    return out.withColumn("n_chars", F.when(F.col("take") < F.col("size"), F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    out = training_order(curriculum(packed(docs, "doc_id", "text", "source")))
+    cut = F.col("take") < F.col("size")
+    return unpacked(out, text=F.col("text"), n_chars=F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("row.n_chars")))
 
 
 OP1_SQL = """

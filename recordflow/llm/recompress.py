@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordflow.llm.common import table
-from recordflow.llm.repeats import Anchors, Buffer, cut_texts, merged, mix, prefix_sums, stretch_hashes
+from recordflow.llm.common import packed, table, unpacked
+from recordflow.llm.repeats import Anchors, Buffer, binaries, bytes_of, cut_texts, merged, mix, prefix_sums, stretch_hashes, stretches
 
 WINDOW_WORDS = 13
 
@@ -129,32 +129,45 @@ class Recompression:
         own = row[place[begin]]
         return Anchors(anchor[begin], own, place[begin] - firsts[own], Windows((at - place).astype(np.int8), key, np.append(begin, len(at))))
 
-    def contents(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> list[bytes]:
+    def contents(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray]:
+        """The windows of an anchor, each as its offset in one byte and its hash in eight."""
         windows: Windows = anchors.more
-        offset, key, begin = windows.offset.tobytes(), windows.key.astype("<u8").tobytes(), windows.begin.tolist()
-        return [offset[begin[i] : begin[i + 1]] + key[8 * begin[i] : 8 * begin[i + 1]] for i in chosen.tolist()]
-
-    def reach(self, contents: bytes) -> tuple[int, int]:
-        offsets = np.frombuffer(contents[: len(contents) // 9], np.int8)
-        return int(offsets[0]), int(offsets[-1]) + self.window
-
-    def covered(self, names: list[int], docs: list[int], contents: list[bytes]) -> list[tuple[int, int] | None]:
-        if not names:
-            return []
-        n = np.array([len(c) // 9 for c in contents])
-        owner = np.repeat(np.arange(len(names)), n)
-        offset = np.frombuffer(b"".join(c[: len(c) // 9] for c in contents), np.int8).astype(int)
-        key = np.frombuffer(b"".join(c[len(c) // 9 :] for c in contents), "<u8")
-        name, doc = np.array(names)[owner], np.array(docs)[owner]
-        order = np.lexsort((key, name))
-        start = np.flatnonzero(np.concatenate([[True], (name[order][1:] != name[order][:-1]) | (key[order][1:] != key[order][:-1])]))
-        least = np.repeat(np.minimum.reduceat(doc[order], start), np.diff(np.append(start, len(order))))
-        gone = order[doc[order] > least]
-        low, high = np.full(len(names), 127), np.full(len(names), -128)
-        np.minimum.at(low, owner[gone], offset[gone])
-        np.maximum.at(high, owner[gone], offset[gone])
-        # All windows of an anchor overlap in it, so those that go are one stretch.
-        return [(a, b + self.window) if a <= b else None for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+        n = windows.begin[chosen + 1] - windows.begin[chosen]
+        at = stretches(windows.begin[chosen], n)
+        offset, key = windows.offset[at], windows.key[at]
+        data = np.empty((len(at), 9), np.uint8)
+        data[:, 0] = offset.view(np.uint8)
+        data[:, 1:] = key.astype("<u8").view(np.uint8).reshape(-1, 8)
+        ends = np.cumsum(n)
+        digest = np.add.reduceat(mix(key + offset.view(np.uint8)), ends - n)
+        return binaries(data, 9 * n), mix(digest)
+
+    def windows_of(self, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Offsets and hashes of all windows, and how many each row has."""
+        data, length = bytes_of(contents)
+        data = data.reshape(-1, 9)
+        return data[:, 0].view(np.int8).astype(np.int64), np.ascontiguousarray(data[:, 1:]).view("<u8").ravel(), length // 9
+
+    def reach(self, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        offset, _, n = self.windows_of(contents)
+        ends = np.cumsum(n)
+        return offset[ends - n], offset[ends - 1] + self.window
+
+    def covered(self, names: np.ndarray, docs: np.ndarray, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        low, high = np.full(len(names), 127), np.full(len(names), -128 - self.window)
+        if len(names):
+            offset, key, n = self.windows_of(contents)
+            owner = np.repeat(np.arange(len(names)), n)
+            name, doc = names[owner], docs[owner]
+            order = np.lexsort((key, name))
+            name, key = name[order], key[order]
+            start = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (key[1:] != key[:-1])]))
+            least = np.repeat(np.minimum.reduceat(doc[order], start), np.diff(np.append(start, len(order))))
+            gone = order[doc[order] > least]
+            # All windows of an anchor overlap in it, so those that go are one stretch.
+            np.minimum.at(low, owner[gone], offset[gone])
+            np.maximum.at(high, owner[gone], offset[gone])
+        return low, high + self.window
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
@@ -185,8 +198,7 @@ def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deduplicated_words_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: texts without the words of passages that an earlier document has; untouched ones stay as they are."""
-    names = docs.columns
-    rows = deduplicated(docs.select("doc_id", "text", "lang", "source", "n_chars"))
+    rows = deduplicated(packed(docs, "doc_id", "text"))
     cut = F.col("n_removed") > 0
     text = F.when(cut, F.col("kept")).otherwise(F.col("text"))
-    return rows.withColumn("text", text).withColumn("n_chars", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*names)
+    return unpacked(rows, text=text, n_chars=F.when(cut, F.char_length("kept").cast("long")).otherwise(F.col("row.n_chars")))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from recordflow.llm.common import chunks, staged
+from recordflow.llm.common import chunks, free_name, released, staged
 
 #: Bytes of text that are worked on at once; arrays of eight bytes for each of them are held.
 CHUNK_BYTES = 1 << 20
@@ -90,20 +90,44 @@ class Anchors(NamedTuple):
 class Scheme(Protocol):
     def anchors(self, buffer: Buffer) -> Anchors: ...
 
-    def contents(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> list[bytes]:
-        """What lies around each chosen anchor, to be compared exactly; equal contents have equal reach."""
+    def contents(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray]:
+        """What lies around each chosen anchor, and hashes of it; equal contents have equal reach."""
 
-    def reach(self, contents: bytes) -> tuple[int, int]:
+    def reach(self, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end, relative to the anchor, of all windows within some contents."""
 
-    def covered(self, names: list[int], docs: list[int], contents: list[bytes]) -> list[tuple[int, int] | None]:
-        """Of rows sorted by name: start and end, relative to the anchor, of what a smaller document of the group also has."""
+    def covered(self, names: np.ndarray, docs: np.ndarray, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Of rows sorted by name: start and end, relative to the anchor, of what a smaller document of the group also has.
+
+        The end is not after the start where there is nothing.
+        """
+
+
+def stretches(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All places of the given stretches, one after another."""
+    ends = np.cumsum(length)
+    return np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def binaries(data: np.ndarray, length: np.ndarray) -> pa.BinaryArray:
+    offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def bytes_of(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values one after another, and the length of each."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return data[offsets[0] : offsets[-1]], np.diff(offsets)
 
 
 def keyed(docs: DataFrame, text: str) -> DataFrame:
-    """(_doc, _key, text and the other columns): a null id counts as the largest; rows equal in id and text have one key."""
-    last = F.lit(2**63 - 1)
-    return docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), last), "_key": F.xxhash64("doc_id", F.coalesce(text, F.lit("")))})
+    """(_doc, _key, _text): a null id counts as the largest; rows equal in id and text have one key."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("_doc"), key_of(text).alias("_key"), F.col(text).alias("_text"))
+
+
+def key_of(text: str):
+    return F.xxhash64("doc_id", F.coalesce(text, F.lit("")))
 
 
 def _spread(n: int, seed: np.ndarray) -> np.ndarray:
@@ -114,14 +138,14 @@ def _spread(n: int, seed: np.ndarray) -> np.ndarray:
 NAMED = pa.schema([("route", pa.int64()), ("name", pa.int64()), ("doc", pa.int64()), ("key", pa.int64()), ("known", pa.bool_())])
 
 
-def shared_anchors(docs: DataFrame, scheme: Scheme, text: str) -> DataFrame:
+def shared_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """(key, names): for each text its anchors that a document of another id has, too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, text, CHUNK_BYTES):
+            for part in chunks(batch, "_text", CHUNK_BYTES):
                 doc, key = (part.column(c).to_numpy() for c in ("_doc", "_key"))
-                found = scheme.anchors(buffer_of(part.column(text)))
+                found = scheme.anchors(buffer_of(part.column("_text")))
                 order = np.lexsort((found.row, found.name))
                 name, row = found.name[order], found.row[order]
                 keep = np.ones(len(name), bool)
@@ -140,7 +164,7 @@ def shared_anchors(docs: DataFrame, scheme: Scheme, text: str) -> DataFrame:
                 route = np.where(known, route, name.astype(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (route, name.astype(np.int64), doc[row], key[row], known)], schema=NAMED)
 
-    named = docs.select("_doc", "_key", text).mapInArrow(run, "route bigint, name bigint, doc bigint, key bigint, known boolean")
+    named = docs.mapInArrow(run, "route bigint, name bigint, doc bigint, key bigint, known boolean")
     group = Window.partitionBy("route")
     told = named.withColumn("shared", (F.min("doc").over(group) < F.max("doc").over(group)) | F.max("known").over(group))
     return told.where("shared").groupBy("key").agg(F.collect_set("name").alias("names"))
@@ -150,40 +174,40 @@ AROUND = "route bigint, doc bigint, key bigint, at array<int>, contents binary,
 _AROUND = pa.schema([("route", pa.int64()), ("doc", pa.int64()), ("key", pa.int64()), ("at", pa.list_(pa.int32())), ("contents", pa.binary()), ("decided", pa.bool_())])
 
 
-def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme, text: str) -> DataFrame:
+def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme) -> DataFrame:
     """The contents around shared anchors, once for each document of the smallest id in a chunk that has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, text, CHUNK_BYTES):
+            for part in chunks(batch, "_text", CHUNK_BYTES):
                 doc, key = (part.column(c).to_numpy() for c in ("_doc", "_key"))
-                buffer = buffer_of(part.column(text))
+                buffer = buffer_of(part.column("_text"))
                 found = scheme.anchors(buffer)
                 lists = part.column("names")
                 wanted = lists.flatten().to_numpy().astype(np.uint64)
                 of = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
                 step = np.uint64(_P)
                 chosen = np.flatnonzero(np.isin(found.name + found.row.astype(np.uint64) * step, wanted + of.astype(np.uint64) * step))
-                contents = scheme.contents(buffer, found, chosen)
-                name, row, at = found.name[chosen].astype(np.int64).tolist(), found.row[chosen].tolist(), found.at[chosen].tolist()
-                same: dict[tuple[int, bytes], dict[int, list[int]]] = {}
-                for n, c, r, p in zip(name, contents, row, at, strict=True):
-                    same.setdefault((n, c), {}).setdefault(r, []).append(p)
-                out: list[list] = [[], [], [], [], [], []]
-                ids, keys = doc.tolist(), key.tolist()
-                for (n, c), rows in same.items():
-                    low = min(ids[r] for r in rows) if len(rows) > 1 else None
-                    for r, places in rows.items():
-                        decided = low is not None and ids[r] > low
-                        # A decided row joins no group, so it may go anywhere.
-                        route = keys[r] ^ places[0] if decided else n
-                        for column, value in zip(out, (route, ids[r], keys[r], places, c, decided), strict=True):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, _AROUND, strict=True)], schema=_AROUND)
+                if not len(chosen):
+                    continue
+                contents, digest = scheme.contents(buffer, found, chosen)
+                name, row, at = found.name[chosen], found.row[chosen], found.at[chosen]
+                # Rows of one anchor with equal contents lie together, those of one text next to each other.
+                order = np.lexsort((at, row, digest, name))
+                name, row, at, digest = name[order], row[order], at[order], digest[order]
+                new = np.concatenate([[True], (name[1:] != name[:-1]) | (digest[1:] != digest[:-1])])
+                low = np.minimum.reduceat(doc[row], np.flatnonzero(new))[np.cumsum(new) - 1]
+                text = np.flatnonzero(new | np.concatenate([[True], row[1:] != row[:-1]]))
+                row, name, low = row[text], name[text].astype(np.int64), low[text]
+                decided = doc[row] > low
+                # A decided row joins no group, so it may go anywhere.
+                route = np.where(decided, key[row] ^ at[text], name)
+                places = pa.ListArray.from_arrays(pa.array(np.append(text, len(order)), pa.int32()), pa.array(at, pa.int32()))
+                out = [pa.array(route), pa.array(doc[row]), pa.array(key[row]), places, contents.take(pa.array(order[text])), pa.array(decided)]
+                yield pa.RecordBatch.from_arrays(out, schema=_AROUND)
 
     hits = shared.withColumnRenamed("key", "_hit")
-    rows = docs.select("_doc", "_key", text)
-    return rows.join(hits, F.col("_key") == F.col("_hit")).drop("_hit").mapInArrow(run, AROUND)
+    return docs.join(hits, F.col("_key") == F.col("_hit")).drop("_hit").mapInArrow(run, AROUND)
 
 
 def resolved_groups(around: DataFrame, resolve: Callable[[list], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -215,14 +239,19 @@ def covered_spans(around: DataFrame, scheme: Scheme) -> DataFrame:
     """(key, spans): for each text the stretches of windows that a smaller document has, too."""
 
     def resolve(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held)
-        route, doc, key, at, contents, decided = (table.column(f.name).to_pylist() for f in _AROUND)
-        open_ = [i for i, d in enumerate(decided) if not d]
-        reach: list = [scheme.reach(c) if d else None for c, d in zip(contents, decided, strict=True)]
-        for i, r in zip(open_, scheme.covered([route[i] for i in open_], [doc[i] for i in open_], [contents[i] for i in open_]), strict=True):
-            reach[i] = r
-        found = [(k, p + r[0], p + r[1]) for k, places, r in zip(key, at, reach, strict=True) if r for p in places]
-        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], COVERED[i].type) for i in range(3)], schema=COVERED)
+        table = pa.Table.from_batches(held).combine_chunks()
+        if not table.num_rows:
+            return
+        route, doc, key, decided = (table.column(c).to_numpy() for c in ("route", "doc", "key", "decided"))
+        contents = table.column("contents").combine_chunks()
+        at = table.column("at").combine_chunks()
+        start, end = np.zeros(len(route), np.int64), np.zeros(len(route), np.int64)
+        start[decided], end[decided] = scheme.reach(contents.filter(pa.array(decided)))
+        start[~decided], end[~decided] = scheme.covered(route[~decided], doc[~decided], contents.filter(pa.array(~decided)))
+        times = np.where(end > start, np.diff(at.offsets.to_numpy()), 0)
+        place = at.flatten().to_numpy()[np.repeat(end > start, np.diff(at.offsets.to_numpy()))]
+        out = (np.repeat(key, times), place + np.repeat(start, times), place + np.repeat(end, times))
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, COVERED, strict=True)], schema=COVERED)
 
     rows = resolved_groups(around, resolve, "key bigint, start int, end int")
     return rows.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
@@ -234,18 +263,21 @@ def cut_texts(docs: DataFrame, scheme: Scheme, cut: Callable[[str, list], tuple]
     rows = docs.drop(*names)
     kept = rows.schema.fields
     marked = keyed(rows, text)
-    shared = staged(shared_anchors(marked, scheme, text), "repeat-anchors")
-    spans = staged(covered_spans(around_anchors(marked, shared, scheme, text), scheme), "repeat-spans")
+    shared = staged(shared_anchors(marked, scheme), "repeat-anchors")
+    released(docs.sparkSession)
+    spans = staged(covered_spans(around_anchors(marked, shared, scheme), scheme), "repeat-spans")
+    released(docs.sparkSession)
+    own, key, found = (free_name(rows, c) for c in ("own", "key", "found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [cut(x or "", [(s["start"], s["end"]) for s in found or []]) for x, found in zip(batch.column(text).to_pylist(), batch.column("spans_").to_pylist(), strict=True)]
+            made = [cut(x or "", [(s["start"], s["end"]) for s in spans or []]) for x, spans in zip(batch.column(text).to_pylist(), batch.column(found).to_pylist(), strict=True)]
             cols = [batch.column(f.name) for f in kept] + [pa.array([m[i] for m in made], t) for i, (_, _, t) in enumerate(added)]
             yield pa.RecordBatch.from_arrays(cols, [*(f.name for f in kept), *names])
 
-    joined = marked.join(spans.select(F.col("key").alias("key_"), F.col("spans").alias("spans_")), F.col("_key") == F.col("key_"), "left")
+    joined = rows.withColumn(own, key_of(text)).join(spans.select(F.col("key").alias(key), F.col("spans").alias(found)), F.col(own) == F.col(key), "left")
     schema = T.StructType([*kept, *(T.StructField(n, t) for n, t, _ in added)])
-    return joined.drop("key_", "_doc", "_key").mapInArrow(run, schema)
+    return joined.drop(own, key).mapInArrow(run, schema)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

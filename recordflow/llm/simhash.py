@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordflow.llm.common import free_name, staged, table
+from recordflow.llm.common import free_name, packed, released, staged, table, unpacked
 from recordflow.llm.components import components
 
 BITS = 64
@@ -241,6 +241,7 @@ def near_duplicates(printed: DataFrame, radius: int = RADIUS, fingerprint: str =
     ids = staged(named.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
     own, root = free_name(rows, "own"), free_name(rows, "component")
     ids = staged(named.join(ids, "root").select(F.col("fingerprint").alias(own), F.col("root").alias(root), "component_id"), "simhash-ids")
+    released(rows.sparkSession)
     return rows.join(ids, F.col(fingerprint) == F.col(own)).drop(own)
 
 
@@ -262,11 +263,10 @@ NEAR_BANDS = 4
 
 def deduplicated_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of near-duplicates the document with the smallest id, once if it is repeated."""
-    key = free_name(docs, "text_key")
-    rows = fingerprints(docs.select("doc_id", "text", F.xxhash64("text").alias(key)), shingle_words=NEAR_WORDS, bands=NEAR_BANDS).drop("text")
-    grouped = near_duplicates(staged(rows, "near"), NEAR_RADIUS, minima="minima")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col(key).alias("k"))).alias("first")
+    rows = packed(docs, "doc_id", "text").withColumn("key", F.xxhash64("text"))
+    printed = fingerprints(rows.drop("row"), shingle_words=NEAR_WORDS, bands=NEAR_BANDS).drop("text")
+    grouped = near_duplicates(staged(printed, "near"), NEAR_RADIUS, minima="minima")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("k"))).alias("first")
     kept = staged(grouped.groupBy("component").agg(first).select("first.id", "first.k").distinct(), "near-kept")
-    rows = docs.withColumn(key, F.xxhash64("text"))
-    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col(key) == F.col("k")), "left_semi")
-    return rows.dropDuplicates(["doc_id", key]).drop(key)
+    chosen = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("key").eqNullSafe(F.col("k")), "left_semi")
+    return unpacked(chosen.dropDuplicates(["doc_id", "key"]))

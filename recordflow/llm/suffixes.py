@@ -10,6 +10,7 @@ maximal repeat with all its occurrences.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ from recordflow.llm.repeats import (
     Anchors,
     Buffer,
     around_anchors,
+    binaries,
+    bytes_of,
     cut_texts,
     keyed,
     merged,
@@ -31,6 +34,8 @@ from recordflow.llm.repeats import (
     prefix_sums,
     resolved_groups,
     shared_anchors,
+    stretch_hashes,
+    stretches,
 )
 
 WINDOW_BYTES = 50
@@ -72,6 +77,13 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], window: int, anchor
             yield left, right, members[a:b]
 
 
+class Places(NamedTuple):
+    """Places of the anchors in the buffer, and the sums that its stretches are hashed by."""
+
+    at: np.ndarray
+    sums: np.ndarray
+
+
 class Suffixes:
     def __init__(self, window: int = WINDOW_BYTES, anchor: int = ANCHOR_BYTES):
         if not 0 < anchor < window < 256:
@@ -94,36 +106,41 @@ class Suffixes:
         low[left[: len(low)] < w] = 0
         high = sliding(np.concatenate([np.zeros(reach - 1, np.uint64), low, np.zeros(reach - 1, np.uint64)]), reach, np.maximum)
         at = np.flatnonzero((name == high) & (left[: n - q + 1] >= q))
-        return Anchors(name[at], row[at].astype(np.int64), at - buffer.offsets[:-1][row[at]], at)
-
-    def contents(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> list[bytes]:
-        at, row = anchors.more[chosen] if len(chosen) else chosen, anchors.row[chosen]
-        before = np.minimum(anchors.at[chosen], self.window - self.anchor).tolist()
-        end = np.minimum(at + self.window, buffer.offsets[1:][row]).tolist()
-        data = buffer.data.tobytes()
-        return [bytes((b,)) + data[a - b : e] for a, b, e in zip(at.tolist(), before, end, strict=True)]
-
-    def reach(self, contents: bytes) -> tuple[int, int]:
-        return -contents[0], len(contents) - 1 - contents[0]
+        return Anchors(name[at], row[at].astype(np.int64), at - buffer.offsets[:-1][row[at]], Places(at, sums))
+
+    def contents(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray]:
+        """One byte with the number of bytes before the anchor, these, and those from the anchor on."""
+        at, row = anchors.more.at[chosen], anchors.row[chosen]
+        before = np.minimum(anchors.at[chosen], self.window - self.anchor)
+        end = np.minimum(at + self.window, buffer.offsets[1:][row])
+        length = end - at + before + 1
+        data = buffer.data[np.maximum(stretches(at - before - 1, length), 0)]
+        data[np.cumsum(length) - length] = before
+        return binaries(data, length), mix(stretch_hashes(anchors.more.sums, at - before, end) + before.astype(np.uint64))
+
+    def reach(self, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        data, length = bytes_of(contents)
+        before = data[np.cumsum(length) - length].astype(np.int64)
+        return -before, length - 1 - before
 
     def repeats(self, contents: list[bytes]) -> Iterator[tuple[int, int, list[int]]]:
         lefts = [c[1 : 1 + c[0]][::-1] for c in contents]
         return maximal_repeats(lefts, [c[1 + c[0] :] for c in contents], self.window, self.anchor)
 
-    def covered(self, names: list[int], docs: list[int], contents: list[bytes]) -> list[tuple[int, int] | None]:
-        out: list[tuple[int, int] | None] = [None] * len(names)
+    def covered(self, names: np.ndarray, docs: np.ndarray, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        start, end = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
         for a, b in groups(names):
-            own = docs[a:b]
+            own = docs[a:b].tolist()
             if min(own) == max(own):
                 continue
-            for left, right, members in self.repeats(contents[a:b]):
+            for left, right, members in self.repeats(contents[a:b].to_pylist()):
                 least = min(own[i] for i in members)
                 for i in members:
                     if own[i] > least:
                         # All stretches hold the anchor, so their union is one.
-                        before = out[a + i] or (0, 0)
-                        out[a + i] = (min(before[0], -left), max(before[1], right))
-        return out
+                        start[a + i] = min(start[a + i], -left)
+                        end[a + i] = max(end[a + i], right)
+        return start, end
 
 
 def sliding(x: np.ndarray, n: int, least: np.ufunc) -> np.ndarray:
@@ -135,14 +152,12 @@ def sliding(x: np.ndarray, n: int, least: np.ufunc) -> np.ndarray:
     return least(x[: len(x) - (n - have)], x[n - have :]) if n > have else x
 
 
-def groups(names: list[int]) -> Iterator[tuple[int, int]]:
+def groups(names: np.ndarray) -> Iterator[tuple[int, int]]:
     """Start and end of stretches of two or more equal names."""
-    start = 0
-    for i in range(1, len(names) + 1):
-        if i == len(names) or names[i] != names[start]:
-            if i - start > 1:
-                yield start, i
-            start = i
+    start = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]])) if len(names) else np.zeros(0, np.int64)
+    end = np.append(start[1:], len(names))
+    some = end - start > 1
+    yield from zip(start[some].tolist(), end[some].tolist(), strict=True)
 
 
 def cut_bytes(text: str, spans: list[tuple[int, int]]) -> tuple[int, int, int, bytes]:
@@ -175,19 +190,19 @@ def repeat_groups(docs: DataFrame, text: str = "text", window: int = WINDOW_BYTE
     """
     scheme = Suffixes(window)
     marked = keyed(docs, text)
-    shared = staged(shared_anchors(marked, scheme, text), "repeat-anchors")
+    shared = staged(shared_anchors(marked, scheme), "repeat-anchors")
     schema = pa.schema([("bucket", pa.int64()), ("length", pa.int32()), ("key", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 
     def resolve(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(held)
         route, doc, key, at, contents, _ = (rows.column(f.name).to_pylist() for f in _AROUND)
         out = []
-        for a, b in groups(route):
+        for a, b in groups(np.array(route, np.int64)):
             for left, right, members in scheme.repeats(contents[a:b]):
                 out += [(route[a], left + right, key[a + i], doc[a + i], p - left, p + right) for i in members for p in at[a + i]]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
-    around = around_anchors(marked, shared, scheme, text)
+    around = around_anchors(marked, shared, scheme)
     return resolved_groups(around, resolve, "bucket bigint, length int, key bigint, doc_id bigint, start int, end int")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordflow.llm.common import table
+from recordflow.llm.common import packed, table, unpacked
 
 #: Labelled documents that a model is fitted on at most, those of the smallest hash of their id.
 MAX_TRAINING_DOCS = 20_000
@@ -238,5 +238,5 @@ def op2_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that are more likely clean than toxic."""
-    scored = score(docs, contract_model(spark, docs, sf_dir))
-    return scored.where(F.col("toxicity") < 0.5).select(*docs.columns)
+    scored = score(packed(docs, "text"), contract_model(spark, docs, sf_dir))
+    return unpacked(scored.where(F.col("toxicity") < 0.5))
