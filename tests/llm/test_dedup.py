@@ -1,0 +1,199 @@
+"""Both substring deduplications, SimHash groups and components against brute force."""
+
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from recordflow.llm import components, recompress, simhash, suffixes
+from recordflow.llm.repeats import buffer_of, merged
+from tests.llm.conftest import ROWS
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LAST = 2**63 - 1
+
+
+def removed(sequences, n):
+    """Which places of (id, sequence) are in a window of n that starts in a sequence of a smaller id."""
+    first = {}
+    for d, s in sequences:
+        for i in range(len(s) - n + 1):
+            w = s[i : i + n] if isinstance(s, bytes) else tuple(s[i : i + n])
+            first[w] = min(first.get(w, LAST), d)
+    out = []
+    for d, s in sequences:
+        gone = bytearray(len(s))
+        for i in range(len(s) - n + 1):
+            if first[s[i : i + n] if isinstance(s, bytes) else tuple(s[i : i + n])] < d:
+                gone[i : i + n] = b"\1" * n
+        out.append(gone)
+    return out
+
+
+def ids(rows):
+    return [LAST if r[0] is None else r[0] for r in rows]
+
+
+@pytest.fixture
+def rows():
+    """Without the very long texts, which brute force has no time for."""
+    return [r for r in ROWS if len(r[1] or "") < 20_000]
+
+
+def test_words(spark, rows, odd, clashing):
+    words = [WORD.findall(r[1] or "") for r in rows]
+    gone = removed(list(zip(ids(rows), words, strict=True)), 13)
+    expected = Counter((r[0], len(w), sum(g), " ".join(x for x, y in zip(w, g, strict=True) if not y)) for r, w, g in zip(rows, words, gone, strict=True))
+    for docs in (odd, clashing):
+        got = recompress.deduplicated(docs).where("coalesce(length(text), 0) < 20000")
+        assert Counter(tuple(r[c] for c in ("doc_id", "n_words", "n_removed", "kept")) for r in got.collect()) == expected
+    assert [c for c in clashing.columns if c not in got.columns] == []
+    assert {r["_key"] for r in got.select("_key").collect()} == {"mine"}
+
+
+def test_bytes(spark, rows, odd, clashing):
+    data = [(r[1] or "").encode() for r in rows]
+    gone = removed(list(zip(ids(rows), data, strict=True)), 50)
+    expected = Counter(
+        (r[0], len(b), sum(g), len(re.findall(b"\1+", bytes(g))), bytes(x for x, y in zip(b, g, strict=True) if not y)) for r, b, g in zip(rows, data, gone, strict=True)
+    )
+    for docs in (odd, clashing):
+        got = suffixes.deduplicated(docs).where("coalesce(length(text), 0) < 20000")
+        assert Counter((*(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans")), bytes(r["kept"])) for r in got.collect()) == expected
+
+
+def test_empty_tables(empty):
+    assert recompress.deduplicated(empty).count() == suffixes.deduplicated(empty).count() == 0
+    printed = simhash.fingerprints(empty)
+    assert simhash.near_duplicates(printed).count() == 0
+
+
+def test_small_alphabets(spark):
+    """Runs, periods and overlaps, which random prose lacks."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["a", "b"], size=rng.integers(5, 60))) for _ in range(40)] + ["a " * 30, "a b " * 20, "b a " * 15, "c " + "a " * 14]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    words = [WORD.findall(t) for t in texts]
+    gone = removed(list(enumerate(words)), 13)
+    got = {r["doc_id"]: r["n_removed"] for r in recompress.deduplicated(docs).collect()}
+    assert got == {i: sum(g) for i, g in enumerate(gone)}
+    gone = removed([(i, t.encode()) for i, t in enumerate(texts)], 50)
+    got = {r["doc_id"]: r["n_removed"] for r in suffixes.deduplicated(docs).collect()}
+    assert got == {i: sum(g) for i, g in enumerate(gone)}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), min_size=20, max_size=40), min_size=2, max_size=5))
+def test_equal_windows_have_equal_anchors(texts):
+    import pyarrow as pa
+
+    scheme = recompress.Recompression()
+    buffer = buffer_of(pa.array([" ".join(t) for t in texts]))
+    found = scheme.anchors(buffer)
+    seen = {}
+    windows = found.more
+    for i in range(len(found.name)):
+        for j in range(windows.begin[i], windows.begin[i + 1]):
+            at = found.at[i] + windows.offset[j]
+            w = tuple(texts[found.row[i]][at : at + 13])
+            assert seen.setdefault(w, (found.name[i], windows.offset[j], windows.key[j])) == (found.name[i], windows.offset[j], windows.key[j])
+    assert sum(np.diff(windows.begin)) == sum(len(t) - 12 for t in texts)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(max_size=6).map(lambda b: bytes(x % 2 + 97 for x in b)), min_size=2, max_size=12))
+def test_intervals_are_those_of_the_suffixes(texts):
+    texts = sorted(texts)
+    found = {(n, a, b) for n, a, b in suffixes.intervals(texts, 0)}
+    expected = set()
+    for a in range(len(texts)):
+        for b in range(a + 2, len(texts) + 1):
+            n = min(suffixes.common(texts[i], texts[i + 1]) for i in range(a, b - 1))
+            wider = [suffixes.common(texts[i], texts[i + 1]) for i in (a - 1, b - 1) if 0 <= i < len(texts) - 1]
+            if all(w < n for w in wider):
+                expected.add((n, a, b))
+    assert found == expected
+
+
+def test_repeat_groups_hold_all_occurrences(spark):
+    passage = "".join(chr(97 + (7 * i * i + 3 * i) % 26) for i in range(60))
+    texts = [f"{c * 30}{passage}{d * 30}" for c, d in ("AB", "CD", "EF")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3, "doc_id")
+    groups = suffixes.repeat_groups(docs).collect()
+    assert {r["doc_id"] for r in groups} == {0, 1, 2}
+    assert all(30 <= r["start"] and r["end"] <= 90 and r["end"] - r["start"] >= 50 for r in groups)
+
+
+def test_merged_spans():
+    assert merged([(5, 9), (0, 3), (3, 4), (8, 12)]) == [(0, 4), (5, 12)]
+
+
+def test_fingerprints_and_components(spark, odd, clashing):
+    def print_of(text):
+        words = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    values = [print_of(r[1]) for r in ROWS]
+    root = list(range(len(ROWS)))
+    for _ in ROWS:
+        for i, a in enumerate(values):
+            for j, b in enumerate(values):
+                if (a ^ b).bit_count() <= 2:
+                    root[i] = root[j] = min(root[i], root[j])
+    least = {r: min((ROWS[i][0] for i in range(len(ROWS)) if root[i] == r and ROWS[i][0] is not None), default=None) for r in root}
+    expected = Counter((ROWS[i][0], f"{v:016x}", least[root[i]]) for i, v in enumerate(values))
+    for docs in (odd, clashing):
+        got = simhash.near_duplicates(simhash.fingerprints(docs)).withColumn("hex", simhash.as_hex())
+        assert Counter((r["doc_id"], r["hex"], r["component_id"]) for r in got.collect()) == expected
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 5])
+def test_trees_find_all_pairs(radius):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (40, 6, 3)).astype(np.uint64)
+    values = np.unique(np.concatenate([base, (base[:, None] ^ np.bitwise_xor.reduce(flips, axis=2)).ravel()]))
+    q, v = simhash.BKTree(values).within(values, radius)
+    assert set(zip(q.tolist(), v.tolist(), strict=True)) == {(i, j) for i, a in enumerate(values) for j, b in enumerate(values) if int(a ^ b).bit_count() <= radius}
+
+
+def test_divided_shards_lose_no_link(spark):
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**62, 6, dtype=np.int64)
+    values = sorted({int(b) ^ (1 << int(i)) ^ (1 << int(j)) for b in base for i, j in rng.integers(0, 62, (60, 2))})
+    nodes = spark.createDataFrame([(v,) for v in values], "fingerprint long")
+    links = simhash.linked(simhash.sharded(nodes, 2, shard_rows=20), 2)
+    got = {r["node"]: r["component"] for r in components.components(links).collect()}
+    root = {v: v for v in values}
+    changed = True
+    while changed:
+        changed = False
+        for a in values:
+            for b in values:
+                if (a ^ b).bit_count() <= 2 and root[a] != root[b]:
+                    root[a] = root[b] = min(root[a], root[b])
+                    changed = True
+    assert {v: got.get(v, v) for v in values} == root
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(30)] + [(1000, i) for i in range(1001, 1200)] + [(7, 7)]
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(31)} | {i: 1000 for i in range(1000, 1200)}
+
+
+def test_digest_query(spark, sf_dir):
+    """The query's digests, over whole tables."""
+    rows = {r["doc_id"]: r for r in recompress.op8_recompression(spark, sf_dir).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    words = [(r["doc_id"], WORD.findall(r["text"])) for r in docs]
+    for (d, w), g in zip(words, removed(words, 13), strict=True):
+        kept = " ".join(x for x, y in zip(w, g, strict=True) if not y)
+        assert rows[d]["n_removed"] == sum(g) and rows[d]["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
