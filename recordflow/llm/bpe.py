@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordflow.llm.common import free_name, table
+from recordflow.llm.common import free_name, mapped, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -91,7 +91,7 @@ def encode(
             yield pa.RecordBatch.from_arrays([c for _, c in kept] + [pa.array(packed, pa.binary())], [n for n, _ in kept] + [ids])
 
     fields = [f for f in docs.schema.fields if f.name != ids]
-    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(ids, T.BinaryType())]))
+    return mapped(docs, run, T.StructType([*fields, T.StructField(ids, T.BinaryType())]))
 
 
 def decode(
@@ -116,7 +116,7 @@ def decode(
             yield pa.RecordBatch.from_arrays([c for _, c in kept] + [pa.array(texts, pa.binary())], [n for n, _ in kept] + [decoded])
 
     fields = [f for f in tokens.schema.fields if f.name != decoded]
-    return tokens.mapInArrow(run, T.StructType([*fields, T.StructField(decoded, T.BinaryType())]))
+    return mapped(tokens, run, T.StructType([*fields, T.StructField(decoded, T.BinaryType())]))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

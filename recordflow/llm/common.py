@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from recordflow.plans.staging import StagingArea
 
+#: Bytes that a Python worker gets at once; Spark's default holds several copies of long texts at a time.
+BATCH_CONF, DEFAULT_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -55,6 +58,14 @@ def unpacked(rows: DataFrame, **changed: Column) -> DataFrame:
     return rows.select(*[(changed[n] if n in changed else F.col(f"row.`{n}`")).alias(n) for n in names])
 
 
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` in batches small enough for long texts, unless the session has set a size of its own."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_CONF) == DEFAULT_BATCH:
+        conf.set(BATCH_CONF, BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def words(text: Column) -> Column:
     """The words of a text, which no space or control white space divides; none of a null text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), "")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordflow.llm.common import chunks, staged, table
+from recordflow.llm.common import chunks, mapped, staged, table
 
 #: Byte 4-grams are counted in so many bins; a model has this many numbers per language.
 BINS = 1 << 15
@@ -78,7 +78,7 @@ def trained(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[li
 
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     # At most BINS rows per language: the size does not grow with the documents.
-    counts = rows.mapInArrow(run, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()
+    counts = mapped(rows, run, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()
     names = sorted(counts["lang"].unique())
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -106,7 +106,7 @@ def evidence(pages: DataFrame, names: list[str], model: np.ndarray) -> DataFrame
                 )
             yield pa.RecordBatch.from_pylist(out, EVIDENCE)
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id bigint, host string, domain string, suffix string, declared string, text array<double>")
+    return mapped(pages.select("page_id", "url", "html"), run, "page_id bigint, host string, domain string, suffix string, declared string, text array<double>")
 
 
 EVIDENCE = pa.schema(

@@ -24,8 +24,8 @@ from recordflow.llm.repeats import Anchors, Buffer, binaries, bytes_of, cut_text
 
 WINDOW_WORDS = 13
 
-#: One round of runs, then rounds of pairs: more would leave windows of 13 words without a symbol of their own.
-ROUNDS = ("runs", "pairs", "pairs", "pairs")
+#: One round of runs, then rounds of pairs. A window keeps the highest symbol that it has as its own; few of 13 words have one above.
+ROUNDS = ("runs", "pairs", "pairs", "pairs", "pairs")
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SPACE = np.zeros(256, bool)
@@ -130,23 +130,19 @@ class Recompression:
         return Anchors(anchor[begin], own, place[begin] - firsts[own], Windows((at - place).astype(np.int8), key, np.append(begin, len(at))))
 
     def contents(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray]:
-        """The windows of an anchor, each as its offset in one byte and its hash in eight."""
+        """The windows of an anchor in eight bytes each: the upper ones of its hash, and its offset."""
         windows: Windows = anchors.more
         n = windows.begin[chosen + 1] - windows.begin[chosen]
         at = stretches(windows.begin[chosen], n)
-        offset, key = windows.offset[at], windows.key[at]
-        data = np.empty((len(at), 9), np.uint8)
-        data[:, 0] = offset.view(np.uint8)
-        data[:, 1:] = key.astype("<u8").view(np.uint8).reshape(-1, 8)
-        ends = np.cumsum(n)
-        digest = np.add.reduceat(mix(key + offset.view(np.uint8)), ends - n)
-        return binaries(data, 9 * n), mix(digest)
+        packed_ = (windows.key[at] & ~np.uint64(255)) | windows.offset[at].view(np.uint8)
+        digest = np.add.reduceat(mix(packed_), np.cumsum(n) - n)
+        return binaries(packed_.astype("<u8").view(np.uint8), 8 * n), mix(digest)
 
     def windows_of(self, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Offsets and hashes of all windows, and how many each row has."""
         data, length = bytes_of(contents)
-        data = data.reshape(-1, 9)
-        return data[:, 0].view(np.int8).astype(np.int64), np.ascontiguousarray(data[:, 1:]).view("<u8").ravel(), length // 9
+        found = data.view("<u8")
+        return found.astype(np.uint8).view(np.int8).astype(np.int64), found & ~np.uint64(255), length // 8
 
     def reach(self, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
         offset, _, n = self.windows_of(contents)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from recordflow.llm.common import chunks, free_name, released, staged
+from recordflow.llm.common import chunks, free_name, mapped, released, staged
 
 #: Bytes of text that are worked on at once; arrays of eight bytes for each of them are held.
 CHUNK_BYTES = 1 << 20
@@ -139,7 +139,10 @@ NAMED = pa.schema([("route", pa.int64()), ("name", pa.int64()), ("doc", pa.int64
 
 
 def shared_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """(key, names): for each text its anchors that a document of another id has, too."""
+    """(key, names): for each text the low halves of the names of its anchors that a document of another id has, too.
+
+    A half tells a text's anchors apart well enough: one too many is found out later.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,10 +167,10 @@ def shared_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
                 route = np.where(known, route, name.astype(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (route, name.astype(np.int64), doc[row], key[row], known)], schema=NAMED)
 
-    named = docs.mapInArrow(run, "route bigint, name bigint, doc bigint, key bigint, known boolean")
+    named = mapped(docs, run, "route bigint, name bigint, doc bigint, key bigint, known boolean")
     group = Window.partitionBy("route")
     told = named.withColumn("shared", (F.min("doc").over(group) < F.max("doc").over(group)) | F.max("known").over(group))
-    return told.where("shared").groupBy("key").agg(F.collect_set("name").alias("names"))
+    return told.where("shared").groupBy("key").agg(F.collect_set(F.expr("int(name & 2147483647)")).alias("names"))
 
 
 AROUND = "route bigint, doc bigint, key bigint, at array<int>, contents binary, decided boolean"
@@ -184,10 +187,10 @@ def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme) -> DataFr
                 buffer = buffer_of(part.column("_text"))
                 found = scheme.anchors(buffer)
                 lists = part.column("names")
-                wanted = lists.flatten().to_numpy().astype(np.uint64)
+                wanted = lists.flatten().to_numpy().astype(np.int64)
                 of = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-                step = np.uint64(_P)
-                chosen = np.flatnonzero(np.isin(found.name + found.row.astype(np.uint64) * step, wanted + of.astype(np.uint64) * step))
+                half = (found.name & np.uint64(2**31 - 1)).astype(np.int64)
+                chosen = np.flatnonzero(np.isin(half | found.row << 31, wanted | of << 31))
                 if not len(chosen):
                     continue
                 contents, digest = scheme.contents(buffer, found, chosen)
@@ -207,7 +210,7 @@ def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme) -> DataFr
                 yield pa.RecordBatch.from_arrays(out, schema=_AROUND)
 
     hits = shared.withColumnRenamed("key", "_hit")
-    return docs.join(hits, F.col("_key") == F.col("_hit")).drop("_hit").mapInArrow(run, AROUND)
+    return mapped(docs.join(hits, F.col("_key") == F.col("_hit")).drop("_hit"), run, AROUND)
 
 
 def resolved_groups(around: DataFrame, resolve: Callable[[list], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -229,7 +232,7 @@ def resolved_groups(around: DataFrame, resolve: Callable[[list], Iterator[pa.Rec
                 held, n = [batch.slice(cut)], len(route) - cut
         yield from resolve(held)
 
-    return around.repartition("route").sortWithinPartitions("route").mapInArrow(run, schema)
+    return mapped(around.repartition("route").sortWithinPartitions("route"), run, schema)
 
 
 COVERED = pa.schema([("key", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
@@ -277,7 +280,7 @@ def cut_texts(docs: DataFrame, scheme: Scheme, cut: Callable[[str, list], tuple]
 
     joined = rows.withColumn(own, key_of(text)).join(spans.select(F.col("key").alias(key), F.col("spans").alias(found)), F.col(own) == F.col(key), "left")
     schema = T.StructType([*kept, *(T.StructField(n, t) for n, t, _ in added)])
-    return joined.drop(own, key).mapInArrow(run, schema)
+    return mapped(joined.drop(own, key), run, schema)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordflow.llm.common import free_name, packed, released, staged, table, unpacked
+from recordflow.llm.common import free_name, mapped, packed, released, staged, table, unpacked
 from recordflow.llm.components import components
 
 BITS = 64
@@ -86,7 +86,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle_words: int = 3, ba
             yield pa.RecordBatch.from_arrays(cols, [*(f.name for f in kept), fingerprint, minima])
 
     schema = [*kept, T.StructField(fingerprint, T.LongType()), T.StructField(minima, T.ArrayType(T.LongType()))]
-    return docs.mapInArrow(run, T.StructType(schema))
+    return mapped(docs, run, T.StructType(schema))
 
 
 class BKTree:
@@ -216,7 +216,7 @@ def linked(shards: DataFrame, radius: int) -> DataFrame:
             yield links(own)
 
     dealt = shards.select("shard", "fingerprint").repartition("shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return mapped(dealt, run, "a bigint, b bigint")
 
 
 def near_duplicates(printed: DataFrame, radius: int = RADIUS, fingerprint: str = "fingerprint", minima: str | None = None, shard_rows: int = SHARD_ROWS) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordflow.llm.common import packed, table, unpacked
+from recordflow.llm.common import mapped, packed, table, unpacked
 
 #: Labelled documents that a model is fitted on at most, those of the smallest hash of their id.
 MAX_TRAINING_DOCS = 20_000
@@ -184,7 +184,7 @@ def train(
             yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "bag": pa.array(out, BAG)})
 
     schema = "toxic int, bag struct<plain:int,ids:array<array<int>>>"
-    got = texts.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(bags, schema).toPandas()
+    got = mapped(texts.select(F.col("toxic").cast("int").alias("toxic"), "text"), bags, schema).toPandas()
     y = got["toxic"].to_numpy()
     # Sentences without a chosen feature have the bias alone; up to 50 of a document count.
     w, b = fit([[list(s) for s in x["ids"]] + [[]] * min(x["plain"], 50) for x in got["bag"]], y, len(vocabulary))
@@ -209,7 +209,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*cols, pa.array([s for s, _ in scored], pa.float64()), found], [*(f.name for f in kept_fields), "toxicity", "offending"])
 
     schema = T.StructType([*kept_fields, T.StructField("toxicity", T.DoubleType()), T.StructField("offending", SENTENCES)])
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))

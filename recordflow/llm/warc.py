@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordflow.llm.common import staged, table
+from recordflow.llm.common import mapped, staged, table
 from recordflow.plans.staging import StagingArea
 
 VERSION = b"WARC/1.1\r\n"
@@ -114,7 +114,7 @@ def write_warc(pages: DataFrame, path: str, revisit_bytes: int = REVISIT_BYTES,
                 made = list(records(row["page_id"], row["url"], row["payload"], row["row"], row["original"], segment))
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
 
-    made = rows.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
+    made = mapped(rows, run, "record binary").select(F.col("record").cast("string").alias("value"))
     made.write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
@@ -171,7 +171,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         if held is not None:
             raise ValueError(f"{file} ends within a record")
 
-    return lines.mapInArrow(run, RECORD)
+    return mapped(lines, run, RECORD)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -221,7 +221,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_pylist([whole(first, blocks, total, broken)], out)
 
     schema = "page_id bigint, url string, type string, refers_to bigint, payload binary, payload_bytes bigint, payload_digest string, complete boolean"
-    return parts.mapInArrow(run, schema)
+    return mapped(parts, run, schema)
 
 
 def op6_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
