@@ -25,7 +25,7 @@ FieldFunction = Callable[[DataFrame, Mapping[str, Any]], Column]
 # The key under which a run passes its timestamp, so that all sinks of a run agree on it.
 RUN_TIME = "__run_time"
 HASH_SEPARATOR = "||"
-# Above this many entries a lookup becomes a join with a mapping table.
+# Above this many entries a lookup is planned as a join with a mapping table; values and types are the same.
 LOOKUP_JOIN_ENTRIES = 1000
 END_OF_STRING = 2**31 - 1
 
@@ -108,11 +108,11 @@ def coalesce(df, params):
 
 
 def when(df, params):
+    """``then`` where the condition holds, else ``otherwise``; of a text and another kind both are text."""
     condition, then = _need(params, "when", "condition"), _need(params, "when", "then")
+    then, otherwise = _same_kind([then, params.get("otherwise")])
     chosen = F.when(F.expr(condition), F.lit(then))
-    if params.get("otherwise") is not None:
-        chosen = chosen.otherwise(F.lit(params["otherwise"]))
-    return chosen
+    return chosen if otherwise is None else chosen.otherwise(F.lit(otherwise))
 
 
 def year(df, params):
@@ -141,21 +141,20 @@ def lookup(df, params):
     """The value mapped to a column's value, else ``default``."""
     column = column_of(df, _need(params, "lookup", "column"))
     data_type = type_of(df, params["column"])
-    keys, values, default = lookup_entries(params, data_type)
+    keys, values, default, value_type = lookup_entries(params, data_type)
+    otherwise = F.lit(default).cast(value_type)
     if not keys:
-        return F.lit(default)
-    keys = [F.lit(key).cast(data_type) for key in keys]
-    pairs = [part for key, value in zip(keys, values) for part in (key, F.lit(value))]
-    found = F.create_map(*pairs)[column]
-    if default is None:
-        return found
-    if None in values:
-        return F.when(column.isin(keys), found).otherwise(F.lit(default))
-    return F.coalesce(found, F.lit(default))
+        return otherwise
+    # The first of equal keys is found, however differently they are written.
+    place = F.array_position(F.array(*[F.lit(key).cast(data_type) for key in keys]), column)
+    found = F.get(F.array(*[F.lit(value).cast(value_type) for value in values]), place.cast("int") - 1)
+    return F.when(place > 0, found).otherwise(otherwise)
 
 
-def lookup_entries(params: Mapping[str, Any], key_type: T.DataType) -> tuple[list[Any], list[Any], Any]:
-    """Keys as values of the column's type, mapped values and default as values of one kind.
+def lookup_entries(
+    params: Mapping[str, Any], key_type: T.DataType
+) -> tuple[list[Any], list[Any], Any, T.DataType]:
+    """Keys as values of the column's type, mapped values and default of one kind, and the type of these.
 
     A key that is no value of the column's type never matches; of two equal keys the first counts.
     """
@@ -164,8 +163,34 @@ def lookup_entries(params: Mapping[str, Any], key_type: T.DataType) -> tuple[lis
         converted = value_for(key, key_type)
         if converted is not None:
             entries.setdefault(converted, value)
-    *values, default = _same_kind([*entries.values(), params.get("default")])
-    return list(entries), values, default
+    # All values decide on the kind, also those of keys that never match.
+    kinds = _same_kind([*params["mapping"].values(), params.get("default")])
+    value_type = _common_type(kinds)
+    *values, default = [
+        value if value is None else _as_kind(value, value_type) for value in [*entries.values(), params.get("default")]
+    ]
+    return list(entries), values, default, value_type
+
+
+def _common_type(values: list[Any]) -> T.DataType:
+    """The narrowest type for values of one kind; text if there are none."""
+    known = [value for value in values if value is not None]
+    if not known or any(isinstance(value, str) for value in known):
+        return T.StringType()
+    if all(isinstance(value, bool) for value in known):
+        return T.BooleanType()
+    if any(isinstance(value, float) for value in known):
+        return T.DoubleType()
+    fits = all(-(2**31) <= value < 2**31 for value in known)
+    return T.IntegerType() if fits else T.LongType()
+
+
+def _as_kind(value: Any, kind: T.DataType) -> Any:
+    if isinstance(kind, T.StringType):
+        return _same_kind(["", value])[1]
+    if isinstance(kind, T.BooleanType):
+        return value
+    return float(value) if isinstance(kind, T.DoubleType) else int(value)
 
 
 def _same_kind(values: list[Any]) -> list[Any]:

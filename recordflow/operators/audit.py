@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ERROR_LEVELS = ("ERROR", "CRITICAL")
-STAGE_LOG_LIMIT = 1000
 
 
 def list_runs(
@@ -21,12 +20,12 @@ def list_runs(
     status: str | None = None,
     metadata_name: str | None = None,
     execution_method: str | None = None,
-    limit: int = 100,
+    limit: int | None = 100,
 ) -> DataFrame:
     """The newest runs that meet every given filter."""
     runs = runs.withColumn("execution_method", _listed_method())
     runs = _where(runs, status=status, metadata_name=metadata_name, execution_method=execution_method)
-    return runs.orderBy(F.col("start_time").desc(), "pipeline_id").limit(limit)
+    return _first(runs.orderBy(F.col("start_time").desc(), "pipeline_id"), limit)
 
 
 def run_statistics(runs: DataFrame) -> DataFrame:
@@ -86,8 +85,8 @@ def stage_log_lines(runs: DataFrame, logs: DataFrame) -> DataFrame:
     return stages.join(lines, key).unionByName(silent, allowMissingColumns=True)
 
 
-def stage_detail(runs: DataFrame, logs: DataFrame, limit: int = STAGE_LOG_LIMIT) -> DataFrame:
-    """One row per stage with its log lines, newest first, out of the newest ``limit`` of the run.
+def stage_detail(runs: DataFrame, logs: DataFrame, limit: int) -> DataFrame:
+    """One row per stage with its log lines, newest first, out of the newest ``limit`` of the run, which the caller states.
 
     The newest lines are picked per task before the shuffle, so no run's whole log meets in one
     task; ``stage_log_lines`` gives all lines.
@@ -106,13 +105,13 @@ def stage_detail(runs: DataFrame, logs: DataFrame, limit: int = STAGE_LOG_LIMIT)
 
 
 def logs_of_run(
-    logs: DataFrame, pipeline_id: str, level: str | None = None, stage: str | None = None, limit: int = 1000
+    logs: DataFrame, pipeline_id: str, level: str | None = None, stage: str | None = None, limit: int | None = 1000
 ) -> DataFrame:
     """The newest log lines of one run."""
     return _newest(_where(logs, pipeline_id=pipeline_id, level=level, stage=stage), limit)
 
 
-def recent_errors(logs: DataFrame, limit: int = 100) -> DataFrame:
+def recent_errors(logs: DataFrame, limit: int | None = 100) -> DataFrame:
     return _newest(logs.filter(F.col("level").isin(*ERROR_LEVELS)), limit)
 
 
@@ -140,8 +139,12 @@ def _where(df: DataFrame, **values) -> DataFrame:
     return df
 
 
-def _newest(logs: DataFrame, limit: int) -> DataFrame:
-    return logs.orderBy(F.col("log_time").desc(), "log_id").limit(limit)
+def _newest(logs: DataFrame, limit: int | None) -> DataFrame:
+    return _first(logs.orderBy(F.col("log_time").desc(), "log_id"), limit)
+
+
+def _first(rows: DataFrame, limit: int | None) -> DataFrame:
+    return rows if limit is None else rows.limit(limit)
 
 
 def _totals() -> list[Column]:
@@ -163,12 +166,14 @@ def _listed_method() -> Column:
 
 def _stages(runs: DataFrame) -> DataFrame:
     stage = runs.select("pipeline_id", F.explode("stages").alias("item"))
+    has_data = "data" in stage.schema["item"].dataType.names
     return stage.select(
         "pipeline_id",
         F.col("item.name").alias("stage"),
         F.coalesce("item.status", F.lit("unknown")).alias("status"),
         F.col("item.start_time").alias("start_time"),
         F.col("item.end_time").alias("end_time"),
+        (F.col("item.data") if has_data else F.lit(None).cast("string")).alias("data"),
     )
 
 

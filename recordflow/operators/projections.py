@@ -95,14 +95,19 @@ def _lookup_join(df: DataFrame, config: Mapping[str, Any]) -> DataFrame:
     """A large lookup as a left join with the mapping as a table."""
     column = column_of(df, config["column"])
     key_type = type_of(df, config["column"])
-    keys, values, default = lookup_entries(config, key_type)
+    keys, values, default, value_type = lookup_entries(config, key_type)
+    if not keys:
+        return df.withColumn(config["name"], F.lit(default).cast(value_type))
     stored_type = T.StringType() if isinstance(key_type, TEMPORAL) else key_type
-    value_type = df.sparkSession.createDataFrame([(value,) for value in values[:1]], ["v"]).schema["v"].dataType
-    schema = T.StructType([T.StructField("__key", stored_type), T.StructField("__found", value_type)])
-    table = df.sparkSession.createDataFrame(list(zip(keys, values)), schema)
-    table = table.select(F.col("__key").cast(key_type), "__found", F.lit(True).alias("__hit"))
+    schema = T.StructType(
+        [T.StructField("__key", stored_type), T.StructField("__found", value_type), T.StructField("__place", T.LongType())]
+    )
+    table = df.sparkSession.createDataFrame(list(zip(keys, values, range(len(keys)))), schema)
+    # Two spellings of one instant are one key; the first counts.
+    table = table.select(F.col("__key").cast(key_type).alias("__key"), "__found", "__place").dropna(subset=["__key"])
+    table = table.groupBy("__key").agg(F.min_by("__found", "__place").alias("__found"), F.lit(True).alias("__hit"))
     if len(keys) <= LOOKUP_BROADCAST_ENTRIES:
         table = F.broadcast(table)
-    value = F.when(F.col("__hit"), F.col("__found")).otherwise(F.lit(default))
+    value = F.when(F.col("__hit"), F.col("__found")).otherwise(F.lit(default).cast(value_type))
     joined = df.join(table, column == F.col("__key"), "left")
     return joined.withColumn(config["name"], value).drop("__key", "__found", "__hit")

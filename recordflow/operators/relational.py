@@ -19,11 +19,11 @@ log = logging.getLogger(__name__)
 
 # A side is broadcast on request only while Spark's size estimate stays below this.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# Below this size a table cannot hold a group that is too large for one task.
-SKEW_CHECK_BYTES = 8 * 1024**3
-# A key with more rows than this is hot: its rows should not meet in one task.
-HOT_ROWS = 20_000_000
-# More pivot columns than this are refused, as Spark does.
+# A key with more bytes of rows than this is hot: its rows should not meet in one task.
+HOT_BYTES = 4 * 1024**3
+# What a value without a fixed width is taken to have.
+VALUE_BYTES = 64
+# More pivot columns than this are refused, as Spark does, unless ``maxValues`` says otherwise.
 MAX_PIVOT_VALUES = 10_000
 JOIN_TYPES = ("inner", "left", "right", "full", "semi", "anti")
 AGGREGATES = ("sum", "avg", "count", "min", "max")
@@ -71,6 +71,15 @@ def _dedupe_needs_sort(df: DataFrame, subset: Sequence[str]) -> bool:
     return not all(isinstance(types[name], fixed_width) for name in types.keys() - inside)
 
 
+def hot_rows(df: DataFrame, params: Mapping[str, Any]) -> int:
+    """Rows from which a key is hot: ``hotRows``, else as many as make HOT_BYTES of this width."""
+    if "hotRows" in params:
+        return params["hotRows"]
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    width = sum(8 if isinstance(field.dataType, fixed) else VALUE_BYTES for field in df.schema)
+    return HOT_BYTES // max(width, 1)
+
+
 def join(
     left: DataFrame, right: DataFrame, params: Mapping[str, Any], look_for_skew: bool = False
 ) -> DataFrame:
@@ -80,8 +89,10 @@ def join(
     once; another right-hand column whose name the left side has gets the suffix ``_right``.
 
     Adaptive execution splits a hot key of either side of an inner join, but in an outer join
-    only on the side that is kept. With ``look_for_skew`` a large other side is checked for hot
-    keys first, and an outer join over one is put together from an inner and an anti join.
+    only on the side that is kept. With ``look_for_skew`` the other side is checked for hot keys
+    first (rows per key are counted, combined before the shuffle), and an outer join over one is
+    put together from an inner and an anti join. Rows of a full join without a key match nothing
+    and are set aside, since all of them would meet in one task.
     """
     how = params.get("how", "inner")
     if how not in JOIN_TYPES:
@@ -97,10 +108,11 @@ def join(
     sides = _Sides(left, right, pairs, params.get("condition"))
     if how in ("semi", "anti"):
         return left.alias("l").join(_maybe_broadcast(sides.right_keys(), params), sides.match(), f"left_{how}")
-    if look_for_skew and sides.has_hot_key(how, params):
-        return sides.outer_by_parts(how)
-    joined = left.alias("l").join(_maybe_broadcast(right.alias("r"), params), sides.match(), how)
-    return joined.select(*sides.output(how))
+    if how == "full":
+        keyed = _Sides(*sides.with_keys(), pairs, params.get("condition"))
+        result = keyed.joined(how, params, look_for_skew)
+        return result.unionByName(sides.without_key("left")).unionByName(sides.without_key("right"))
+    return sides.joined(how, params, look_for_skew)
 
 
 class _Sides:
@@ -110,6 +122,23 @@ class _Sides:
         self.left, self.right, self.pairs, self.condition = left, right, pairs, condition
         self.shared = {a.lower() for a, b in pairs if a.lower() == b.lower()}
 
+    def joined(self, how: str, params: Mapping[str, Any], look_for_skew: bool) -> DataFrame:
+        if look_for_skew and self.has_hot_key(how, params):
+            return self.outer_by_parts(how)
+        right = _maybe_broadcast(self.right.alias("r"), params)
+        return self.left.alias("l").join(right, self.match(), how).select(*self.output(how))
+
+    def with_keys(self) -> tuple[DataFrame, DataFrame]:
+        """Both sides without the rows that have NULL in a key."""
+        left = self.left.filter(_all_known(self.left, [a for a, _ in self.pairs]))
+        return left, self.right.filter(_all_known(self.right, [b for _, b in self.pairs]))
+
+    def without_key(self, side: str) -> DataFrame:
+        """The rows of one side that have NULL in a key, in the shape of the result."""
+        df, alias, other = (self.left, "l", "r") if side == "left" else (self.right, "r", "l")
+        names = [a if side == "left" else b for a, b in self.pairs]
+        return df.filter(~_all_known(df, names)).alias(alias).select(*self.output(side, without=other))
+
     def match(self) -> Column:
         parts = [_qualified("l", a) == _qualified("r", b) for a, b in self.pairs]
         if self.condition:
@@ -134,10 +163,9 @@ class _Sides:
         if how in ("right", "full"):
             checked.append((self.left, [a for a, _ in self.pairs]))
         for df, names in checked:
-            if estimated_bytes(df) > params.get("skewBytes", SKEW_CHECK_BYTES):
-                counts = df.dropna(subset=names).groupBy(*[column_of(df, name) for name in names]).count()
-                if counts.filter(F.col("count") > params.get("hotRows", HOT_ROWS)).head(1):
-                    return True
+            counts = df.dropna(subset=names).groupBy(*[column_of(df, name) for name in names]).count()
+            if counts.filter(F.col("count") > hot_rows(df, params)).head(1):
+                return True
         return False
 
     def outer_by_parts(self, how: str) -> DataFrame:
@@ -210,7 +238,7 @@ def pivot(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
     known_columns(df, [*group_by, name, value], "pivot")
     function = params.get("aggregate", "first")
     cell = F.first(column_of(df, value)) if function == "first" else _aggregate(df, function, value)
-    values = params.get("values") or pivot_values(df, name)
+    values = params.get("values") or pivot_values(df, name, params.get("maxValues", MAX_PIVOT_VALUES))
     return df.groupBy(*[column_of(df, key) for key in group_by]).pivot(name, values).agg(cell)
 
 
@@ -237,6 +265,10 @@ def _aggregate(df: DataFrame, function: str, name: str) -> Column:
     return getattr(F, function)(column)
 
 
+def _all_known(df: DataFrame, names: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, (column_of(df, name).isNotNull() for name in names))
+
+
 def _qualified(alias: str, name: str) -> Column:
     return F.col(f"{alias}.`{name}`")
 

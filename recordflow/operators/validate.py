@@ -105,6 +105,17 @@ def annotate(
     return mark(with_errors(df, entries, registry, details), entries, registry)
 
 
+def judged(
+    df: DataFrame,
+    entries: Sequence[Mapping[str, Any]],
+    registry: RuleRegistry | None = None,
+    details: bool = False,
+) -> DataFrame:
+    """All rows with the errors, and the flag read off them: for rules that must be asked only once."""
+    annotated = with_errors(df, entries, registry, details)
+    return annotated.withColumn(VALID_FLAG, F.size(ERRORS) == 0)
+
+
 def accepted(marked: DataFrame) -> DataFrame:
     """The valid rows of a marked frame, with the original columns."""
     return marked.filter(F.col(VALID_FLAG)).drop(VALID_FLAG, ERRORS, DETAILS)
@@ -117,6 +128,8 @@ def rejected(
     details: bool = False,
 ) -> DataFrame:
     """The other rows, with the original columns and their errors, which only they are given."""
+    if ERRORS in marked.columns:
+        return marked.filter(~F.col(VALID_FLAG)).drop(VALID_FLAG)
     return with_errors(marked.filter(~F.col(VALID_FLAG)).drop(VALID_FLAG), entries, registry, details)
 
 

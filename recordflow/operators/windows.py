@@ -1,7 +1,7 @@
 """Ranking and offset windows that also hold when one partition key has most of the rows.
 
-Spark sorts each window partition in one task. For a table large enough to matter, the keys
-with too many rows for that are found first (a count per key, combined before the shuffle).
+Spark sorts each window partition in one task. In a run, the keys with too many rows for that are
+found first, whatever the size of the table (a count per key, combined before the shuffle).
 Their rows are spread over sorted ranges, numbered inside each range, and shifted by the number
 of rows in earlier ranges. All other keys go through the plain window.
 """
@@ -18,14 +18,10 @@ from pyspark.sql import functions as F
 
 from recordflow.errors import SpecError
 from recordflow.functions.columns import column_of, known_columns
-from recordflow.operators.relational import HOT_ROWS, SKEW_CHECK_BYTES, order_columns, sort_keys
-from recordflow.plans.staging import StagingArea, estimated_bytes
+from recordflow.operators.relational import hot_rows, order_columns, sort_keys
+from recordflow.plans.staging import StagingArea
 
 WINDOW_FUNCTIONS = ("row_number", "rank", "dense_rank", "lag", "lead")
-# Hot keys are matched by a broadcast table of at most this many rows. Keys beyond it have fewer
-# rows than each of these and keep the plain window.
-MAX_HOT_KEYS = 10_000
-MAX_RANGES = 20_000
 
 RANGE, TIE, SHIFT, NUMBER, ROWS, CHUNK, OWN = (
     "__range", "__tie", "__shift", "__number", "__rows", "__chunk", "__own",
@@ -53,27 +49,29 @@ def window(df: DataFrame, params: Mapping[str, Any], area: StagingArea | None =
         known_columns(df, [params["column"]], "window")
     order = order_columns(df, params["orderBy"], "window")
 
-    if area is None or estimated_bytes(df) <= params.get("skewBytes", SKEW_CHECK_BYTES):
+    if area is None:
         return _plain(df, keys, order, params)
-    hot_rows = params.get("hotRows", HOT_ROWS)
-    hot, hot_total = _hot_keys(df, keys, hot_rows)
+    limit = hot_rows(df, params)
+    hot, hot_total = _hot_keys(df, keys, limit, area)
     if hot_total == 0:
         return _plain(df, keys, order, params)
-    ranges = min(MAX_RANGES, math.ceil(hot_total / hot_rows) + 1)
+    ranges = math.ceil(hot_total / max(limit, 1)) + 1
     if hot is None:
-        return _spread(df, keys, order, params, ranges, hot_rows, area)
+        return _spread(df, keys, order, params, ranges, limit, area)
+    # A staged table: Spark broadcasts it if it is small, and else splits a hot key.
     match = _same_keys("t", "h", keys)
     table = df.alias("t")
-    cold_rows = table.join(F.broadcast(hot.alias("h")), match, "left_anti")
-    hot_part = table.join(F.broadcast(hot.alias("h")), match, "left_semi")
+    cold_rows = table.join(hot.alias("h"), match, "left_anti")
+    hot_part = table.join(hot.alias("h"), match, "left_semi")
     return _plain(cold_rows, keys, order, params).unionByName(
-        _spread(hot_part, keys, order, params, ranges, hot_rows, area)
+        _spread(hot_part, keys, order, params, ranges, limit, area)
     )
 
 
 def _plain(df, keys, order, params) -> DataFrame:
     spec = Window.partitionBy(*[column_of(df, key) for key in keys]).orderBy(*sort_keys(df, order))
-    return df.withColumn(params["alias"], _function(df, params).over(spec))
+    answer = _function(df, params).over(spec)
+    return df.withColumn(params["alias"], answer if params["function"] in ("lag", "lead") else answer.cast("bigint"))
 
 
 def _function(df: DataFrame, params: Mapping[str, Any]) -> Column:
@@ -83,26 +81,23 @@ def _function(df: DataFrame, params: Mapping[str, Any]) -> Column:
     return getattr(F, function)()
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame | None, int]:
-    """The keys with more than ``hot_rows`` rows, most rows first, and their total row count."""
+def _hot_keys(df: DataFrame, keys: Sequence[str], limit: int, area: StagingArea) -> tuple[DataFrame | None, int]:
+    """The keys with more than ``limit`` rows, as a staged table, and their total row count."""
     if not keys:
         total = df.count()
-        return None, total if total > hot_rows else 0
+        return None, total if total > limit else 0
     counts = df.groupBy(*[column_of(df, key) for key in keys]).agg(F.count(F.lit(1)).alias(ROWS))
-    found = counts.filter(F.col(ROWS) > hot_rows).orderBy(F.col(ROWS).desc()).limit(MAX_HOT_KEYS).collect()
-    if not found:
-        return None, 0
-    hot = df.sparkSession.createDataFrame(found, counts.schema).drop(ROWS)
-    return hot, sum(row[ROWS] for row in found)
+    hot = area.stage(counts.filter(F.col(ROWS) > limit), "window_hot_keys")
+    return hot.drop(ROWS), hot.agg(F.sum(ROWS)).first()[0] or 0
 
 
-def _spread(df, keys, order, params, ranges, hot_rows, area) -> DataFrame:
+def _spread(df, keys, order, params, ranges, limit, area) -> DataFrame:
     if params["function"] in ("rank", "dense_rank"):
         return _spread_rank(df, keys, order, params, ranges, area)
     numbered = _spread_number(df, keys, order, ranges, area)
     if params["function"] == "row_number":
-        return numbered.withColumn(params["alias"], F.col(NUMBER).cast("int")).drop(NUMBER)
-    return _spread_offset(numbered, keys, params, max(hot_rows, abs(int(params.get("offset", 1)))))
+        return numbered.withColumn(params["alias"], F.col(NUMBER)).drop(NUMBER)
+    return _spread_offset(numbered, keys, params, max(limit, abs(int(params.get("offset", 1)))))
 
 
 def _spread_number(df, keys, order, ranges, area) -> DataFrame:
@@ -140,7 +135,7 @@ def _spread_rank(df, keys, order, params, ranges, area) -> DataFrame:
     counts = placed.groupBy(*key_columns, RANGE).agg(weight.alias(ROWS))
     numbered = placed.withColumn(NUMBER, F.coalesce(before, F.lit(0)))
     ranked = _add_shift(numbered, counts, keys)
-    ranked = ranked.select(*names, (F.col(NUMBER) + F.col(SHIFT) + 1).cast("int").alias(params["alias"]))
+    ranked = ranked.select(*names, (F.col(NUMBER) + F.col(SHIFT) + 1).alias(params["alias"]))
     left = df.drop(params["alias"]) if params["alias"] not in names else df
     columns = [F.col(f"t.`{name}`") for name in left.columns]
     joined = left.alias("t").join(ranked.alias("h"), _same_keys("t", "h", names))
@@ -166,7 +161,7 @@ def _spread_offset(numbered, keys, params, chunk_rows) -> DataFrame:
 def _add_shift(df, counts, keys) -> DataFrame:
     """Join each (key, range) with the number of rows in the earlier ranges of the key.
 
-    ``counts`` has one row per key and range, at most MAX_RANGES plus MAX_HOT_KEYS rows.
+    ``counts`` has one row per key and range: about as many rows as there are hot keys and ranges.
     """
     earlier = Window.partitionBy(*[column_of(counts, key) for key in keys]).orderBy(RANGE)
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
@@ -176,7 +171,7 @@ def _add_shift(df, counts, keys) -> DataFrame:
         F.coalesce(F.sum(ROWS).over(earlier), F.lit(0)).alias(SHIFT),
     )
     names = [*keys, RANGE]
-    joined = df.alias("t").join(F.broadcast(shifts).alias("h"), _same_keys("t", "h", names))
+    joined = df.alias("t").join(shifts.alias("h"), _same_keys("t", "h", names))
     return joined.select("t.*", f"h.{SHIFT}")
 
 

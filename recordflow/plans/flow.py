@@ -23,19 +23,19 @@ from recordflow.errors import FlowFailed, SpecError
 from recordflow.functions.fields import FieldRegistry
 from recordflow.functions.rules import RuleRegistry
 from recordflow.operators import quality
-from recordflow.operators.relational import SKEW_CHECK_BYTES, pivot_values
+from recordflow.operators.relational import MAX_PIVOT_VALUES, pivot_values
 from recordflow.operators.steps import apply_step
-from recordflow.operators.validate import accepted, mark, rejected
+from recordflow.operators.validate import accepted, judged, mark, rejected
 from recordflow.plans.report import RunReport
 from recordflow.plans.session import tuned
 from recordflow.plans.spec import ROW_WISE_STEPS, Dataflow, Sink, Source, Spec, Step
-from recordflow.plans.staging import StagingArea, estimated_bytes
+from recordflow.plans.staging import StagingArea, is_repeatable
 from recordflow.sinks.writers import check_sink_columns, write_sink
-from recordflow.sources.readers import read_source
+from recordflow.sources.readers import read_source, require_input
 
 log = logging.getLogger(__name__)
 
-HOT_KEYS, DUPLICATES = "hot keys", "duplicates"
+HOT_KEYS, DUPLICATES, PIVOT_VALUES = "hot keys", "duplicates", "pivot values"
 
 
 @dataclass
@@ -49,7 +49,7 @@ class Node:
     source: Source | None = None
     step: Step | None = None
     readers: list[str] = field(default_factory=list)
-    # Readers that may come on top: checks for duplicates, and for hot keys if the table is large.
+    # Readers that come on top: checks for duplicates and hot keys, and the look-up of pivot values.
     checks: list[str] = field(default_factory=list)
 
 
@@ -95,6 +95,8 @@ class FlowPlan:
     def _checks(self, step: Step, parents: tuple[int, ...]) -> list[tuple[int, str]]:
         if step.type == "window":
             return [(parents[0], HOT_KEYS)]
+        if step.type == "pivot" and not step.params.get("values"):
+            return [(parents[0], PIVOT_VALUES)]
         if step.type == "deduplicate" and "max_duplicate_percentage" in self.flow.settings.quality_rules:
             return [(parents[0], DUPLICATES)]
         how = step.params.get("how") if step.type == "join" else None
@@ -127,16 +129,20 @@ class FlowPlan:
     def is_staged(self, position: int) -> bool:
         """Whether a run writes this node once instead of computing it for every reader."""
         node, mode = self.nodes[position], self.flow.settings.staging
-        if mode == "never" or node.kind in ("source", "valid", "rejected"):
+        if mode == "never" or node.kind in ("valid", "rejected"):
             return False
+        if node.kind == "source":
+            return len(node.readers) >= 2 and (mode == "always" or node.source.format != "parquet")
         if len(node.readers) >= 2 and (mode == "always" or node.kind == "step"):
             return True
         return len(node.readers) + len(node.checks) >= 2 and not self.rescan_is_cheap(position)
 
-    def is_staged_for_size(self, position: int) -> bool:
-        """Whether a staged node is staged only for checks that a small table skips."""
+    def is_read_twice(self, position: int) -> bool:
+        """Whether a node that gives other values when it is computed again must be staged."""
         node = self.nodes[position]
-        return len(node.readers) < 2 and DUPLICATES not in node.checks
+        if self.flow.settings.staging == "never" or node.kind in ("valid", "rejected"):
+            return False
+        return len(node.readers) + len(node.checks) >= 2
 
 
 class CompiledFlow:
@@ -162,10 +168,8 @@ class CompiledFlow:
         self.run_time = run_time or datetime.datetime.now(datetime.timezone.utc)
         self.inputs = dict(inputs or {})
         self.plan = FlowPlan(self.flow)
-        # Kept between the check and the execution of a run, so that neither schema inference nor
-        # the lookup of pivot values is done twice.
+        # Kept between the check and the execution of a run, so that schema inference is not done twice.
         self._source_frames: dict[int, DataFrame] = {}
-        self._pivot_values: dict[int, list] = {}
 
     @cached_property
     def frames(self) -> dict[str, DataFrame]:
@@ -176,7 +180,8 @@ class CompiledFlow:
         """Raise for anything that can be found without reading rows."""
         frames = self._lazy(None)
         for sink in self.flow.sinks:
-            check_sink_columns(frames[sink.input], sink)
+            if frames[sink.input] is not None:
+                check_sink_columns(frames[sink.input], sink)
 
     def run(self, run_id: str | None = None, keep_staged: bool = False) -> RunReport:
         """Write all sinks, after all gates have passed.
@@ -186,9 +191,10 @@ class CompiledFlow:
         report = RunReport.start(run_id or f"direct_{uuid.uuid4().hex}", self.flow, self.spec_version)
         area = StagingArea(self.spark, report.pipeline_id)
         self._source_frames.clear()
-        self._pivot_values.clear()
         try:
             with tuned(self.spark):
+                if self.flow.settings.preflight:
+                    self._require_inputs()
                 self.check()
                 _Run(self, area, report).execute()
             report.finish("success")
@@ -198,14 +204,35 @@ class CompiledFlow:
         finally:
             if not keep_staged:
                 area.discard()
+            self._append_audit(report)
         return report
 
+    def _require_inputs(self) -> None:
+        for source in self.flow.sources:
+            if source.name not in self.inputs:
+                require_input(self.spark, source.path, "*")
+
+    def _append_audit(self, report: RunReport) -> None:
+        """Add the run to the history; what is written already does not fail for want of it."""
+        paths = self.flow.settings.audit
+        if paths:
+            try:
+                report.append_audit(self.spark, paths["runs"], paths["logs"])
+            except Exception:
+                log.exception("run %s is missing in the history", report.pipeline_id)
+
     def _lazy(self, area: StagingArea | None) -> dict[str, DataFrame]:
-        built: dict[int, DataFrame] = {}
+        """Without an area no job is started; what comes after a pivot without values is None then."""
+        built: dict[int, DataFrame | None] = {}
         for node in self.plan.nodes:
-            built[node.position] = self._frame(node, [built[p] for p in node.parents], area)
+            parents = [built[p] for p in node.parents]
+            unknown = any(parent is None for parent in parents) or area is None and PIVOT_VALUES in self._looks_up(node)
+            built[node.position] = None if unknown else self._frame(node, parents, area)
         return {name: built[position] for name, position in self.plan.names.items()}
 
+    def _looks_up(self, node: Node) -> list[str]:
+        return [check for _, check in self.plan._checks(node.step, node.parents)] if node.kind == "step" else []
+
     def _frame(self, node: Node, parents: list[DataFrame], area: StagingArea | None) -> DataFrame:
         if node.kind == "source":
             if node.name in self.inputs:
@@ -219,13 +246,17 @@ class CompiledFlow:
             params = node.step.params
             entries = params.get("validations") or []
             if node.kind == "marked":
-                return mark(parents[0], entries, self.rules)
+                marked = mark(parents[0], entries, self.rules)
+                if is_repeatable(marked):
+                    return marked
+                # Rules that answer differently next time are asked once: the messages come along.
+                return judged(parents[0], entries, self.rules, bool(params.get("details", False)))
             return rejected(parents[0], entries, self.rules, bool(params.get("details", False)))
         step = node.step
-        if step.type == "pivot" and not step.params.get("values"):
-            if node.position not in self._pivot_values:
-                self._pivot_values[node.position] = pivot_values(parents[0], step.params["pivotColumn"])
-            step = replace(step, params={**step.params, "values": self._pivot_values[node.position]})
+        if PIVOT_VALUES in self._looks_up(node):
+            # From the frame that is pivoted, which a run has staged by now.
+            limit = step.params.get("maxValues", MAX_PIVOT_VALUES)
+            step = replace(step, params={**step.params, "values": pivot_values(parents[0], step.params["pivotColumn"], limit)})
         return apply_step(step, parents, self.fields, self.run_time, area)
 
 
@@ -240,6 +271,8 @@ class _Run:
         self.report = report
         self.frames: dict[int, DataFrame] = {}
         self.counts: dict[int, Observation | int] = {}
+        # Frames that are cheap to count: staged tables and row-wise work over columnar files.
+        self.cheap: dict[int, DataFrame] = {}
 
     def execute(self) -> None:
         report, plan = self.report, self.plan
@@ -250,7 +283,7 @@ class _Run:
             self._build(node for node in nodes if node.kind != "source")
         with report.stage("storage") as storage:
             for sink, position in zip(self.flow.sinks, plan.sink_nodes):
-                storage.append(self._write(sink, self.frames[position]))
+                storage.append(self._write(sink, self.frames[position], position in self.cheap))
         for node in nodes:
             if node.kind == "source":
                 ingestion.append({"name": node.name, "record_count": self._count(node.position)})
@@ -269,14 +302,17 @@ class _Run:
                 df = self._observed(node.position, df)
             if self._is_worth_staging(node, df):
                 df = self.area.stage(df, node.name)
+                self.cheap[node.position] = df
+            elif node.kind in ("source", "step") and self.plan.rescan_is_cheap(node.position):
+                self.cheap[node.position] = df
             if node.kind == "marked":
                 self._gate_validity(node, df)
             self.frames[node.position] = df
 
     def _is_worth_staging(self, node: Node, df: DataFrame) -> bool:
-        if not self.plan.is_staged(node.position):
-            return False
-        return not self.plan.is_staged_for_size(node.position) or estimated_bytes(df) > SKEW_CHECK_BYTES
+        if self.plan.is_staged(node.position):
+            return True
+        return self.plan.is_read_twice(node.position) and not is_repeatable(df)
 
     def _observed(self, position: int, df: DataFrame) -> DataFrame:
         observation = Observation(f"{self.report.pipeline_id}_{position}")
@@ -284,10 +320,18 @@ class _Run:
         return df.observe(observation, F.count(F.lit(1)).alias("n"))
 
     def _count(self, position: int) -> int | None:
+        """The rows of a node. Adaptive execution leaves an observation out with a branch that it finds
+        no use for; the node is then counted if that is cheap, and else has no count."""
         counted = self.counts.get(position)
-        if isinstance(counted, Observation):
-            return counted.get.get("n")
-        return counted
+        if not isinstance(counted, Observation):
+            return counted
+        n = observed(counted)
+        if n is None and position in self.cheap:
+            try:
+                n = self.cheap[position].count()
+            except Exception:  # the sinks are written: a count must not fail the run
+                log.warning("node %d could not be counted", position, exc_info=True)
+        return n
 
     def _gate_validity(self, node: Node, marked: DataFrame) -> None:
         """Count valid rows, from the flag column alone when the table is staged, and decide."""
@@ -299,6 +343,9 @@ class _Run:
         if rules:
             minimum = rules.get("min_valid_record_percentage", quality.DEFAULT_MIN_VALID_PERCENTAGE)
             self._decide(quality.min_valid_gate(measured, minimum))
+        elif not measured["total_records"]:
+            # Told in the report, although no rule makes it a failure.
+            self.report.gates.append(quality.min_valid_gate(measured, 0))
 
     def _gate_duplicates(self, node: Node, df: DataFrame) -> None:
         maximum = self.flow.settings.quality_rules.get("max_duplicate_percentage")
@@ -311,20 +358,29 @@ class _Run:
         self.report.gates.append(gate)
         quality.require([gate])
 
-    def _write(self, sink: Sink, df: DataFrame) -> dict[str, Any]:
+    def _write(self, sink: Sink, df: DataFrame, stable: bool) -> dict[str, Any]:
         observation = Observation(f"{self.report.pipeline_id}_{sink.name}")
         started = time.monotonic()
-        write_sink(df, sink, observation)
+        write_sink(df, sink, observation, stable=stable)
         log.info("sink %s written in %.1f s", sink.name, time.monotonic() - started)
         return {
             "name": sink.name,
             "input": sink.input,
             "success": True,
-            "record_count": observation.get.get("n"),
+            # A sink whose rows all fell away before its observation has none.
+            "record_count": observed(observation) or 0,
             "paths": list(sink.paths),
         }
 
 
+def observed(observation: Observation) -> int | None:
+    """The counted rows, or None if execution has left the observation out."""
+    try:
+        return observation.get.get("n")
+    except Exception:  # an observation that never ran has no value, and says so in several ways
+        return None
+
+
 def compile_flow(spark: SparkSession, spec: Spec | Mapping[str, Any], **options) -> CompiledFlow:
     return CompiledFlow(spark, spec, **options)
 

@@ -116,7 +116,7 @@ class RunReport:
         lines = []
         for stage in self.stages:
             level = "INFO" if stage["status"] == "success" else "ERROR"
-            text = f"Stage {stage['name']} completed with status: {stage['status']}"
+            text = f"{stage['name']}: {stage['status']}"
             lines.append((stage["end_time"], level, stage["name"], text, _json(stage["data"])))
         for gate in self.gates:
             level = "INFO" if gate.passed else "ERROR"

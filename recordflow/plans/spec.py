@@ -84,7 +84,8 @@ class Sink:
     partition_by: tuple[str, ...] = ()
     options: Mapping[str, Any] = field(default_factory=dict)
     overwrite_partitions: bool = False
-    rebalance: bool = False
+    # None: where the sink is partitioned.
+    rebalance: bool | None = None
 
 
 @dataclass(frozen=True)
@@ -92,6 +93,10 @@ class Settings:
     spark: Mapping[str, Any] = field(default_factory=dict)
     quality_rules: Mapping[str, Any] = field(default_factory=dict)
     staging: str = "auto"
+    # Whether file sources must hold files before anything else is done.
+    preflight: bool = False
+    # Where runs append their history: paths of the tables ``runs`` and ``logs``.
+    audit: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -216,18 +221,21 @@ def _dataflow(config: Mapping[str, Any]) -> Dataflow:
                 tuple(sink.get("partitionBy") or ()),
                 sink.get("options") or {},
                 bool(sink.get("overwritePartitions", False)),
-                bool(sink.get("rebalance", False)),
+                None if sink.get("rebalance") is None else bool(sink["rebalance"]),
             )
         )
     settings = config.get("settings") or {}
     staging = settings.get("staging", "auto")
     _one_of(staging, ("auto", "always", "never"), "settings.staging")
+    audit = settings.get("audit") or {}
+    if audit and set(audit) != {"runs", "logs"}:
+        raise SpecError("settings.audit needs the paths 'runs' and 'logs'")
     flow = Dataflow(
         config.get("name", "unnamed"),
         tuple(sources),
         tuple(steps),
         tuple(sinks),
-        Settings(settings.get("spark") or {}, settings.get("quality_rules") or {}, staging),
+        Settings(settings.get("spark") or {}, settings.get("quality_rules") or {}, staging, bool(settings.get("preflight", False)), audit),
         str(config.get("version", "unknown")),
         config.get("description", ""),
     )

@@ -65,3 +65,12 @@ def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of a frame; it is the file size for a plain scan."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
     return int(str(stats.sizeInBytes()))
+
+
+_TIME_OF_QUERY = re.compile(r"\b(current_timestamp|current_date|current_time|localtimestamp|now)\(", re.IGNORECASE)
+
+
+def is_repeatable(df: DataFrame) -> bool:
+    """Whether a frame gives the same values when it is computed again from the same files."""
+    analysed = df._jdf.queryExecution().analyzed()
+    return bool(analysed.deterministic()) and not _TIME_OF_QUERY.search(analysed.toString())

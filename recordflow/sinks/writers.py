@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from recordflow.errors import SpecError
 from recordflow.functions.columns import known_columns
 from recordflow.plans.spec import Sink
+from recordflow.plans.staging import StagingArea
 from recordflow.sources.readers import require_format
 
 log = logging.getLogger(__name__)
@@ -25,16 +27,23 @@ def check_sink_columns(df: DataFrame, sink: Sink) -> None:
         raise SpecError(f"{where}: partitionBy takes all columns {df.columns}")
 
 
-def write_sink(df: DataFrame, sink: Sink, counter: Observation | None = None) -> None:
+def write_sink(df: DataFrame, sink: Sink, counter: Observation | None = None, stable: bool = False) -> None:
     """Write a frame to every path of a sink; ``counter`` receives the row count as ``n``.
 
     Directories are never created beforehand, so the modes ``error`` and ``ignore`` see the real
-    state. A frame for several paths should be a staged or otherwise stable one.
+    state. A frame for several paths is staged once, so that all paths get the same rows, unless
+    it is said to be ``stable``.
     """
     check_sink_columns(df, sink)
-    if sink.rebalance:
+    if len(sink.paths) > 1 and not stable:
+        area = StagingArea(df.sparkSession)
+        try:
+            return write_sink(area.stage(df, sink.name), sink, counter, stable=True)
+        finally:
+            area.discard()
+    if bool(sink.partition_by) if sink.rebalance is None else sink.rebalance:
         # Adaptive execution then cuts a hot partition value into files of the advisory size and
-        # packs small ones together.
+        # packs small ones together; without it every task would write a file per value.
         df = df.hint("rebalance", *sink.partition_by) if sink.partition_by else df.hint("rebalance")
     if counter is not None:
         # After the last shuffle: rows of a task that runs again are then counted once.
@@ -52,15 +61,27 @@ def write_sink(df: DataFrame, sink: Sink, counter: Observation | None = None) ->
 
 
 def write_sinks(frames: Mapping[str, DataFrame], sinks: Sequence[Sink]) -> dict[str, bool]:
-    """Write all sinks in order and report which succeeded, instead of stopping at the first error."""
-    done = {}
-    for sink in sinks:
-        try:
-            write_sink(frames[sink.input], sink)
-            done[sink.name] = True
-        except Exception:
-            log.exception("sink %s failed", sink.name)
-            done[sink.name] = False
+    """Write all sinks in order and report which succeeded, instead of stopping at the first error.
+
+    A frame with several writes is staged once before them.
+    """
+    writes = Counter(sink.input for sink in sinks for _ in sink.paths)
+    done, staged = {}, {}
+    areas = []
+    try:
+        for sink in sinks:
+            try:
+                if writes[sink.input] > 1 and sink.input not in staged:
+                    areas.append(StagingArea(frames[sink.input].sparkSession))
+                    staged[sink.input] = areas[-1].stage(frames[sink.input], sink.input)
+                write_sink(staged.get(sink.input, frames[sink.input]), sink, stable=sink.input in staged)
+                done[sink.name] = True
+            except Exception:
+                log.exception("sink %s failed", sink.name)
+                done[sink.name] = False
+    finally:
+        for area in areas:
+            area.discard()
     return done
 
 

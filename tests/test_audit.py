@@ -80,7 +80,7 @@ def test_enrichment(runs):
 
 
 def test_stage_detail(runs, logs):
-    detail = audit.stage_detail(runs, logs)
+    detail = audit.stage_detail(runs, logs, limit=1000)
     found = {
         (r["pipeline_id"], r["stage"], r["status"]): [line["message"] for line in r["logs"]] for r in detail.collect()
     }

@@ -24,7 +24,7 @@ LEFT_ONLY = [(1, "a", 10, None, None), (None, "d", 40, None, None)]
 RIGHT_ONLY = [(3, None, None, "z", 3.0), (None, None, None, "w", 4.0)]
 
 
-@pytest.mark.parametrize("skew", [{}, {"skewBytes": 0, "hotRows": 1}])
+@pytest.mark.parametrize("skew", [{}, {"hotRows": 1}])
 @pytest.mark.parametrize(
     "how, expected",
     [
@@ -43,7 +43,7 @@ def test_join(left, right, how, expected, skew):
     assert rows(joined) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("skew", [{}, {"skewBytes": 0, "hotRows": 1}])
+@pytest.mark.parametrize("skew", [{}, {"hotRows": 1}])
 @pytest.mark.parametrize("how, size", [("inner", 2), ("left", 4), ("right", 5), ("full", 7), ("semi", 2), ("anti", 2)])
 def test_join_with_condition(left, right, how, size, skew):
     params = {"on": ["k"], "how": how, "condition": "l.n / 10 > r.r AND r.v = 'x'", **skew}

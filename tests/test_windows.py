@@ -6,7 +6,7 @@ from recordflow import SpecError
 from recordflow.operators.windows import window
 from tests.conftest import rows
 
-SPREAD = {"skewBytes": 0, "hotRows": 24}
+SPREAD = {"hotRows": 24}
 
 
 def params(function, **extra):
@@ -86,14 +86,19 @@ def test_alias_may_replace_a_column(skewed, area):
         assert window(skewed, params(function, alias="v", **SPREAD), area).columns == ["id", "k", "o", "v"]
 
 
-def test_no_job_without_an_area_or_below_the_size(spark, area):
+def test_no_job_without_an_area(spark):
     data = spark.range(100).selectExpr("id", "id % 2 AS k", "id AS o", "0.5 AS v")
     before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
     window(data, params("rank", **SPREAD))
-    window(data, params("rank"), area)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == len(before)
 
 
+@pytest.mark.parametrize("function", ["row_number", "rank", "dense_rank"])
+def test_positions_are_bigint_in_every_form(skewed, area, function):
+    types = {dict(window(skewed, params(function, **extra), area).dtypes)["w"] for extra in ({}, SPREAD)}
+    assert types == {"bigint"}
+
+
 @pytest.mark.parametrize(
     "change",
     [

@@ -88,13 +88,14 @@ def _runs_with_stages(spark, sf_dir):
     """Runs of the log table, each with the stages its log mentions and one that logs nothing."""
     logs = table(spark, sf_dir, "logs")
     times = logs.groupBy("pipeline_id", "stage").agg(
-        F.min("log_time").alias("start_time"), F.max("log_time").alias("end_time")
+        F.min("log_time").alias("start_time"), F.max("log_time").alias("end_time"), F.count(F.lit(1)).alias("n_lines")
     )
     stage = F.struct(
         F.coalesce("stage", F.lit("cleanup")).alias("name"),
         F.lit("success").alias("status"),
         F.col("start_time").cast("timestamp").alias("start_time"),
         F.col("end_time").cast("timestamp").alias("end_time"),
+        F.concat(F.lit("lines: "), F.col("n_lines").cast("string")).alias("data"),
     )
     # At most the four stages of a run are collected.
     return times.groupBy("pipeline_id").agg(F.collect_list(stage).alias("stages"))
@@ -102,14 +103,14 @@ def _runs_with_stages(spark, sf_dir):
 
 STAGES_SQL = """
 SELECT pipeline_id, coalesce(stage, 'cleanup') AS stage, 'success' AS status, min(log_time) AS start_time,
-  max(log_time) AS end_time FROM logs GROUP BY 1, 2
+  max(log_time) AS end_time, 'lines: ' || CAST(count(*) AS VARCHAR) AS data FROM logs GROUP BY 1, 2
 """
 
 
 @query(
     "stage_log_lines",
     f"""
-    SELECT s.pipeline_id, s.stage, s.status, s.start_time, s.end_time, g.log_id, g.log_time, g.level, g.message
+    SELECT s.pipeline_id, s.stage, s.status, s.start_time, s.end_time, s.data, g.log_id, g.log_time, g.level, g.message
     FROM ({STAGES_SQL}) s LEFT JOIN logs g ON s.pipeline_id = g.pipeline_id AND s.stage = g.stage
     """,
 )
@@ -121,20 +122,22 @@ def stage_log_lines(spark, sf_dir):
 @query(
     "stage_detail",
     f"""
-    SELECT s.pipeline_id, s.stage, s.status, count(g.log_id) AS n_logs,
+    SELECT s.pipeline_id, s.stage, s.status, s.data, count(g.log_id) AS n_logs,
       coalesce(string_agg(g.message, '; ' ORDER BY g.log_time DESC, g.log_id), '') AS messages
     FROM ({STAGES_SQL}) s LEFT JOIN (
       SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_id ORDER BY log_time DESC, log_id) AS n
-                     FROM logs) t WHERE n <= 1000) g
-    ON s.pipeline_id = g.pipeline_id AND s.stage = g.stage GROUP BY s.pipeline_id, s.stage, s.status
+                     FROM logs) t WHERE n <= 20) g
+    ON s.pipeline_id = g.pipeline_id AND s.stage = g.stage GROUP BY ALL
     """,
 )
 def stage_detail(spark, sf_dir):
-    detail = audit.stage_detail(_runs_with_stages(spark, sf_dir), table(spark, sf_dir, "logs"))
+    """A short overview: the newest 20 lines of each run, by stage; ``stage_log_lines`` has all."""
+    detail = audit.stage_detail(_runs_with_stages(spark, sf_dir), table(spark, sf_dir, "logs"), limit=20)
     return detail.select(
         "pipeline_id",
         "stage",
         "status",
+        "data",
         F.size("logs").cast("bigint").alias("n_logs"),
         F.array_join(F.col("logs.message"), "; ").alias("messages"),
     )

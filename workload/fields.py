@@ -41,7 +41,28 @@ _field_query(
 _field_query(
     "field_hash_sha256", [_field("record_hash", "hash", columns=HASHED)], f"sha256({JOINED_SQL}) AS record_hash"
 )
-_field_query("field_hash_sha512", [_field("record_hash", "hash", columns=HASHED, algorithm="sha512")], None)
+
+
+@query(
+    "field_hash_sha512",
+    f"""
+    SELECT count(*) AS n_rows, count(DISTINCT {JOINED_SQL}) AS n_digests, 128 AS shortest, 128 AS longest, count(*) AS n_hex
+    FROM policies
+    """,
+)
+def field_hash_sha512(spark, sf_dir):
+    """What can be said of the digests without another SHA-512: as many as texts, and 128 hexadecimal digits each."""
+    fields = [_field("record_hash", "hash", columns=HASHED, algorithm="sha512")]
+    hashed = projections.add_fields(table(spark, sf_dir, "policies"), {"addFields": fields})
+    return hashed.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("record_hash").alias("n_digests"),
+        F.min(F.length("record_hash")).alias("shortest"),
+        F.max(F.length("record_hash")).alias("longest"),
+        F.count_if(F.col("record_hash").rlike("^[0-9a-f]+$")).alias("n_hex"),
+    )
+
+
 _field_query(
     "field_hash_null_token",
     [_field("record_hash", "hash", columns=HASHED, nullToken="<null>")],
@@ -98,10 +119,12 @@ _field_query(
 _field_query(
     "field_when",
     [
-        _field("age_group", "when", condition="driver_age < 25", then="young", otherwise="adult"),
+        _field("started", "when", condition="policy_start_date < '1995-01-01'", then="early", otherwise="late"),
         _field("senior", "when", condition="driver_age > 80", then=1),
+        _field("mixed", "when", condition="driver_age > 80", then=1, otherwise="no"),
     ],
-    "CASE WHEN driver_age < 25 THEN 'young' ELSE 'adult' END AS age_group, CASE WHEN driver_age > 80 THEN 1 END AS senior",
+    "CASE WHEN policy_start_date < DATE '1995-01-01' THEN 'early' ELSE 'late' END AS started, "
+    "CASE WHEN driver_age > 80 THEN 1 END AS senior, CASE WHEN driver_age > 80 THEN '1' ELSE 'no' END AS mixed",
 )
 _field_query(
     "field_date_parts",
@@ -143,9 +166,17 @@ _field_query(
             column="o_custkey",
             mapping={str(key): f"g{key % 7}" for key in range(1200)},
             default="none",
-        )
+        ),
+        _field(
+            "rank", "lookup", column="o_custkey", mapping={str(key): None if key % 5 == 0 else key % 3 for key in range(1200)}, default=9
+        ),
+        _field(
+            "share", "lookup", column="o_custkey", mapping={str(key): 0.5 if key % 2 else 1 for key in range(1001)}
+        ),
     ],
-    "CASE WHEN o_custkey < 1200 THEN 'g' || CAST(o_custkey % 7 AS VARCHAR) ELSE 'none' END AS customer_group",
+    "CASE WHEN o_custkey < 1200 THEN 'g' || CAST(o_custkey % 7 AS VARCHAR) ELSE 'none' END AS customer_group, "
+    "CASE WHEN o_custkey >= 1200 THEN 9 WHEN o_custkey % 5 = 0 THEN NULL ELSE CAST(o_custkey % 3 AS INTEGER) END AS rank, "
+    "CASE WHEN o_custkey > 1000 THEN NULL WHEN o_custkey % 2 = 1 THEN CAST(0.5 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS share",
     base="orders",
 )
 _field_query(
@@ -216,19 +247,21 @@ def field_custom_registered(spark, sf_dir):
 
 @query(
     "step_add_fields",
-    "SELECT o_orderkey, upper(plate_number) AS plate_number_upper, "
-    "CASE WHEN driver_age < 25 THEN 'young' ELSE 'adult' END AS age_group, '1.0.0' AS flow_version, "
-    f"sha256({JOINED_SQL}) AS record_hash FROM policies",
+    "SELECT o_orderkey, lower(vehicle_type) || '/' || coverage_type AS product, "
+    "CASE WHEN premium > 20000 THEN 'large' ELSE 'small' END AS premium_class, CAST(year(policy_start_date) AS INTEGER) AS cohort, "
+    "md5(concat_ws('||', vehicle_type, coverage_type)) AS product_key FROM policies",
 )
 def step_add_fields(spark, sf_dir):
     fields = [
-        _field("plate_number_upper", "upper", column="plate_number"),
-        _field("age_group", "when", condition="driver_age < 25", then="young", otherwise="adult"),
-        _field("flow_version", "literal", value="1.0.0"),
-        _field("record_hash", "hash", columns=HASHED, algorithm="sha256"),
+        _field("kind", "lower", column="vehicle_type"),
+        _field("slash", "literal", value="/"),
+        _field("product", "concat", columns=["kind", "slash", "coverage_type"]),
+        _field("premium_class", "when", condition="premium > 20000", then="large", otherwise="small"),
+        _field("cohort", "year", column="policy_start_date"),
+        _field("product_key", "hash", columns=["vehicle_type", "coverage_type"], algorithm="md5"),
     ]
     added = projections.add_fields(table(spark, sf_dir, "policies"), {"addFields": fields})
-    return added.select("o_orderkey", *[field["name"] for field in fields])
+    return added.select("o_orderkey", "product", "premium_class", "cohort", "product_key")
 
 
 @query(

@@ -23,11 +23,11 @@ SPEC = {
                         "input": "validation_ok",
                         "addFields": [
                             {
-                                "name": "age_group",
+                                "name": "price_band",
                                 "function": "when",
-                                "condition": "driver_age < 25",
-                                "then": "young",
-                                "otherwise": "adult",
+                                "condition": "premium > 20000",
+                                "then": "upper",
+                                "otherwise": "lower",
                             },
                             {"name": "premium", "function": "cast", "column": "premium", "type": "decimal(18,3)"},
                         ],
@@ -38,7 +38,7 @@ SPEC = {
                     "type": "aggregate",
                     "params": {
                         "input": "grouped",
-                        "groupBy": ["vehicle_type", "age_group"],
+                        "groupBy": ["vehicle_type", "price_band"],
                         "aggregations": [
                             {"function": "sum", "column": "premium", "alias": "total_premium"},
                             {"function": "avg", "column": "driver_age", "alias": "avg_age"},
@@ -55,7 +55,7 @@ SPEC = {
 @query(
     "premium_by_vehicle",
     f"""
-    SELECT vehicle_type, CASE WHEN driver_age < 25 THEN 'young' ELSE 'adult' END AS age_group,
+    SELECT vehicle_type, CASE WHEN premium > 20000 THEN 'upper' ELSE 'lower' END AS price_band,
       CAST(sum(CAST(premium AS DECIMAL(18,3))) AS DECIMAL(28,3)) AS total_premium,
       round(avg(driver_age), 6) AS avg_age, count(policy_number) AS n_policies
     FROM ({ANNOTATED_SQL}) t WHERE {ALL_NULL_SQL} GROUP BY 1, 2

@@ -45,17 +45,17 @@ def _orders(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
-def _rich_customers(spark, sf_dir):
-    """Customers with a positive balance, so that some orders have no match."""
-    return table(spark, sf_dir, "customer").filter("c_acctbal > 0").select("c_custkey", "c_nationkey", "c_mktsegment")
+def _customers(spark, sf_dir):
+    """All customers under keys of which half fit no order."""
+    return table(spark, sf_dir, "customer").selectExpr("c_custkey * 2 AS c_custkey", "c_nationkey", "c_mktsegment")
 
 
-RICH_SQL = "(SELECT c_custkey, c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 0)"
+CUSTOMERS_SQL = "(SELECT c_custkey * 2 AS c_custkey, c_nationkey, c_mktsegment FROM customer)"
 
 
 def _join_query(name: str, how: str, oracle: str):
     def run(spark, sf_dir):
-        return relational.join(_orders(spark, sf_dir), _rich_customers(spark, sf_dir), {"on": CUSTOMER_KEY, "how": how})
+        return relational.join(_orders(spark, sf_dir), _customers(spark, sf_dir), {"on": CUSTOMER_KEY, "how": how})
 
     query(name, oracle)(run)
 
@@ -64,10 +64,10 @@ for _how in ("inner", "left", "right"):
     _join_query(
         f"join_{_how}",
         _how,
-        f"SELECT {ORDER_SQL}, c.* FROM orders o {_how.upper()} JOIN {RICH_SQL} c ON o.o_custkey = c.c_custkey",
+        f"SELECT {ORDER_SQL}, c.* FROM orders o {_how.upper()} JOIN {CUSTOMERS_SQL} c ON o.o_custkey = c.c_custkey",
     )
-_join_query("join_semi", "semi", f"SELECT {ORDER_SQL} FROM orders o SEMI JOIN {RICH_SQL} c ON o.o_custkey = c.c_custkey")
-_join_query("join_anti", "anti", f"SELECT {ORDER_SQL} FROM orders o ANTI JOIN {RICH_SQL} c ON o.o_custkey = c.c_custkey")
+_join_query("join_semi", "semi", f"SELECT {ORDER_SQL} FROM orders o SEMI JOIN {CUSTOMERS_SQL} c ON o.o_custkey = c.c_custkey")
+_join_query("join_anti", "anti", f"SELECT {ORDER_SQL} FROM orders o ANTI JOIN {CUSTOMERS_SQL} c ON o.o_custkey = c.c_custkey")
 
 FULL_SQL = """
 SELECT coalesce(a.k, b.k) AS k, a.c_name, a.c_acctbal AS balance, b.s_name, b.s_acctbal AS balance_right
@@ -91,17 +91,36 @@ def join_full(spark, sf_dir):
 @query("join_full_skew_safe", FULL_SQL)
 def join_full_skew_safe(spark, sf_dir):
     """The form used when a large side has a hot key: an inner join and two anti joins."""
-    return _full_join(spark, sf_dir, skewBytes=0, hotRows=0)
+    return _full_join(spark, sf_dir, hotRows=0)
+
+
+@query(
+    "join_full_null_keys",
+    """
+    SELECT coalesce(a.policy_number, b.policy_number) AS policy_number, a.o_orderkey, b.o_orderkey AS o_orderkey_right,
+      b.premium
+    FROM (SELECT * FROM policies WHERE o_orderkey % 2 = 1) a
+    FULL JOIN (SELECT * FROM policies WHERE o_orderkey % 2 = 0) b
+      ON a.policy_number = b.policy_number AND a.vehicle_type = b.vehicle_type
+    """,
+)
+def join_full_null_keys(spark, sf_dir):
+    """Odd policies with even ones; those without a number match nothing and go through no shuffle."""
+    policies = table(spark, sf_dir, "policies")
+    left = policies.filter("o_orderkey % 2 = 1").select("policy_number", "vehicle_type", "o_orderkey")
+    right = policies.filter("o_orderkey % 2 = 0").select("policy_number", "vehicle_type", "o_orderkey", "premium")
+    params = {"on": ["policy_number", "vehicle_type"], "how": "full"}
+    return relational.join(left, right, params).drop("vehicle_type")
 
 
 @query(
     "join_left_skew_safe",
-    f"SELECT c.*, {ORDER_SQL} FROM {RICH_SQL} c LEFT JOIN orders o ON o.o_custkey = c.c_custkey",
+    f"SELECT c.*, {ORDER_SQL} FROM {CUSTOMERS_SQL} c LEFT JOIN orders o ON o.o_custkey = c.c_custkey",
 )
 def join_left_skew_safe(spark, sf_dir):
     """Customers with their orders, some customers having far more orders than others."""
-    params = {"on": [{"left": "c_custkey", "right": "o_custkey"}], "how": "left", "skewBytes": 0, "hotRows": 1}
-    return relational.join(_rich_customers(spark, sf_dir), _orders(spark, sf_dir), params, look_for_skew=True)
+    params = {"on": [{"left": "c_custkey", "right": "o_custkey"}], "how": "left", "hotRows": 1}
+    return relational.join(_customers(spark, sf_dir), _orders(spark, sf_dir), params, look_for_skew=True)
 
 
 @query(
@@ -253,9 +272,9 @@ def pivot_sum(spark, sf_dir):
 
 
 WINDOW_SQL = {
-    "row_number": "CAST(row_number() OVER ({spec}) AS INTEGER)",
-    "rank": "CAST(rank() OVER ({spec}) AS INTEGER)",
-    "dense_rank": "CAST(dense_rank() OVER ({spec}) AS INTEGER)",
+    "row_number": "row_number() OVER ({spec})",
+    "rank": "rank() OVER ({spec})",
+    "dense_rank": "dense_rank() OVER ({spec})",
     "lag": "lag(value, 2) OVER ({spec})",
     "lead": "lead(value) OVER ({spec})",
 }
@@ -286,5 +305,5 @@ for _function in WINDOW_SQL:
     _window_query(f"win_{_function}", _function, ["user_id"], _order, _order_sql)
     # A few keys hold all rows: the form for hot keys, with its threshold low enough to apply here.
     _window_query(
-        f"win_hot_{_function}", _function, ["event_type"], _order, _order_sql, skewBytes=0, hotRows=1000
+        f"win_hot_{_function}", _function, ["event_type"], _order, _order_sql, hotRows=1000
     )
