@@ -39,7 +39,8 @@ def merged(a: Column, b: Column, k: int = K) -> Column:
 
 def merged_groups(sketches: DataFrame, keys: list[str], sketch: str = "sketch", k: int = K) -> DataFrame:
     """One sketch per group of rows; tasks keep no more than ``k`` hashes of a group each, however large it is."""
-    hashes = sketches.select(*keys, F.explode(sketch).alias(h := free_name(sketches, "hash"))).distinct()
+    # The outer form keeps Spark from asking for the size of a sketch, and so for the sketch, beforehand.
+    hashes = sketches.select(*keys, F.explode_outer(sketch).alias(h := free_name(sketches, "hash"))).where(F.col(h).isNotNull()).distinct()
     place = free_name(sketches, "place")
     low = hashes.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(h))).where(F.col(place) <= k)
     return low.groupBy(*keys).agg(F.sort_array(F.collect_list(h)).alias(sketch))
