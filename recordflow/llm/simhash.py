@@ -24,8 +24,8 @@ RADIUS = 2
 #: Fingerprints of a shard beyond which it is divided again by further bits.
 SHARD_ROWS = 20_000
 
-#: Queries that go down a tree together.
-QUERY_BLOCK = 1024
+#: Pairs of a query and a node that are followed at once, about.
+FRONTIER = 1 << 21
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -135,20 +135,42 @@ class BKTree:
 
 
 def forest(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between the values that hold their components together, fewer than there are values."""
-    tree, root = BKTree(values), np.arange(len(values))
+    """Links between the values that hold their components together, fewer than there are values.
+
+    In a dense shard nearly all values are within the radius of some pivot and so of one component
+    already: only the others go down the tree. Found pairs of one component are dropped as arrays.
+    """
+    values = values.astype(np.uint64)
+    n = len(values)
+    root = np.arange(n)
+    kept: list[tuple[int, int]] = []
+    others = np.arange(n)
+    if n > 64:
+        tried = np.linspace(0, n - 1, 16).astype(int)
+        pivot = max(tried, key=lambda i: int((np.bitwise_count(values ^ values[i]) <= radius).sum()))
+        near = np.bitwise_count(values ^ values[pivot]) <= radius
+        kept += [(int(i), int(pivot)) for i in np.flatnonzero(near) if i != pivot]
+        root[near] = np.flatnonzero(near)[0]
+        others = np.flatnonzero(~near)
 
     def find(i: int) -> int:
         while root[i] != i:
             root[i] = root[root[i]]
             i = root[i]
-        return i
-
-    kept = []
-    for start in range(0, len(values), QUERY_BLOCK):
-        q, v = tree.within(tree.values[start : start + QUERY_BLOCK], radius)
-        q = q + start
-        for i, j in zip(*(x[q > v].tolist() for x in (q, v)), strict=True):
+        return int(i)
+
+    tree = BKTree(values)
+    block = max(16, FRONTIER // max(n, 1))
+    for start in range(0, len(others), block):
+        asked = others[start : start + block]
+        q, v = tree.within(values[asked], radius)
+        q = asked[q]
+        while (root[root] != root).any():
+            root = root[root]
+        apart = root[q] != root[v]
+        q, v = q[apart], v[apart]
+        _, first = np.unique(root[q] * n + root[v], return_index=True)
+        for i, j in zip(q[first].tolist(), v[first].tolist(), strict=True):
             a, b = find(i), find(j)
             if a != b:
                 root[max(a, b)] = min(a, b)
@@ -191,6 +213,20 @@ def sharded(values: DataFrame, radius: int, shard_rows: int = SHARD_ROWS) -> Dat
     return found.select("fingerprint", F.explode(F.when(F.col("hot").isNull(), F.array("shard")).otherwise(finer)).alias("shard"))
 
 
+def banded_shards(values: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(shard, fingerprint): texts with the same smallest hash in a band share a shard.
+
+    Shards of over ``shard_rows`` values, as a passage in very many texts makes, are divided by the
+    smallest hashes of each other band: texts that are alike have at least two bands in common.
+    """
+    rows = values.distinct().select("fingerprint", "minima", F.posexplode("minima").alias("band", "low"))
+    rows = rows.select("fingerprint", "minima", "band", F.xxhash64("band", "low").alias("shard"))
+    hot = staged(rows.groupBy("shard").count().where(F.col("count") > shard_rows).select(F.col("shard").alias("hot")), "simhash-hot")
+    others = F.expr("filter(transform(minima, (m, i) -> IF(i = band, NULL, xxhash64(shard, i, m))), s -> s IS NOT NULL)")
+    found = rows.join(hot, F.col("shard") == F.col("hot"), "left")
+    return found.select("fingerprint", F.explode(F.when(F.col("hot").isNull(), F.array("shard")).otherwise(others)).alias("shard")).distinct()
+
+
 def linked(shards: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) of a forest of each shard's links; a task streams shards and holds one at a time."""
 
@@ -232,8 +268,7 @@ def near_duplicates(printed: DataFrame, radius: int = RADIUS, fingerprint: str =
     if minima is None:
         shards = sharded(nodes, radius, shard_rows)
     else:
-        banded = rows.select(F.col(fingerprint).alias("fingerprint"), F.posexplode(minima).alias("band", "low"))
-        shards = banded.select("fingerprint", F.xxhash64("band", "low").alias("shard")).distinct()
+        shards = banded_shards(rows.select(F.col(fingerprint).alias("fingerprint"), F.col(minima).alias("minima")), shard_rows)
     found = components(linked(shards, radius))
     named = nodes.join(found, F.col("fingerprint") == F.col("node"), "left")
     named = staged(named.select("fingerprint", "least", F.coalesce("component", "fingerprint").alias("root")), "simhash-roots")
@@ -258,14 +293,17 @@ def op9_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Five words a shingle; cosines of 0.889, as two equally long texts with a resemblance of 0.8 have, differ in 9.7 of 64 bits on average.
 NEAR_WORDS = 5
 NEAR_RADIUS = 10
-NEAR_BANDS = 4
+NEAR_BANDS = 8
+
+#: A tree of wide radius is searched almost whole, so its shards are small.
+NEAR_SHARD_ROWS = 2_000
 
 
 def deduplicated_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of near-duplicates the document with the smallest id, once if it is repeated."""
     rows = packed(docs, "doc_id", "text").withColumn("key", F.xxhash64("text"))
     printed = fingerprints(rows.drop("row"), shingle_words=NEAR_WORDS, bands=NEAR_BANDS).drop("text")
-    grouped = near_duplicates(staged(printed, "near"), NEAR_RADIUS, minima="minima")
+    grouped = near_duplicates(staged(printed, "near"), NEAR_RADIUS, minima="minima", shard_rows=NEAR_SHARD_ROWS)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("k"))).alias("first")
     kept = staged(grouped.groupBy("component").agg(first).select("first.id", "first.k").distinct(), "near-kept")
     chosen = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("key").eqNullSafe(F.col("k")), "left_semi")

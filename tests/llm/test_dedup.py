@@ -164,6 +164,31 @@ def test_trees_find_all_pairs(radius):
     assert set(zip(q.tolist(), v.tolist(), strict=True)) == {(i, j) for i, a in enumerate(values) for j, b in enumerate(values) if int(a ^ b).bit_count() <= radius}
 
 
+@pytest.mark.parametrize("radius,n", [(2, 400), (10, 300), (14, 300)])
+def test_forests_keep_components(radius, n):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 2**63, 5, dtype=np.uint64)
+    noise = np.where(rng.random((n, 64)) < 0.08, np.uint64(1) << np.arange(64, dtype=np.uint64), np.uint64(0))
+    values = np.unique(base[rng.integers(0, 5, n)] ^ np.bitwise_or.reduce(noise, axis=1))
+
+    def classes(pairs):
+        root = list(range(len(values)))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for i, j in pairs:
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+        return [find(i) for i in range(len(values))]
+
+    links = list(zip(*(x.tolist() for x in simhash.forest(values, radius)), strict=True))
+    assert len(links) < len(values)
+    assert classes(links) == classes((i, j) for i in range(len(values)) for j in range(i) if int(values[i] ^ values[j]).bit_count() <= radius)
+
+
 def test_divided_shards_lose_no_link(spark):
     rng = np.random.default_rng(4)
     base = rng.integers(0, 2**62, 6, dtype=np.int64)
