@@ -6,6 +6,7 @@ recomputation that gives other values (uuids, the survivor of an unordered dedup
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -31,7 +32,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 class StagingArea:
-    """A folder of staged tables that belongs to one run."""
+    """A folder of staged tables that belongs to one run.
+
+    Tables behind lazy frames must outlive the call that made them: what nobody has discarded goes
+    when the program ends, if its session still runs then.
+    """
 
     def __init__(self, spark: SparkSession, run_id: str | None = None):
         self.spark = spark
@@ -45,6 +50,7 @@ class StagingArea:
     def new_path(self, label: str) -> str:
         folder = self.path
         self._count += 1
+        _LEFT.add(self)
         return f"{folder}/{self._count:03d}_{re.sub('[^A-Za-z0-9_]', '_', label)}"
 
     def stage(self, df: DataFrame, label: str) -> DataFrame:
@@ -55,12 +61,27 @@ class StagingArea:
 
     def discard(self) -> None:
         """Delete this run's own staged tables."""
+        _LEFT.discard(self)
         if self._count == 0:
             return
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Areas that hold tables.
+_LEFT: set[StagingArea] = set()
+
+
+@atexit.register
+def _discard_left() -> None:
+    for area in list(_LEFT):
+        try:
+            if area.spark.sparkContext._jsc is not None:
+                area.discard()
+        except Exception:  # the session is gone, and with it the way to its files
+            return
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of a frame; it is the file size for a plain scan."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
