@@ -70,6 +70,11 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], window: int, anchor
     ``lefts`` are reversed. Each interval of the suffixes is scanned once more by what is left of its members;
     an interval of that scan can't be extended to the left, as its members differ there or end.
     """
+    if len(rights) == 2:  # a tree of one interval
+        left, right = common(*lefts), common(*rights)
+        if left + right >= window:
+            yield left, right, [0, 1]
+        return
     array = sorted(range(len(rights)), key=rights.__getitem__)
     for right, first, end in intervals([rights[i] for i in array], anchor):
         members = sorted(array[first:end], key=lefts.__getitem__)
@@ -78,9 +83,11 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], window: int, anchor
 
 
 class Places(NamedTuple):
-    """Places of the anchors in the buffer, and the sums that its stretches are hashed by."""
+    """Places of the anchors in the buffer, where the windows that choose them begin and end, and sums for hashing."""
 
     at: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
     sums: np.ndarray
 
 
@@ -106,13 +113,46 @@ class Suffixes:
         low[left[: len(low)] < w] = 0
         high = sliding(np.concatenate([np.zeros(reach - 1, np.uint64), low, np.zeros(reach - 1, np.uint64)]), reach, np.maximum)
         at = np.flatnonzero((name == high) & (left[: n - q + 1] >= q))
-        return Anchors(name[at], row[at].astype(np.int64), at - buffer.offsets[:-1][row[at]], Places(at, sums))
+        start, end = self.chosen_by(low, name, at, buffer.offsets[:-1][row[at]], buffer.offsets[1:][row[at]])
+        return Anchors(name[at], row[at].astype(np.int64), at - buffer.offsets[:-1][row[at]], Places(at, start, end, sums))
+
+    def chosen_by(self, low: np.ndarray, name: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start of the first and end of the last window that chooses each anchor.
+
+        Windows in a row with one minimum have one anchor. Where it isn't the only one of its name
+        there, all windows around are taken for each: more than needed does no harm.
+        """
+        reach = self.window - self.anchor + 1
+        start, end = np.maximum(at - reach + 1, first), np.minimum(at + self.window, last)
+        if not len(at):
+            return start, end
+        run = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+        until = np.append(run[1:], len(low)) - 1
+        run, until = run[low[run] > 0], until[low[run] > 0]
+        # The anchors of a run lie between its last window's start and its first window's reach.
+        place = np.searchsorted(at, until)
+        exact, owner = np.zeros(len(run), bool), np.zeros(len(run), np.int64)
+        for step in range(3):
+            k = np.minimum(place + step, len(at) - 1)
+            fits = ~exact & (name[at[k]] == low[run]) & (at[k] >= until) & (at[k] < run + reach)
+            owner[fits] = k[fits]
+            exact |= fits
+        runs = np.bincount(owner[exact], minlength=len(at))
+        # Anchors with a run of their own and no other claim on them.
+        before = np.searchsorted(at, run)
+        behind = np.searchsorted(at, until + reach)
+        unclear = np.zeros(len(at) + 1, np.int64)
+        np.add.at(unclear, before[~exact], 1)
+        np.add.at(unclear, behind[~exact], -1)
+        sole = (runs == 1) & (np.cumsum(unclear)[:-1] == 0)
+        mine = exact & sole[owner]
+        start[owner[mine]], end[owner[mine]] = run[mine], until[mine] + self.window
+        return start, end
 
     def contents(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray]:
         """One byte with the number of bytes before the anchor, these, and those from the anchor on."""
-        at, row = anchors.more.at[chosen], anchors.row[chosen]
-        before = np.minimum(anchors.at[chosen], self.window - self.anchor)
-        end = np.minimum(at + self.window, buffer.offsets[1:][row])
+        at, end = anchors.more.at[chosen], anchors.more.end[chosen]
+        before = at - anchors.more.start[chosen]
         length = end - at + before + 1
         data = buffer.data[np.maximum(stretches(at - before - 1, length), 0)]
         data[np.cumsum(length) - length] = before
@@ -129,11 +169,12 @@ class Suffixes:
 
     def covered(self, names: np.ndarray, docs: np.ndarray, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
         start, end = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        texts = contents.to_pylist()
         for a, b in groups(names):
             own = docs[a:b].tolist()
             if min(own) == max(own):
                 continue
-            for left, right, members in self.repeats(contents[a:b].to_pylist()):
+            for left, right, members in self.repeats(texts[a:b]):
                 least = min(own[i] for i in members)
                 for i in members:
                     if own[i] > least:
