@@ -67,16 +67,17 @@ def intervals(suffixes: list[bytes], least: int) -> Iterator[tuple[int, int, int
 def maximal_repeats(lefts: list[bytes], rights: list[bytes], window: int, anchor: int) -> Iterator[tuple[int, int, list[int]]]:
     """(bytes before the anchor, bytes from it on, members) of the repeats of at least ``window`` bytes in a bucket.
 
-    ``lefts`` are reversed. Each interval of the suffixes is scanned once more by what is left of its members;
+    ``lefts`` are reversed, and ``rights`` what follows the ``anchor`` bytes that the bucket has in common. Each interval of the suffixes is scanned once more by what is left of its members;
     an interval of that scan can't be extended to the left, as its members differ there or end.
     """
     if len(rights) == 2:  # a tree of one interval
-        left, right = common(*lefts), common(*rights)
+        left, right = common(*lefts), anchor + common(*rights)
         if left + right >= window:
             yield left, right, [0, 1]
         return
     array = sorted(range(len(rights)), key=rights.__getitem__)
-    for right, first, end in intervals([rights[i] for i in array], anchor):
+    for more, first, end in intervals([rights[i] for i in array], 0):
+        right = anchor + more
         members = sorted(array[first:end], key=lefts.__getitem__)
         for left, a, b in intervals([lefts[i] for i in members], max(0, window - right)):
             yield left, right, members[a:b]
@@ -150,18 +151,23 @@ class Suffixes:
         return start, end
 
     def contents(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray]:
-        """One byte with the number of bytes before the anchor, these, and those from the anchor on."""
+        """One byte with the number of bytes before the anchor, these, and those behind it.
+
+        The anchor's own bytes are what its bucket is named by.
+        """
         at, end = anchors.more.at[chosen], anchors.more.end[chosen]
-        before = at - anchors.more.start[chosen]
-        length = end - at + before + 1
-        data = buffer.data[np.maximum(stretches(at - before - 1, length), 0)]
+        before, behind = at - anchors.more.start[chosen], end - at - self.anchor
+        parts = np.stack([at - before - 1, at + self.anchor], axis=1).ravel()
+        length = np.stack([before + 1, behind], axis=1).ravel()
+        data = buffer.data[np.maximum(stretches(parts, length), 0)]
+        length = before + 1 + behind
         data[np.cumsum(length) - length] = before
         return binaries(data, length), mix(stretch_hashes(anchors.more.sums, at - before, end) + before.astype(np.uint64))
 
     def reach(self, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
         data, length = bytes_of(contents)
         before = data[np.cumsum(length) - length].astype(np.int64)
-        return -before, length - 1 - before
+        return -before, self.anchor + length - 1 - before
 
     def repeats(self, contents: list[bytes]) -> Iterator[tuple[int, int, list[int]]]:
         lefts = [c[1 : 1 + c[0]][::-1] for c in contents]
