@@ -96,13 +96,19 @@ class Recompression:
         low, high, open_ = at, at + w, np.arange(len(at))
 
         def settle(which: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
-            """The smallest name within each window's symbols, the leftmost of equal ones."""
-            best, where = name[low], low.copy()
+            """The longest of each window's symbols, of these the one of the smallest name; none that is a single word.
+
+            Single words are in so many texts that their groups would be hot: such windows stay their own anchors.
+            """
+            span = np.diff(np.append(start, n))
+            order = (np.uint64(63) - np.minimum(span, 63).astype(np.uint64) << np.uint64(58)) | name >> np.uint64(6)
+            best, where = order[low], low.copy()
             for step in range(1, int((high - low).max(initial=1))):
                 cand = np.minimum(low + step, high - 1)
-                better = name[cand] < best
-                best, where = np.where(better, name[cand], best), np.where(better, cand, where)
-            anchor[which], place[which] = best, start[where]
+                better = order[cand] < best
+                best, where = np.where(better, order[cand], best), np.where(better, cand, where)
+            wide = span[where] > 1
+            anchor[which[wide]], place[which[wide]] = name[where[wide]], start[where[wide]]
 
         for level, kind in enumerate(ROUNDS):
             if kind == "runs":
