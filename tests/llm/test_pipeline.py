@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -54,7 +55,7 @@ def test_pipeline_against_plain_python(spark, sf_dir):
     assert got == {i: [x for x, y in zip(w, g, strict=True) if not y] for (i, w), g in zip(words, removed(words, 13), strict=True)}
     mixed = stages["mixing"](spark, cut, sf_dir).collect()
     total = sum(map(len, got.values()))
-    assert sum(len(WORD.findall(r["text"])) for r in mixed) == __import__("pytest").approx(1.5 * total, rel=0.01)
+    assert sum(len(WORD.findall(r["text"])) for r in mixed) == pytest.approx(1.5 * total, rel=0.01)
     assert max(Counter(r["doc_id"] for r in mixed).values()) <= 3
     ids = corpus_pipeline.run(spark, sf_dir).withColumn("head", F.hex("ids")).collect()
     assert sorted((r["doc_id"], np.frombuffer(bytes(r["ids"]), "<u4").tolist()) for r in ids) == sorted((r["doc_id"], reference_ids(r["text"])) for r in mixed)
