@@ -19,7 +19,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from recordflow.errors import FlowFailed, SpecError
+from recordflow.errors import FlowFailed
 from recordflow.functions.fields import FieldRegistry
 from recordflow.functions.rules import RuleRegistry
 from recordflow.operators import quality
