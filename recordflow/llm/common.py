@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from recordflow.plans.staging import StagingArea
 
 #: Bytes that a Python worker gets at once; Spark's default holds several copies of long texts at a time.
-BATCH_CONF, DEFAULT_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+BATCH_CONF, DEFAULT_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m"
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"

@@ -25,7 +25,7 @@ from pyspark.sql import Window
 from recordflow.llm.common import chunks, free_name, mapped, released, staged
 
 #: Bytes of text that are worked on at once; arrays of eight bytes for each of them are held.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 #: Rows of whole anchor groups that are resolved together.
 GROUP_ROWS = 20_000
