@@ -33,6 +33,41 @@ def test_near_duplicates_keep_one_of_each_group(spark, odd, folder):
     assert kept[1] == 1 and not kept[11] and not kept[12] and kept[2] == 2 and kept[None] == 1 and kept[7] == kept[6] == 1
 
 
+def test_near_duplicates_are_those_of_resemblance(spark, sf_dir):
+    """Both ways at 0.8: pairs that resemble each other are in one group, and nothing else is."""
+    rng = np.random.default_rng(8)
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    for i in range(60):  # families around the limit: words of one text replaced
+        words = [f"w{i}x{j}" for j in range(200)]
+        for k in range(4):
+            changed = [f"c{i}y{k}z{j}" if rng.random() < 0.002 + 0.02 * k * rng.random() else w for j, w in enumerate(words)]
+            texts[10_000_000 + 10 * i + k] = " ".join(changed)
+    sets = {}
+    for d, t in texts.items():
+        w = WORD.findall(t.lower())
+        sets[d] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    order, below = sorted(sets), 0
+    for n, a in enumerate(order):
+        for b in order[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            union = len(sets[a]) + len(sets[b]) - both
+            below += 0.6 * union <= both < 0.8 * union
+            if 5 * both >= 4 * union:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    assert below > 50  # pairs that a fingerprint alone would link
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    kept = [r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, sf_dir).collect()]
+    assert sorted(kept) == sorted({find(d) for d in sets})
+
+
 def test_pipeline_against_plain_python(spark, sf_dir):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
