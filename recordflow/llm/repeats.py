@@ -177,8 +177,16 @@ AROUND = "route bigint, doc bigint, key bigint, at array<int>, contents binary,
 _AROUND = pa.schema([("route", pa.int64()), ("doc", pa.int64()), ("key", pa.int64()), ("at", pa.list_(pa.int32())), ("contents", pa.binary()), ("decided", pa.bool_())])
 
 
-def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme) -> DataFrame:
-    """The contents around shared anchors, once for each document of the smallest id in a chunk that has them."""
+#: With all occurrences of some contents in a chunk: the item of each list belongs to one of them.
+MEMBERS = "route bigint, docs array<bigint>, keys array<bigint>, at array<int>, contents binary"
+_MEMBERS = pa.schema([("route", pa.int64()), ("docs", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("at", pa.list_(pa.int32())), ("contents", pa.binary())])
+
+
+def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme, members: bool = False) -> DataFrame:
+    """The contents around shared anchors, once for each document of the smallest id in a chunk that has them.
+
+    With ``members``, once for a chunk, with all their occurrences.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,6 +207,12 @@ def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme) -> DataFr
                 order = np.lexsort((at, row, digest, name))
                 name, row, at, digest = name[order], row[order], at[order], digest[order]
                 new = np.concatenate([[True], (name[1:] != name[:-1]) | (digest[1:] != digest[:-1])])
+                if members:
+                    some = np.flatnonzero(new)
+                    cuts = pa.array(np.append(some, len(order)), pa.int32())
+                    lists = [pa.ListArray.from_arrays(cuts, x) for x in (pa.array(doc[row]), pa.array(key[row]), pa.array(at, pa.int32()))]
+                    yield pa.RecordBatch.from_arrays([pa.array(name[some].astype(np.int64)), *lists, contents.take(pa.array(order[some]))], schema=_MEMBERS)
+                    continue
                 low = np.minimum.reduceat(doc[row], np.flatnonzero(new))[np.cumsum(new) - 1]
                 text = np.flatnonzero(new | np.concatenate([[True], row[1:] != row[:-1]]))
                 row, name, low = row[text], name[text].astype(np.int64), low[text]
@@ -210,7 +224,7 @@ def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme) -> DataFr
                 yield pa.RecordBatch.from_arrays(out, schema=_AROUND)
 
     hits = shared.withColumnRenamed("key", "_hit")
-    return mapped(docs.join(hits, F.col("_key") == F.col("_hit")).drop("_hit"), run, AROUND)
+    return mapped(docs.join(hits, F.col("_key") == F.col("_hit")).drop("_hit"), run, MEMBERS if members else AROUND)
 
 
 def resolved_groups(around: DataFrame, resolve: Callable[[list], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from recordflow.llm.common import staged, table
 from recordflow.llm.repeats import (
-    _AROUND,
+    _MEMBERS,
     Anchors,
     Buffer,
     around_anchors,
@@ -233,7 +233,7 @@ def repeat_groups(docs: DataFrame, text: str = "text", window: int = WINDOW_BYTE
     """(bucket, length, key, doc_id, start, end): all occurrences of the maximal repeats around shared anchors.
 
     ``key`` is the hash of id and text; a repeat longer than the reach of an anchor appears as one group
-    for each of its anchors. Copies of a text that a task has seen together are members of the first one's group.
+    for each of its anchors. What a chunk of texts has more than once goes to the group as one row with all its places.
     """
     scheme = Suffixes(window)
     marked = keyed(docs, text)
@@ -242,14 +242,17 @@ def repeat_groups(docs: DataFrame, text: str = "text", window: int = WINDOW_BYTE
 
     def resolve(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(held)
-        route, doc, key, at, contents, _ = (rows.column(f.name).to_pylist() for f in _AROUND)
+        route, docs, keys, at, contents = (rows.column(f.name).to_pylist() for f in _MEMBERS)
+        # Contents with several places stand twice, so that they are a repeat by themselves, too.
+        twice = [i for i, places in enumerate(at) for _ in places[:2]]
         out = []
-        for a, b in groups(np.array(route, np.int64)):
-            for left, right, members in scheme.repeats(contents[a:b]):
-                out += [(route[a], left + right, key[a + i], doc[a + i], p - left, p + right) for i in members for p in at[a + i]]
+        for a, b in groups(np.array([route[i] for i in twice], np.int64)):
+            for left, right, members in scheme.repeats([contents[i] for i in twice[a:b]]):
+                for i in dict.fromkeys(twice[a + m] for m in members):
+                    out += [(route[i], left + right, k, d, p - left, p + right) for k, d, p in zip(keys[i], docs[i], at[i], strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
-    around = around_anchors(marked, shared, scheme)
+    around = around_anchors(marked, shared, scheme, members=True)
     return resolved_groups(around, resolve, "bucket bigint, length int, key bigint, doc_id bigint, start int, end int")
 
 

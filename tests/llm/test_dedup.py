@@ -129,6 +129,30 @@ def test_repeat_groups_hold_all_occurrences(spark):
     assert all(30 <= r["start"] and r["end"] <= 90 and r["end"] - r["start"] >= 50 for r in groups)
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_repeat_groups_of_copies_in_one_chunk(spark, parts):
+    """Every window that two documents have is in a group at each of its places, and every group is of equal strings."""
+    rng = np.random.default_rng(6)
+    letters = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    passage, other = letters(400), letters(60)
+    texts = [letters(80) + passage + letters(70), letters(50) + passage + letters(90), letters(40) + passage[:150] + letters(40) + other, other + letters(30) + passage[200:], passage, letters(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).repartition(parts)
+    groups = suffixes.repeat_groups(docs).collect()
+    held, strings = {}, {}
+    for r in groups:
+        strings.setdefault((r["bucket"], texts[r["doc_id"]][r["start"] : r["end"]]), set()).add((r["doc_id"], r["start"]))
+        assert r["end"] - r["start"] == r["length"] >= 50
+    for (_, s), places in strings.items():
+        assert len(places) > 1
+        for i in range(len(s) - 49):
+            held.setdefault(s[i : i + 50], set()).update((d, p + i) for d, p in places)
+    expected = {}
+    for d, t in enumerate(texts):
+        for i in range(len(t) - 49):
+            expected.setdefault(t[i : i + 50], set()).add((d, i))
+    assert held == {w: places for w, places in expected.items() if len(places) > 1}
+
+
 def test_merged_spans():
     assert merged([(5, 9), (0, 3), (3, 4), (8, 12)]) == [(0, 4), (5, 12)]
 
