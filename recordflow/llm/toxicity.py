@@ -109,8 +109,13 @@ def _softplus(x: float) -> float:
     return max(x, 0.0) + math.log1p(math.exp(-abs(x)))
 
 
-def fit(bags: list[list[list[int]]], labels: np.ndarray, n_features: int, steps: int = 400, l2: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias that make the noisy-or of each bag's sentences likely for its label (Adam on the whole set)."""
+def fit(
+    bags: list[list[list[int]]], labels: np.ndarray, n_features: int, steps: int = 400, l2: float = 1e-4, plain: np.ndarray | None = None
+) -> tuple[np.ndarray, float]:
+    """Weights and bias that make the noisy-or of each bag's sentences likely for its label (Adam on the whole set).
+
+    ``plain`` says how many sentences without any feature each bag has besides.
+    """
     bag, flat, sizes = [], [], []
     for b, sentences in enumerate(bags):
         for s in sentences:
@@ -120,16 +125,19 @@ def fit(bags: list[list[list[int]]], labels: np.ndarray, n_features: int, steps:
     bag, flat = np.array(bag, np.int64), np.array(flat, np.int64)
     row = np.repeat(np.arange(len(sizes)), sizes)
     n, y = max(len(bags), 1), labels.astype(float)
+    plain = np.zeros(len(bags)) if plain is None else plain.astype(float)
     w, b = np.zeros(n_features), -5.0
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, steps + 1):
         z = b + np.bincount(row, w[flat], len(sizes))
         p = 1 / (1 + np.exp(-z))
-        clean = np.bincount(bag, np.logaddexp(0, z), len(bags))  # -log of the chance that no sentence is toxic
+        clean = np.bincount(bag, np.logaddexp(0, z), len(bags)) + plain * np.logaddexp(0, b)  # -log of the chance that no sentence is toxic
         toxic = np.maximum(-np.expm1(-clean), 1e-9)
         # d loss / d z of a sentence: p for a clean document, -p (1 - toxic) / toxic for a toxic one
-        slope = p * np.where(y == 1, -(1 - toxic) / toxic, 1.0)[bag] / n
-        g = np.append(np.bincount(flat, slope[row], n_features) + l2 * w, slope.sum())
+        sign = np.where(y == 1, -(1 - toxic) / toxic, 1.0)
+        slope = p * sign[bag] / n
+        of_plain = (plain * sign).sum() / (1 + np.exp(-b)) / n
+        g = np.append(np.bincount(flat, slope[row], n_features) + l2 * w, slope.sum() + of_plain)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         d = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - d[:-1], b - d[-1]
@@ -186,8 +194,8 @@ def train(
     schema = "toxic int, bag struct<plain:int,ids:array<array<int>>>"
     got = mapped(texts.select(F.col("toxic").cast("int").alias("toxic"), "text"), bags, schema).toPandas()
     y = got["toxic"].to_numpy()
-    # Sentences without a chosen feature have the bias alone; up to 50 of a document count.
-    w, b = fit([[list(s) for s in x["ids"]] + [[]] * min(x["plain"], 50) for x in got["bag"]], y, len(vocabulary))
+    # Sentences without a chosen feature have the bias alone, so their number is enough.
+    w, b = fit([[list(s) for s in x["ids"]] for x in got["bag"]], y, len(vocabulary), plain=np.array([x["plain"] for x in got["bag"]]))
     return Model({t: float(w[i]) for t, i in vocabulary.items() if abs(w[i]) > 0.01}, b)
 
 

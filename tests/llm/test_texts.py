@@ -79,6 +79,28 @@ def test_noisy_or_finds_the_sentence(spark):
         assert bool(r["offending"]) == (r["toxicity"] >= 0.5)
 
 
+def test_long_clean_documents_stay_clean(spark):
+    """Held-out documents of 1,500 sentences, after a fit on clean ones of up to 1,000 and short toxic ones, some without a sign of it."""
+    rng = np.random.default_rng(9)
+    texts, toxic = [], []
+    for i in range(240):
+        sentences = ["Plain matter."] * (rng.integers(20, 40) if i % 3 == 0 else rng.integers(200, 1000))
+        if i % 3 == 0 and i % 30:
+            sentences[3] = "vile slur."
+        texts.append(" ".join(sentences))
+        toxic.append(int(i % 3 == 0))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int"))
+    assert model.score("Plain matter. " * 1500)[0] < 0.5 < model.score("Some plain words. A vile slur.")[0]
+
+
+def test_fit_counts_plain_sentences():
+    bags, y, plain = [[[0], [1]], [[1]], [[0]]], np.array([1, 0, 1]), np.array([3, 120, 0])
+    w, b = toxicity.fit(bags, y, 2, plain=plain)
+    v, c = toxicity.fit([s + [[]] * n for s, n in zip(bags, plain, strict=True)], y, 2)
+    assert np.allclose([*w, b], [*v, c])
+
+
 def test_toxicity_of_odd_rows(odd, clashing, empty, labels):
     model = toxicity.train(odd, labels)
     for docs in (odd, clashing):
