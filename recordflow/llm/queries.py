@@ -1,6 +1,6 @@
 """Queries over the operators of this package, and the SQL of those that SQL can express."""
 
-from recordflow.llm import bpe, langid, mixing, quality, recompress, simhash, sketch, suffixes, toxicity, warc
+from recordflow.llm import bpe, langid, mixing, quality, recompress, simhash, sketch, suffixes, tokencounts, toxicity, warc
 
 QUERIES = {
     "op1_mix_curriculum": mixing.op1_mix_curriculum,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_recompression": recompress.op8_recompression,
     "op9_simhash_bktree": simhash.op9_simhash_bktree,
     "op10_suffix_intervals": suffixes.op10_suffix_intervals,
+    "op11_token_counts": tokencounts.op11_token_counts,
 }
 
 ORACLE = {
