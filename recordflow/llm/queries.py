@@ -1,6 +1,6 @@
 """Queries over the operators of this package, and the SQL of those that SQL can express."""
 
-from recordflow.llm import bpe, langid, mixing, periodic, quality, recompress, simhash, sketch, suffixes, tokencounts, toxicity, warc
+from recordflow.llm import bpe, langid, mixing, periodic, quality, recompress, simhash, sketch, spelling, suffixes, tokencounts, toxicity, warc
 
 QUERIES = {
     "op1_mix_curriculum": mixing.op1_mix_curriculum,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_simhash_bktree": simhash.op9_simhash_bktree,
     "op10_suffix_intervals": suffixes.op10_suffix_intervals,
     "op11_token_counts": tokencounts.op11_token_counts,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
     "op13_periodic_runs": periodic.op13_periodic_runs,
 }
 
