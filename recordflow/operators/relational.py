@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from recordflow.errors import SpecError
 from recordflow.functions.columns import column_of, is_string, known_columns, type_of
+from recordflow.operators.ranges import Range, pairs_in_range
 from recordflow.plans.staging import estimated_bytes
 
 log = logging.getLogger(__name__)
@@ -26,6 +27,8 @@ VALUE_BYTES = 64
 # More pivot columns than this are refused, as Spark does, unless ``maxValues`` says otherwise.
 MAX_PIVOT_VALUES = 10_000
 JOIN_TYPES = ("inner", "left", "right", "full", "semi", "anti")
+# What lets rows meet in a join without an equality.
+RANGES = ("between", "overlaps")
 AGGREGATES = ("sum", "avg", "count", "min", "max")
 
 
@@ -93,6 +96,10 @@ def join(
     first (rows per key are counted, combined before the shuffle), and an outer join over one is
     put together from an inner and an anti join. Rows of a full join without a key match nothing
     and are set aside, since all of them would meet in one task.
+
+    Without an equality a join needs a range to meet by: ``between`` is ``{"value", "low", "high"}``, the value being
+    on the left unless ``side`` says ``right``, and ``overlaps`` is ``{"left": [low, high], "right": [low, high]}``; both take ``bounds``.
+    A range can stand beside equalities, too.
     """
     how = params.get("how", "inner")
     if how not in JOIN_TYPES:
@@ -100,10 +107,13 @@ def join(
     pairs = []
     for item in params.get("on") or []:
         pairs.append((item["left"], item["right"]) if isinstance(item, Mapping) else (item, item))
-    if not pairs:
-        raise SpecError("join needs at least one equality in 'on'")
+    ranged = any(params.get(name) for name in RANGES)
+    if not pairs and not ranged:
+        raise SpecError(f"join needs at least one equality in 'on', or one of {list(RANGES)}")
     known_columns(left, [name for name, _ in pairs], "join, left side")
     known_columns(right, [name for _, name in pairs], "join, right side")
+    if ranged:
+        return _range_join(left, right, pairs, how, params, measured=look_for_skew)
 
     sides = _Sides(left, right, pairs, params.get("condition"))
     if how in ("semi", "anti"):
@@ -115,6 +125,38 @@ def join(
     return sides.joined(how, params, look_for_skew)
 
 
+def _range_join(left, right, pairs, how: str, params: Mapping[str, Any], measured: bool) -> DataFrame:
+    """Pairs that meet in bins, and the rows of an outer side that are in none of them.
+
+    A row has a partner if one with the same values in the compared columns has, so these tell rows without a partner; with a
+    ``condition`` all columns do. They are compared null-safely and reduced to one row per value before the shuffle.
+    """
+    found = Range(left, right, params)
+    sides = _Sides(left, right, pairs, params.get("condition"))
+    match = found.match(_qualified)
+    if params.get("condition"):
+        match = match & F.expr(params["condition"])
+    met = pairs_in_range(left, right, found, pairs, match, measured)
+    if how == "inner":
+        return met.select(*sides.output("inner"))
+
+    def alone(alias: str, kind: str = "left_anti") -> DataFrame:
+        df, place = (left, 0) if alias == "l" else (right, 1)
+        names = df.columns if params.get("condition") else list(dict.fromkeys([*[p[place] for p in pairs], *found.ends[place]]))
+        matched = met.select(*[_qualified(alias, name).alias(f"m{i}") for i, name in enumerate(names)]).distinct()
+        same = reduce(lambda a, b: a & b, [_qualified(alias, name).eqNullSafe(F.col(f"m{i}")) for i, name in enumerate(names)])
+        return df.alias(alias).join(matched, same, kind)
+
+    if how in ("semi", "anti"):
+        return alone("l", f"left_{how}")
+    result = met.select(*sides.output("inner"))
+    if how in ("left", "full"):
+        result = result.unionByName(alone("l").select(*sides.output("left", without="r")))
+    if how in ("right", "full"):
+        result = result.unionByName(alone("r").select(*sides.output("right", without="l")))
+    return result
+
+
 class _Sides:
     """The two sides of a join under the aliases l and r, and the shape of its result."""
 

@@ -23,7 +23,7 @@ from recordflow.errors import FlowFailed
 from recordflow.functions.fields import FieldRegistry
 from recordflow.functions.rules import RuleRegistry
 from recordflow.operators import quality
-from recordflow.operators.relational import MAX_PIVOT_VALUES, pivot_values
+from recordflow.operators.relational import MAX_PIVOT_VALUES, RANGES, pivot_values
 from recordflow.operators.steps import apply_step
 from recordflow.operators.validate import accepted, judged, mark, rejected
 from recordflow.plans.report import RunReport
@@ -35,7 +35,7 @@ from recordflow.sources.readers import read_source, require_input
 
 log = logging.getLogger(__name__)
 
-HOT_KEYS, DUPLICATES, PIVOT_VALUES = "hot keys", "duplicates", "pivot values"
+HOT_KEYS, DUPLICATES, PIVOT_VALUES, LEVELS = "hot keys", "duplicates", "pivot values", "levels of a range join"
 
 
 @dataclass
@@ -99,6 +99,8 @@ class FlowPlan:
             return [(parents[0], PIVOT_VALUES)]
         if step.type == "deduplicate" and "max_duplicate_percentage" in self.flow.settings.quality_rules:
             return [(parents[0], DUPLICATES)]
+        if step.type == "join" and any(step.params.get(name) for name in RANGES):
+            return [(parent, LEVELS) for parent in parents]
         how = step.params.get("how") if step.type == "join" else None
         checked = {"left": parents[1:], "right": parents[:1], "full": parents}.get(how, ())
         return [(parent, HOT_KEYS) for parent in checked]

@@ -165,7 +165,7 @@ def check_step(step: Step) -> None:
     params, where = step.params, f"step {step.name!r}"
     needed = {
         "filter": ("condition",),
-        "join": ("right", "on"),
+        "join": ("right",),
         "union": ("inputs",),
         "aggregate": ("groupBy", "aggregations"),
         "pivot": ("pivotColumn", "valueColumn"),
@@ -175,6 +175,8 @@ def check_step(step: Step) -> None:
     for key in needed:
         if not params.get(key):
             raise SpecError(f"{where} ({step.type}) needs a non-empty '{key}'")
+    if step.type == "join" and not any(params.get(key) for key in ("on", "between", "overlaps")):
+        raise SpecError(f"{where} (join) needs 'on', 'between' or 'overlaps'")
     if params.get("onMissing", "error") not in ("error", "skip"):
         raise SpecError(f"{where}: onMissing must be 'error' or 'skip'")
     if step.type == "validate_fields" and len(set(step.outputs)) != 2:
