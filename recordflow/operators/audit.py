@@ -9,11 +9,17 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordflow.operators.windows import window
+from recordflow.plans.staging import StagingArea
+
 ERROR_LEVELS = ("ERROR", "CRITICAL")
 
+# Lines of a stage that stand in one row of its detail.
+PART_LINES = 10_000
+
 
 def list_runs(
     runs: DataFrame,
@@ -85,23 +91,32 @@ def stage_log_lines(runs: DataFrame, logs: DataFrame) -> DataFrame:
     return stages.join(lines, key).unionByName(silent, allowMissingColumns=True)
 
 
-def stage_detail(runs: DataFrame, logs: DataFrame, limit: int) -> DataFrame:
-    """One row per stage with its log lines, newest first, out of the newest ``limit`` of the run, which the caller states.
+def stage_detail(
+    runs: DataFrame, logs: DataFrame, part_lines: int = PART_LINES, area: StagingArea | None = None, **options
+) -> DataFrame:
+    """Each stage with all its log lines, newest first, in parts of at most ``part_lines``.
 
-    The newest lines are picked per task before the shuffle, so no run's whole log meets in one
-    task; ``stage_log_lines`` gives all lines.
+    ``n_logs`` counts the stage's lines, which stand in as many rows as it takes, by ``part`` from 0 on; a stage without
+    lines has one row. Lines are numbered by the window operator, which spreads a stage with very many of them (``hotRows`` in
+    the options says how many that is), so no log meets in one task.
     """
-    newest = F.row_number().over(Window.partitionBy("pipeline_id").orderBy(F.col("log_time").desc(), "log_id"))
-    recent = logs.withColumn("__position", newest).filter(F.col("__position") <= limit)
+    key = ["pipeline_id", "stage"]
+    lines = logs.filter("pipeline_id IS NOT NULL AND stage IS NOT NULL").select(*key, "log_id", "log_time", "level", "message")
+    newest = [{"column": "log_time", "desc": True}, "log_id"]
+    numbered = window(lines, {"function": "row_number", "partitionBy": key, "orderBy": newest, "alias": "__position", **options}, area)
     line = F.struct("__position", "log_time", "level", "message")
-    collected = (
-        recent.filter("stage IS NOT NULL")
-        .groupBy("pipeline_id", "stage")
-        .agg(F.array_sort(F.collect_list(line)).alias("logs"))
+    parts = (
+        numbered.withColumn("part", F.expr(f"(__position - 1) div {int(part_lines)}"))
+        .groupBy(*key, "part")
+        .agg(F.transform(F.array_sort(F.collect_list(line)), lambda item: item.dropFields("__position")).alias("logs"))
+    )
+    counted = lines.groupBy(*key).agg(F.count(F.lit(1)).alias("n_logs"))
+    stages = _stages(runs)
+    joined = stages.join(counted, key, "left").join(parts, key, "left")
+    none = F.array().cast(parts.schema["logs"].dataType)
+    return joined.withColumns(
+        {"n_logs": F.coalesce("n_logs", F.lit(0)), "part": F.coalesce("part", F.lit(0)), "logs": F.coalesce("logs", none)}
     )
-    lines = F.transform("logs", lambda item: item.dropFields("__position"))
-    joined = _stages(runs).join(collected, ["pipeline_id", "stage"], "left")
-    return joined.withColumn("logs", F.coalesce(lines, F.array().cast(joined.select(lines).schema[0].dataType)))
 
 
 def logs_of_run(
@@ -115,11 +130,32 @@ def recent_errors(logs: DataFrame, limit: int | None = 100) -> DataFrame:
     return _newest(logs.filter(F.col("level").isin(*ERROR_LEVELS)), limit)
 
 
-def retained_logs(logs: DataFrame, now: datetime.datetime, days: int = 30) -> DataFrame:
-    """The log lines young enough to keep. Nothing is deleted in place."""
+def retained_logs(logs: DataFrame, now: datetime.datetime, days: int = 30, date_column: str = "log_date") -> DataFrame:
+    """The log lines young enough to keep. Nothing is deleted in place.
+
+    Of a table with a date partition, only the partitions that can hold such lines are read.
+    """
     cutoff = now - datetime.timedelta(days=days)
     literal = F.lit(cutoff.isoformat()).cast(logs.schema["log_time"].dataType)
-    return logs.filter(F.col("log_time") >= literal)
+    kept = logs.filter(F.col("log_time") >= literal)
+    # A day earlier, since a line's date is that of UTC, and the cutoff may be told in another zone.
+    day = cutoff.date() - datetime.timedelta(days=1)
+    return kept.filter(F.col(date_column) >= F.lit(day)) if date_column in logs.columns else kept
+
+
+def retained_files(logs: DataFrame, now: datetime.datetime, days: int = 7, date_column: str = "log_date") -> DataFrame:
+    """The rows of those files of a history by date that are young enough to keep, whole days at a time."""
+    return logs.filter(F.col(date_column) >= F.lit((now - datetime.timedelta(days=days)).date()))
+
+
+def expired_files(logs: DataFrame, now: datetime.datetime, days: int = 7, date_column: str = "log_date") -> DataFrame:
+    """(date, file_path, file_size, n_rows) of the other files, for whoever may delete them.
+
+    Only names and footers of the old partitions are read, no column.
+    """
+    old = logs.filter(F.col(date_column) < F.lit((now - datetime.timedelta(days=days)).date()))
+    found = old.select(date_column, "_metadata.file_path", "_metadata.file_size")
+    return found.groupBy(date_column, "file_path", "file_size").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def search_runs(runs: DataFrame, text: str) -> DataFrame:

@@ -36,7 +36,7 @@ def apply_step(
         "union": lambda: relational.union(inputs, params),
         "aggregate": lambda: relational.aggregate(first, params),
         "pivot": lambda: relational.pivot(first, params),
-        "window": lambda: windows.window(first, params, area),
+        "window": lambda: windows.window(first, params, area, planned=area is None),
     }
     if step.type not in builders:
         raise SpecError(f"unknown step type {step.type!r}; known: {list(builders)}")

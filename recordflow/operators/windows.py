@@ -28,10 +28,11 @@ RANGE, TIE, SHIFT, NUMBER, ROWS, CHUNK, OWN = (
 )
 
 
-def window(df: DataFrame, params: Mapping[str, Any], area: StagingArea | None = None) -> DataFrame:
+def window(df: DataFrame, params: Mapping[str, Any], area: StagingArea | None = None, planned: bool = False) -> DataFrame:
     """Add one window column: row_number, rank, dense_rank, lag or lead.
 
-    Hot keys are looked for, and their rows staged, only where a staging area is given.
+    Hot keys are looked for, and their rows staged: in the given area, or in one of its own below the session's folder.
+    A window that is only ``planned`` starts no job and stands for its columns alone.
     """
     function, alias = params.get("function"), params.get("alias")
     if function not in WINDOW_FUNCTIONS:
@@ -49,8 +50,9 @@ def window(df: DataFrame, params: Mapping[str, Any], area: StagingArea | None =
         known_columns(df, [params["column"]], "window")
     order = order_columns(df, params["orderBy"], "window")
 
-    if area is None:
+    if planned:
         return _plain(df, keys, order, params)
+    area = area or StagingArea(df.sparkSession)
     limit = hot_rows(df, params)
     hot, hot_total = _hot_keys(df, keys, limit, area)
     if hot_total == 0:
@@ -82,13 +84,17 @@ def _function(df: DataFrame, params: Mapping[str, Any]) -> Column:
 
 
 def _hot_keys(df: DataFrame, keys: Sequence[str], limit: int, area: StagingArea) -> tuple[DataFrame | None, int]:
-    """The keys with more than ``limit`` rows, as a staged table, and their total row count."""
+    """The keys with more than ``limit`` rows, as a staged table, and their total row count.
+
+    The count alone is asked for first: mostly there is no such key, and nothing to write.
+    """
     if not keys:
         total = df.count()
         return None, total if total > limit else 0
     counts = df.groupBy(*[column_of(df, key) for key in keys]).agg(F.count(F.lit(1)).alias(ROWS))
-    hot = area.stage(counts.filter(F.col(ROWS) > limit), "window_hot_keys")
-    return hot.drop(ROWS), hot.agg(F.sum(ROWS)).first()[0] or 0
+    hot = counts.filter(F.col(ROWS) > limit)
+    total = hot.agg(F.sum(ROWS)).first()[0]
+    return (area.stage(hot.drop(ROWS), "window_hot_keys"), total) if total else (None, 0)
 
 
 def _spread(df, keys, order, params, ranges, limit, area) -> DataFrame:

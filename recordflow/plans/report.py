@@ -9,6 +9,8 @@ from dataclasses import asdict, dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordflow.operators.quality import Gate
 from recordflow.plans.spec import Dataflow
@@ -132,9 +134,20 @@ class RunReport:
         return spark.createDataFrame(rows, LOGS_SCHEMA)
 
     def append_audit(self, spark: SparkSession, runs_path: str, logs_path: str) -> None:
-        """Append the run and its log lines to Parquet audit tables."""
-        self.run_row(spark).coalesce(1).write.mode("append").parquet(runs_path)
-        self.log_rows(spark).coalesce(1).write.mode("append").parquet(logs_path)
+        """Append the run and its log lines to Parquet audit tables, in folders by UTC date: ``run_date`` and ``log_date``."""
+        for rows, time, date, path in (
+            (self.run_row(spark), "start_time", "run_date", runs_path),
+            (self.log_rows(spark), "log_time", "log_date", logs_path),
+        ):
+            dated_rows = dated(rows, time, date).coalesce(1)
+            dated_rows.write.mode("append").partitionBy(date).parquet(path)
+
+
+def dated(rows: DataFrame, time: str, date: str) -> DataFrame:
+    """The rows with the UTC date of a time, whatever the session's zone."""
+    if isinstance(rows.schema[time].dataType, T.TimestampNTZType):
+        return rows.withColumn(date, F.to_date(time))
+    return rows.withColumn(date, F.date_from_unix_date(F.floor(F.unix_seconds(time) / 86_400).cast("int")))
 
 
 def _now() -> datetime.datetime:

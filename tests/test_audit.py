@@ -1,9 +1,10 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from recordflow.operators import audit
-from recordflow.plans.report import RUNS_SCHEMA
+from recordflow.plans.report import RUNS_SCHEMA, dated
 from tests.conftest import rows
 
 T0 = datetime.datetime(2025, 1, 1)
@@ -80,18 +81,33 @@ def test_enrichment(runs):
 
 
 def test_stage_detail(runs, logs):
-    detail = audit.stage_detail(runs, logs, limit=1000)
+    detail = audit.stage_detail(runs, logs)
     found = {
-        (r["pipeline_id"], r["stage"], r["status"]): [line["message"] for line in r["logs"]] for r in detail.collect()
+        (r["pipeline_id"], r["stage"], r["status"], r["n_logs"], r["part"]): [line["message"] for line in r["logs"]]
+        for r in detail.collect()
     }
     assert found == {
-        ("direct_1", "ingestion", "success"): ["Slow disk", "Read files"],
-        ("direct_1", "storage", "success"): [],
-        ("airflow_2", "ingestion", "unknown"): ["Lost node"],
+        ("direct_1", "ingestion", "success", 2, 0): ["Slow disk", "Read files"],
+        ("direct_1", "storage", "success", 0, 0): [],
+        ("airflow_2", "ingestion", "unknown", 1, 0): ["Lost node"],
     }
-    # The newest two of direct_1 are a line without a stage and one of ingestion.
-    newest = audit.stage_detail(runs, logs, limit=2).filter("pipeline_id = 'direct_1' AND stage = 'ingestion'")
-    assert [line["message"] for line in newest.first()["logs"]] == ["Slow disk"]
+
+
+@pytest.mark.parametrize("hot_rows", [100, 10_000])
+def test_stage_detail_is_whole_in_parts(spark, area, hot_rows):
+    """One stage has nearly all lines, whether its log is spread or not."""
+    runs = spark.sql("SELECT 'r' AS pipeline_id, array(named_struct('name', 's', 'status', 'ok', 'start_time', now(), 'end_time', now(), 'data', '{}')) AS stages")
+    runs = runs.unionByName(runs.withColumn("pipeline_id", F.lit("q")))
+    logs = spark.range(0, 2500, 1, 7).selectExpr(
+        "id AS log_id", "IF(id % 500 = 0, 'q', 'r') AS pipeline_id", "timestamp_micros(id * 7919 % 1000) AS log_time",
+        "'INFO' AS level", "'s' AS stage", "string(id) AS message",
+    )
+    detail = audit.stage_detail(runs, logs, part_lines=64, area=area, hotRows=hot_rows).collect()
+    assert {(r["pipeline_id"], r["n_logs"]) for r in detail} == {("r", 2495), ("q", 5)}
+    parts = sorted((r["part"], [int(line["message"]) for line in r["logs"]]) for r in detail if r["pipeline_id"] == "r")
+    assert [len(ids) for _, ids in parts] == [64] * 38 + [63]
+    wanted = sorted((i for i in range(2500) if i % 500), key=lambda i: (-(i * 7919 % 1000), i))
+    assert [i for _, ids in parts for i in ids] == wanted
 
 
 def test_stage_log_lines(runs, logs):
@@ -114,6 +130,28 @@ def test_retention(logs):
     assert sorted(ids(kept, "log_id")) == [2, 3, 4, 5]
 
 
+def test_retention_by_date(spark, logs, tmp_path):
+    path = str(tmp_path / "logs")
+    logs = logs.withColumn("log_time", F.expr("log_time + make_interval(0, 0, 0, int(log_id) div 2)"))
+    with_dates = dated(logs, "log_time", "log_date")
+    with_dates.write.partitionBy("log_date").parquet(path)
+    history = spark.read.parquet(path)
+    days = sorted(r["log_date"] for r in with_dates.select("log_date").distinct().collect())
+    assert history.schema["log_date"].dataType.typeName() == "date" and history.count() == logs.count()
+    cutoff = datetime.datetime.combine(days[-1], datetime.time(12))
+    kept = audit.retained_files(history, cutoff + datetime.timedelta(days=7))
+    old = audit.expired_files(history, cutoff + datetime.timedelta(days=7))
+    assert kept.count() == with_dates.filter(F.col("log_date") == days[-1]).count()
+    assert kept.count() + sum(r["n_rows"] for r in old.collect()) == logs.count()
+    assert all(f"log_date={r['log_date']}" in r["file_path"] and r["file_size"] > 0 for r in old.collect())
+    newest = max(r["log_time"] for r in logs.collect())
+    by_time = audit.retained_logs(history, newest + datetime.timedelta(days=30))
+    assert [r["log_time"] for r in by_time.collect()] == [newest]
+    for df in (kept, by_time):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(log_date" in plan and "log_date#" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
 def test_search(runs, logs):
     assert sorted(ids(audit.search_runs(runs, "mOTOR"))) == ["airflow_2", "direct_1"]
     assert sorted(ids(audit.search_runs(runs, "_3"))) == ["direct_3"]

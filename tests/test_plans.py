@@ -68,11 +68,21 @@ def test_unordered_dedupe_never_aggregates_by_sorting(orders, columns):
     assert ("WindowGroupLimit" in plan) == ("o_orderstatus" in columns)
 
 
-def test_stage_detail_limits_before_the_shuffle(spark, sf_dir):
+def test_stage_detail_collects_by_part(spark, sf_dir):
     logs = table(spark, sf_dir, "logs")
     runs = logs.select("pipeline_id", F.array(F.expr("struct('x' AS name, 'ok' AS status, log_time AS start_time, log_time AS end_time)")).alias("stages"))
-    plan = plan_of(audit.stage_detail(runs, logs, limit=50))
-    assert "WindowGroupLimit" in plan[plan.index("Exchange hashpartitioning"):]
+    plan = plan_of(audit.stage_detail(runs, logs))
+    grouped = [line for line in plan.splitlines() if "collect_list" in line]
+    assert grouped and all("part#" in line.split("functions=")[0] for line in grouped)
+
+
+def test_common_windows_write_nothing(spark, sf_dir, monkeypatch):
+    """Only a key that is hot has its rows staged."""
+    from recordflow.operators import windows
+    from recordflow.plans.staging import StagingArea
+
+    monkeypatch.setattr(StagingArea, "stage", lambda *_: pytest.fail("staged"))
+    windows.window(table(spark, sf_dir, "orders"), {"function": "rank", "partitionBy": ["o_custkey"], "orderBy": ["o_orderdate"], "alias": "r"}).count()
 
 
 def test_listings_use_top_k(spark, sf_dir):

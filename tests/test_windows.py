@@ -86,13 +86,19 @@ def test_alias_may_replace_a_column(skewed, area):
         assert window(skewed, params(function, alias="v", **SPREAD), area).columns == ["id", "k", "o", "v"]
 
 
-def test_no_job_without_an_area(spark):
+def test_no_job_for_a_planned_window(spark):
     data = spark.range(100).selectExpr("id", "id % 2 AS k", "id AS o", "0.5 AS v")
     before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
-    window(data, params("rank", **SPREAD))
+    window(data, params("rank", **SPREAD), planned=True)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == len(before)
 
 
+def test_hot_keys_are_spread_without_an_area_of_the_caller(skewed):
+    spread = window(skewed, params("rank", **SPREAD))
+    assert "__range" in spread._jdf.queryExecution().analyzed().toString()
+    assert rows(spread) == rows(window(skewed, params("rank")))
+
+
 @pytest.mark.parametrize("function", ["row_number", "rank", "dense_rank"])
 def test_positions_are_bigint_in_every_form(skewed, area, function):
     types = {dict(window(skewed, params(function, **extra), area).dtypes)["w"] for extra in ({}, SPREAD)}

@@ -7,6 +7,10 @@ import datetime
 from pyspark.sql import functions as F
 
 from recordflow.operators import audit
+from recordflow.plans.report import dated
+from recordflow.plans.spec import Sink
+from recordflow.plans.staging import StagingArea
+from recordflow.sinks.writers import write_sink
 from workload.registry import query, table
 
 RUN_COLUMNS = (
@@ -19,6 +23,8 @@ TOTALS_SQL = (
     "count(*) FILTER (WHERE status = 'failed') AS failed_runs"
 )
 RATE_SQL = "CAST(count(*) FILTER (WHERE status = 'success') AS DOUBLE) / count(*) * 100 AS success_rate"
+# Few enough that the busiest stages of the test tables take several rows.
+LINES_A_PART = 20
 LOG_COLUMNS = "log_id, pipeline_id, log_time, level, stage, message"
 
 
@@ -122,25 +128,20 @@ def stage_log_lines(spark, sf_dir):
 @query(
     "stage_detail",
     f"""
-    SELECT s.pipeline_id, s.stage, s.status, s.data, count(g.log_id) AS n_logs,
-      coalesce(string_agg(g.message, '; ' ORDER BY g.log_time DESC, g.log_id), '') AS messages
+    SELECT s.pipeline_id, s.stage, s.status, s.data, coalesce(g.n_logs, 0) AS n_logs, coalesce((g.n - 1) // {LINES_A_PART}, 0) AS part,
+      coalesce(string_agg(g.message, '; ' ORDER BY g.n), '') AS messages
     FROM ({STAGES_SQL}) s LEFT JOIN (
-      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_id ORDER BY log_time DESC, log_id) AS n
-                     FROM logs) t WHERE n <= 20) g
+      SELECT *, row_number() OVER (PARTITION BY pipeline_id, stage ORDER BY log_time DESC, log_id) AS n,
+        count(*) OVER (PARTITION BY pipeline_id, stage) AS n_logs FROM logs) g
     ON s.pipeline_id = g.pipeline_id AND s.stage = g.stage GROUP BY ALL
     """,
 )
 def stage_detail(spark, sf_dir):
-    """A short overview: the newest 20 lines of each run, by stage; ``stage_log_lines`` has all."""
-    detail = audit.stage_detail(_runs_with_stages(spark, sf_dir), table(spark, sf_dir, "logs"), limit=20)
-    return detail.select(
-        "pipeline_id",
-        "stage",
-        "status",
-        "data",
-        F.size("logs").cast("bigint").alias("n_logs"),
-        F.array_join(F.col("logs.message"), "; ").alias("messages"),
-    )
+    """Every stage of every run with all its lines, so many to a row."""
+    logs = table(spark, sf_dir, "logs")
+    detail = audit.stage_detail(_runs_with_stages(spark, sf_dir), logs, part_lines=LINES_A_PART)
+    messages = F.array_join(F.col("logs.message"), "; ").alias("messages")
+    return detail.select("pipeline_id", "stage", "status", "data", "n_logs", F.col("part").cast("bigint").alias("part"), messages)
 
 
 @query(
@@ -165,6 +166,31 @@ def log_retention(spark, sf_dir):
     return audit.retained_logs(table(spark, sf_dir, "logs"), datetime.datetime(2024, 2, 14), days=30)
 
 
+def _logs_by_date(spark, sf_dir):
+    """The log table as a run's history keeps it: files in folders by date."""
+    path = StagingArea(spark).new_path("logs")
+    logs = dated(table(spark, sf_dir, "logs"), "log_time", "log_date")
+    write_sink(logs, Sink("logs", "logs", (path,), format="parquet", partition_by=("log_date",)))
+    return spark.read.parquet(path)
+
+
+@query("log_retention_files", f"SELECT {LOG_COLUMNS} FROM logs WHERE CAST(log_time AS DATE) >= DATE '2024-01-12'")
+def log_retention_files(spark, sf_dir):
+    """The days that are kept; older folders are not opened."""
+    kept = audit.retained_files(_logs_by_date(spark, sf_dir), datetime.datetime(2024, 1, 19), days=7)
+    return kept.select(*LOG_COLUMNS.split(", "))
+
+
+@query(
+    "log_expired_files",
+    "SELECT CAST(log_time AS DATE) AS log_date, count(*) AS n_rows FROM logs WHERE CAST(log_time AS DATE) < DATE '2024-01-12' GROUP BY 1",
+)
+def log_expired_files(spark, sf_dir):
+    """The days whose files have served their time."""
+    expired = audit.expired_files(_logs_by_date(spark, sf_dir), datetime.datetime(2024, 1, 19), days=7)
+    return expired.groupBy("log_date").agg(F.sum("n_rows").alias("n_rows"))
+
+
 @query(
     "text_search",
     f"SELECT {LOG_COLUMNS} FROM logs WHERE contains(lower(message), 'click') OR contains(lower(level), 'click') "
