@@ -103,9 +103,11 @@ def _lookup_join(df: DataFrame, config: Mapping[str, Any]) -> DataFrame:
         [T.StructField("__key", stored_type), T.StructField("__found", value_type), T.StructField("__place", T.LongType())]
     )
     table = df.sparkSession.createDataFrame(list(zip(keys, values, range(len(keys)))), schema)
-    # Two spellings of one instant are one key; the first counts.
     table = table.select(F.col("__key").cast(key_type).alias("__key"), "__found", "__place").dropna(subset=["__key"])
-    table = table.groupBy("__key").agg(F.min_by("__found", "__place").alias("__found"), F.lit(True).alias("__hit"))
+    if isinstance(key_type, TEMPORAL) or any(key != key for key in keys):
+        # Two spellings of one instant are one key, as are two of no number; the first counts. All other keys differ.
+        table = table.groupBy("__key").agg(F.min_by("__found", "__place").alias("__found"))
+    table = table.select("__key", "__found", F.lit(True).alias("__hit"))
     if len(keys) <= LOOKUP_BROADCAST_ENTRIES:
         table = F.broadcast(table)
     value = F.when(F.col("__hit"), F.col("__found")).otherwise(F.lit(default).cast(value_type))

@@ -271,7 +271,8 @@ def aggregate(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
 def pivot(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
     """One column per pivot value; without ``values`` they are looked up first.
 
-    The default cell, the first value met, depends on row order unless a cell has one row.
+    The default cell is the first value by ``orderBy``. Without an order it is the first one met, which depends on row order unless a
+    cell has one row. Each cell is reduced to its first row per task before the shuffle.
     """
     name, value = params.get("pivotColumn"), params.get("valueColumn")
     if not name or not value:
@@ -279,8 +280,12 @@ def pivot(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
     group_by = params.get("groupBy") or []
     known_columns(df, [*group_by, name, value], "pivot")
     function = params.get("aggregate", "first")
-    cell = F.first(column_of(df, value)) if function == "first" else _aggregate(df, function, value)
     values = params.get("values") or pivot_values(df, name, params.get("maxValues", MAX_PIVOT_VALUES))
+    if params.get("orderBy"):
+        if function != "first":
+            raise SpecError("'orderBy' of a pivot is for the aggregate 'first'")
+        df = deduplicate(df, {"subset": list(dict.fromkeys([*group_by, name])), "orderBy": params["orderBy"]})
+    cell = F.first(column_of(df, value)) if function == "first" else _aggregate(df, function, value)
     return df.groupBy(*[column_of(df, key) for key in group_by]).pivot(name, values).agg(cell)
 
 

@@ -1,8 +1,9 @@
 """A dataflow compiled into lazy frames, and a run of it.
 
 A run makes one pass over a row-format source: the marked rows are staged, the gates are
-decided from the staged table's flag column, and only then are sinks written. Row counts come
-from observations on the same jobs.
+decided from the staged table's flag column, and only then are sinks written. Row counts come from what is
+committed: gates, footers of staged tables and columnar sources, and written sinks, also across steps that keep every row. Only where none of
+these tells, a count is observed on the way, and trusted if no task of the run had to run again.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ from recordflow.sources.readers import read_source, require_input
 
 log = logging.getLogger(__name__)
 
+# Steps that give one row for each of their input.
+ROW_KEEPING_STEPS = ("add_fields", "rename_columns", "drop_columns", "select_columns", "window")
+
 HOT_KEYS, DUPLICATES, PIVOT_VALUES, LEVELS = "hot keys", "duplicates", "pivot values", "levels of a range join"
 
 
@@ -194,7 +198,7 @@ class CompiledFlow:
         area = StagingArea(self.spark, report.pipeline_id)
         self._source_frames.clear()
         try:
-            with tuned(self.spark):
+            with tuned(self.spark), area.watched():
                 if self.flow.settings.preflight:
                     self._require_inputs()
                 self.check()
@@ -272,8 +276,11 @@ class _Run:
         self.area = area
         self.report = report
         self.frames: dict[int, DataFrame] = {}
-        self.counts: dict[int, Observation | int] = {}
-        # Frames that are cheap to count: staged tables and row-wise work over columnar files.
+        self.observations: dict[int, Observation] = {}
+        # Counts that no task can have added twice, and frames whose files know their number of rows.
+        self.counts: dict[int, int] = {}
+        self.footers: dict[int, DataFrame] = {}
+        # Row-wise work over columnar files, which is cheap to count.
         self.cheap: dict[int, DataFrame] = {}
 
     def execute(self) -> None:
@@ -285,7 +292,7 @@ class _Run:
             self._build(node for node in nodes if node.kind != "source")
         with report.stage("storage") as storage:
             for sink, position in zip(self.flow.sinks, plan.sink_nodes):
-                storage.append(self._write(sink, self.frames[position], position in self.cheap))
+                storage.append(self._write(sink, position))
         for node in nodes:
             if node.kind == "source":
                 ingestion.append({"name": node.name, "record_count": self._count(node.position)})
@@ -299,12 +306,14 @@ class _Run:
             df = self.compiled._frame(node, parents, self.area)
             if node.kind == "step" and node.step.type == "deduplicate":
                 self._gate_duplicates(node, parents[0])
-            if node.kind in ("source", "step") and "filter" not in node.readers:
+            if node.kind == "source" and node.source.format == "parquet" and node.name not in self.compiled.inputs:
+                self.footers[node.position] = df
+            elif node.kind in ("source", "step") and "filter" not in node.readers:
                 # A count between a scan and a filter would keep the filter from reaching the scan.
                 df = self._observed(node.position, df)
             if self._is_worth_staging(node, df):
                 df = self.area.stage(df, node.name)
-                self.cheap[node.position] = df
+                self.footers[node.position] = self.cheap[node.position] = df
             elif node.kind in ("source", "step") and self.plan.rescan_is_cheap(node.position):
                 self.cheap[node.position] = df
             if node.kind == "marked":
@@ -318,27 +327,57 @@ class _Run:
 
     def _observed(self, position: int, df: DataFrame) -> DataFrame:
         observation = Observation(f"{self.report.pipeline_id}_{position}")
-        self.counts[position] = observation
+        self.observations[position] = observation
         return df.observe(observation, F.count(F.lit(1)).alias("n"))
 
     def _count(self, position: int) -> int | None:
-        """The rows of a node. Adaptive execution leaves an observation out with a branch that it finds
-        no use for; the node is then counted if that is cheap, and else has no count."""
-        counted = self.counts.get(position)
-        if not isinstance(counted, Observation):
-            return counted
-        n = observed(counted)
-        if n is None and position in self.cheap:
-            try:
-                n = self.cheap[position].count()
-            except Exception:  # the sinks are written: a count must not fail the run
-                log.warning("node %d could not be counted", position, exc_info=True)
+        """The rows of a node, None if nothing tells.
+
+        An observed count can hold rows of a task twice that ran again, so it is only taken from a run without such
+        tasks. Adaptive execution leaves an observation out with a branch that it finds no use for. Then the node is counted
+        if that is cheap or, after tasks that ran again, if it gives the same rows once more.
+        """
+        n = self._committed(position, set())
+        if n is None and position in self.observations and not self.area.has_rerun_tasks():
+            n = observed(self.observations[position])
+        if n is None and position in self.observations:
+            frame = self.cheap.get(position)
+            if frame is None and self.area.has_rerun_tasks() and is_repeatable(self.frames[position]):
+                frame = self.frames[position]
+            n = self._counted(frame)
         return n
 
+    def _committed(self, position: int, asked: set[int]) -> int | None:
+        """The rows of a node by gates, files and sinks, or by those of a neighbour that has as many."""
+        if position in self.counts or position in asked:
+            return self.counts.get(position)
+        asked.add(position)
+        n = self._counted(self.footers.get(position))
+        if n is None:
+            node = self.plan.nodes[position]
+            if node.kind == "step" and node.step.type == "union" and not node.step.params.get("distinct"):
+                parts = [self._committed(parent, asked) for parent in node.parents]
+                n = sum(parts) if None not in parts else None
+            equals = list(node.parents) if _keeps_rows(node) else []
+            equals += [x.position for x in self.plan.nodes if x.position in self.plan.needed and _keeps_rows(x) and position in x.parents]
+            for other in equals:
+                n = self._committed(other, asked) if n is None else n
+        if n is not None:
+            self.counts[position] = n
+        return n
+
+    def _counted(self, df: DataFrame | None) -> int | None:
+        try:
+            return None if df is None else df.count()
+        except Exception:  # the sinks are written: a count must not fail the run
+            log.warning("a table could not be counted", exc_info=True)
+            return None
+
     def _gate_validity(self, node: Node, marked: DataFrame) -> None:
         """Count valid rows, from the flag column alone when the table is staged, and decide."""
         measured = quality.summary(marked).first().asDict()
         self.report.add_quality(node.name, measured)
+        self.counts[node.position] = measured["total_records"]
         rules = self.flow.settings.quality_rules
         for output in self.plan.nodes[node.position + 1 : node.position + 3]:
             self.counts[output.position] = measured[f"{'valid' if output.kind == 'valid' else 'invalid'}_records"]
@@ -360,17 +399,21 @@ class _Run:
         self.report.gates.append(gate)
         quality.require([gate])
 
-    def _write(self, sink: Sink, df: DataFrame, stable: bool) -> dict[str, Any]:
+    def _write(self, sink: Sink, position: int) -> dict[str, Any]:
         observation = Observation(f"{self.report.pipeline_id}_{sink.name}")
         started = time.monotonic()
-        write_sink(df, sink, observation, stable=stable)
+        write_sink(self.frames[position], sink, observation, stable=position in self.cheap)
         log.info("sink %s written in %.1f s", sink.name, time.monotonic() - started)
+        written = observed(observation)
+        if written is not None and len(sink.paths) == 1:
+            # Counted in the last stage, where each partition's count is taken once.
+            self.counts.setdefault(position, written)
         return {
             "name": sink.name,
             "input": sink.input,
             "success": True,
             # A sink whose rows all fell away before its observation has none.
-            "record_count": observed(observation) or 0,
+            "record_count": written or 0,
             "paths": list(sink.paths),
         }
 
@@ -391,5 +434,10 @@ def run_flow(spark: SparkSession, spec: Spec | Mapping[str, Any], **options) ->
     return CompiledFlow(spark, spec, **options).run()
 
 
+def _keeps_rows(node: Node) -> bool:
+    """Whether a node has one row for each of its parent's."""
+    return node.kind == "marked" or node.kind == "step" and node.step.type in ROW_KEEPING_STEPS
+
+
 def _makes_random_values(step: Step) -> bool:
     return any(config.get("function") == "uuid" for config in step.params.get("addFields") or [])

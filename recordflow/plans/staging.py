@@ -10,12 +10,14 @@ import atexit
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from recordflow.errors import SpecError
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+JOB_GROUP = "spark.jobGroup.id"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -59,6 +61,27 @@ class StagingArea:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    @contextmanager
+    def watched(self):
+        """Mark the jobs that are started meanwhile as this run's, so that it can ask about their tasks."""
+        context = self.spark.sparkContext
+        before = context.getLocalProperty(JOB_GROUP)
+        context.setLocalProperty(JOB_GROUP, self.run_id)
+        try:
+            yield
+        finally:
+            context.setLocalProperty(JOB_GROUP, before)
+
+    def has_rerun_tasks(self) -> bool:
+        """Whether a task of the run's jobs was done more than once, after a failure, a loss of its output or as a precaution.
+
+        Stages that were skipped, as their output was there, have no tasks to ask about.
+        """
+        tracker = self.spark.sparkContext.statusTracker()
+        jobs = filter(None, map(tracker.getJobInfo, tracker.getJobIdsForGroup(self.run_id)))
+        stages = filter(None, (tracker.getStageInfo(stage) for job in jobs for stage in job.stageIds))
+        return any(s.currentAttemptId or s.numFailedTasks or s.numCompletedTasks > s.numTasks for s in stages)
+
     def discard(self) -> None:
         """Delete this run's own staged tables."""
         _LEFT.discard(self)

@@ -146,6 +146,20 @@ def test_bad_aggregates(left, params):
         relational.aggregate(left, params)
 
 
+@pytest.mark.parametrize("desc", [False, True])
+def test_pivot_takes_the_first_by_an_order(spark, desc):
+    data = [(i % 3, "xy"[i % 2], i * 7 % 20, i) for i in range(60)] + [(1, "x", None, 99), (None, "y", 3, 98)]
+    df = spark.createDataFrame(data, "g int, p string, o int, n int").repartition(7)
+    params = {"groupBy": ["g"], "pivotColumn": "p", "valueColumn": "n", "orderBy": [{"column": "o", "desc": desc}, "n"]}
+    first = {}
+    # NULL comes first in ascending order and last in descending order.
+    for g, p, o, n in sorted(data, key=lambda r: ((r[2] is not None) != desc, 0 if r[2] is None else -r[2] if desc else r[2], r[3])):
+        first.setdefault((g, p), n)
+    assert rows(relational.pivot(df, params)) == sorted(((g, first.get((g, "x")), first.get((g, "y"))) for g in (None, 0, 1, 2)), key=repr)
+    with pytest.raises(SpecError, match="orderBy"):
+        relational.pivot(df, {**params, "aggregate": "max"})
+
+
 def test_pivot(spark):
     data = spark.createDataFrame(
         [("g", "x", 1), ("g", "y", 2), ("h", "x", 3), ("h", None, 4)], "g string, p string, n int"

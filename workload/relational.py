@@ -253,6 +253,21 @@ def pivot_first(spark, sf_dir):
     )
 
 
+@query(
+    "pivot_latest",
+    """
+    SELECT user_id, first(value ORDER BY ts DESC, event_id) FILTER (WHERE event_type = 'click') AS click,
+      first(value ORDER BY ts DESC, event_id) FILTER (WHERE event_type = 'purchase') AS purchase
+    FROM events GROUP BY user_id
+    """,
+)
+def pivot_latest(spark, sf_dir):
+    """What each user's last event of a kind was worth."""
+    latest = [{"column": "ts", "desc": True}, "event_id"]
+    params = {"groupBy": ["user_id"], "pivotColumn": "event_type", "valueColumn": "value", "values": ["click", "purchase"], "orderBy": latest}
+    return relational.pivot(table(spark, sf_dir, "events"), params)
+
+
 @query(
     "pivot_sum",
     """
