@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import time
 from collections.abc import Callable, Iterator
@@ -48,14 +50,23 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def packed(docs: DataFrame, *columns: str) -> DataFrame:
-    """The named columns, and all columns together as the struct ``row``, out of the way of other names."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
+    """The named columns, and all other columns together as the struct ``row``, out of the way of other names."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in columns]
+    return docs.select(F.struct(*(others or [F.lit(True).alias("none")])).alias("row"), *columns)
 
 
-def unpacked(rows: DataFrame, **changed: Column) -> DataFrame:
-    """The columns of a packed frame, some of them changed."""
-    names = rows.schema["row"].dataType.names
-    return rows.select(*[(changed[n] if n in changed else F.col(f"row.`{n}`")).alias(n) for n in names])
+def unpacked(rows: DataFrame, names: list[str], **changed: Column) -> DataFrame:
+    """The columns of a packed frame by their names before, some of them changed."""
+    inside = set(rows.schema["row"].dataType.names)
+    return rows.select(*[(changed[n] if n in changed else F.col(f"row.`{n}`" if n in inside else f"`{n}`")).alias(n) for n in names])
+
+
+def handed_back() -> None:
+    """Return the memory of a finished task: workers stay for other stages, and what a library keeps for itself would add up."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
@@ -63,7 +74,14 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     conf = df.sparkSession.conf
     if conf.get(BATCH_CONF) == DEFAULT_BATCH:
         conf.set(BATCH_CONF, BATCH_BYTES)
-    return df.mapInArrow(run, schema)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            handed_back()
+
+    return df.mapInArrow(whole, schema)
 
 
 def words(text: Column) -> Column:

@@ -157,7 +157,7 @@ def mixed_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the copies in training order, with the columns of documents."""
     out = training_order(curriculum(packed(docs, "doc_id", "text", "source")))
     cut = F.col("take") < F.col("size")
-    return unpacked(out, text=F.col("text"), n_chars=F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("row.n_chars")))
+    return unpacked(out, docs.columns, n_chars=F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("row.n_chars")))
 
 
 OP1_SQL = """

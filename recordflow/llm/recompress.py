@@ -198,9 +198,17 @@ def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def cut_if_repeated(text: str, spans: list[tuple[int, int]]) -> tuple[str | None]:
+    """The text without its covered words; none where nothing is covered, so untouched texts are not carried twice."""
+    return (cut_words(text, spans)[2] if spans else None,)
+
+
 def deduplicated_words_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without the words of passages that an earlier document has; untouched ones stay as they are."""
-    rows = deduplicated(packed(docs, "doc_id", "text"))
-    cut = F.col("n_removed") > 0
-    text = F.when(cut, F.col("kept")).otherwise(F.col("text"))
-    return unpacked(rows, text=text, n_chars=F.when(cut, F.char_length("kept").cast("long")).otherwise(F.col("row.n_chars")))
+    """Pipeline stage: texts without the words of passages that an earlier document has; untouched ones stay as they are.
+
+    A null text stays null, and rows that share an id cost each other nothing.
+    """
+    rows = cut_texts(packed(docs, "doc_id", "text"), Recompression(), cut_if_repeated, [("kept", T.StringType(), pa.string())], "text")
+    cut = F.col("kept").isNotNull()
+    length = F.when(cut, F.char_length("kept").cast("long")).otherwise(F.col("row.n_chars"))
+    return unpacked(rows, docs.columns, text=F.coalesce("kept", "text"), n_chars=length)

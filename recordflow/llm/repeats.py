@@ -52,10 +52,15 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first powers of the multiplier and of its inverse, modulo 2 to the 64."""
-    if len(_powers.get("p", ())) < n:
+    """The first powers of the multiplier and of its inverse, modulo 2 to the 64.
+
+    Those of a long text are forgotten with the next chunk of common length.
+    """
+    size = max(n, CHUNK_BYTES + 1)
+    have = len(_powers.get("p", ()))
+    if have < size or have > 4 * size:
         for name, factor in (("p", _P), ("i", _INVERSE)):
-            steps = np.full(max(n, CHUNK_BYTES + 1), factor, np.uint64)
+            steps = np.full(size, factor, np.uint64)
             steps[0] = 1
             _powers[name] = np.multiply.accumulate(steps)
     return _powers["p"][:n], _powers["i"][:n]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordflow.llm.common import free_name, mapped, packed, released, staged, table, unpacked
+from recordflow.llm.common import free_name, mapped, released, staged, table
 from recordflow.llm.components import components
 
 BITS = 64
@@ -59,40 +59,20 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * bits > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", shingle_words: int = 3, bands: int = 0, fingerprint: str = "fingerprint", minima: str = "minima") -> DataFrame:
+def fingerprints(docs: DataFrame, text: str = "text", shingle_words: int = 3, fingerprint: str = "fingerprint") -> DataFrame:
     """The rows with the 64-bit SimHash of their text as a signed integer, 0 for a text without words.
 
-    With ``bands``, ``minima`` holds for each band the shingle hash that is smallest under the band's own mixing, ``node`` a hash of the
-    set of shingles and ``n_shingles`` its size; repeated shingles then count once in the fingerprint, too.
+    A null text has no words. Rows are independent; a column named ``fingerprint`` is replaced.
     """
-    sets = ("node", "n_shingles") if bands else ()
-    kept = [f for f in docs.schema.fields if f.name not in (fingerprint, minima, *sets)]
-    mixers = np.random.default_rng(SEED).integers(0, 2**63, (bands, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-    def lows(hashes: np.ndarray) -> list[int]:
-        if not len(hashes):
-            return [0] * bands
-        out = []
-        for xor, mul in mixers:
-            mixed = (hashes ^ xor) * mul
-            mixed ^= mixed >> np.uint64(32)
-            out.append(int(hashes[np.argmin(mixed)].astype(np.int64)))
-        return out
+    kept = [f for f in docs.schema.fields if f.name != fingerprint]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = (shingle_hashes(x, shingle_words) for x in batch.column(text).to_pylist())
-            if bands:
-                hashes = map(np.unique, hashes)
-            got = [(simhash(h), lows(h), xxhash.xxh64_intdigest(h.tobytes(), SEED) if bands else 0, len(h)) for h in hashes]
+            found = [simhash(shingle_hashes(x, shingle_words)) for x in batch.column(text).to_pylist()]
             cols = [batch.column(f.name) for f in kept]
-            cols += [pa.array(np.array([g[0] for g in got], np.uint64).astype(np.int64)), pa.array([g[1] for g in got], pa.list_(pa.int64()))]
-            if bands:
-                cols += [pa.array(np.array([g[2] for g in got], np.uint64).astype(np.int64)), pa.array([g[3] for g in got], pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, [*(f.name for f in kept), fingerprint, minima, *sets])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(np.array(found, np.uint64).astype(np.int64))], [*(f.name for f in kept), fingerprint])
 
-    schema = [*kept, T.StructField(fingerprint, T.LongType()), T.StructField(minima, T.ArrayType(T.LongType())), *(T.StructField(c, T.LongType()) for c in sets)]
-    return mapped(docs, run, T.StructType(schema))
+    return mapped(docs, run, T.StructType([*kept, T.StructField(fingerprint, T.LongType())]))
 
 
 class BKTree:
@@ -219,21 +199,6 @@ def sharded(values: DataFrame, radius: int, shard_rows: int = SHARD_ROWS) -> Dat
     return found.select("fingerprint", F.explode(F.when(F.col("hot").isNull(), F.array("shard")).otherwise(finer)).alias("shard"))
 
 
-def banded_shards(values: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(shard, fingerprint) and the other columns: texts with the same smallest hash in a band share a shard.
-
-    Shards of over ``shard_rows`` values, as a passage in very many texts makes, are divided by the
-    smallest hashes of each other band: texts that are alike have at least two bands in common.
-    """
-    kept = [c for c in values.columns if c != "minima"]
-    rows = values.distinct().select(*kept, "minima", F.posexplode("minima").alias("band", "low"))
-    rows = rows.select(*kept, "minima", "band", F.xxhash64("band", "low").alias("shard"))
-    hot = staged(rows.groupBy("shard").count().where(F.col("count") > shard_rows).select(F.col("shard").alias("hot")), "simhash-hot")
-    others = F.expr("filter(transform(minima, (m, i) -> IF(i = band, NULL, xxhash64(shard, i, m))), s -> s IS NOT NULL)")
-    found = rows.join(hot, F.col("shard") == F.col("hot"), "left")
-    return found.select(*kept, F.explode(F.when(F.col("hot").isNull(), F.array("shard")).otherwise(others)).alias("shard")).distinct()
-
-
 def linked(shards: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) of a forest of each shard's links; a task streams shards and holds one at a time."""
 
@@ -262,21 +227,16 @@ def linked(shards: DataFrame, radius: int) -> DataFrame:
     return mapped(dealt, run, "a bigint, b bigint")
 
 
-def near_duplicates(printed: DataFrame, radius: int = RADIUS, fingerprint: str = "fingerprint", minima: str | None = None, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def near_duplicates(printed: DataFrame, radius: int = RADIUS, fingerprint: str = "fingerprint", shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The rows with ``component`` and ``component_id``: the smallest doc_id reachable by links of at most ``radius`` bits, itself included.
 
     Equal fingerprints are one node, so a hot group of copies is a single row from here on; every
-    link within the radius is found. With ``minima``, only rows that share the value of a band are compared, which serves
-    wide radii that no block of bits can tell. A null id never names a component unless all
+    link within the radius is found. A null id never names a component unless all
     ids of it are null; ties and repeated rows share theirs.
     """
     rows = printed.drop("component", "component_id")
     nodes = staged(rows.groupBy(F.col(fingerprint).alias("fingerprint")).agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    if minima is None:
-        shards = sharded(nodes, radius, shard_rows)
-    else:
-        shards = banded_shards(rows.select(F.col(fingerprint).alias("fingerprint"), F.col(minima).alias("minima")), shard_rows)
-    found = components(linked(shards, radius))
+    found = components(linked(sharded(nodes, radius, shard_rows), radius))
     named = nodes.join(found, F.col("fingerprint") == F.col("node"), "left")
     named = staged(named.select("fingerprint", "least", F.coalesce("component", "fingerprint").alias("root")), "simhash-roots")
     # Tables, so that a join on a hot root or fingerprint can be split.
@@ -295,154 +255,3 @@ def op9_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     printed = staged(fingerprints(docs).select("doc_id", "fingerprint"), "simhash")
     return near_duplicates(printed).select("doc_id", as_hex().alias("fingerprint"), "component_id")
-
-
-#: Two documents are near-duplicates if their sets of five-word shingles have a resemblance (Jaccard) of so many per cent.
-NEAR_WORDS = 5
-NEAR_PERCENT = 80
-
-#: Two equally long texts with a resemblance of 0.8 have a cosine of 0.889 and differ in 9.7 of 64 bits on average, with a deviation of
-#: 2.9. The radius only chooses the pairs whose resemblance is then counted, so it leaves ample room above that.
-NEAR_RADIUS = 24
-NEAR_BANDS = 8
-
-#: Nodes of a shard beyond which it is divided by a second band.
-NEAR_SHARD_ROWS = 2_000
-
-#: Links to each text's nearest others that are counted first: what they unite needs no further comparison.
-NEAREST = 2
-
-#: Shingle sets that a task keeps at hand while it counts.
-CACHED_SETS = 256
-
-
-def candidates(values: np.ndarray, sizes: np.ndarray, labels: np.ndarray | None, radius: int = NEAR_RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places within the radius, of sizes that can have the resemblance.
-
-    Without ``labels``: of each value those with its nearest others and with the shard's densest value, so a group of
-    copies gives a few for each of its members. With labels: all pairs of different labels.
-    """
-    n = len(values)
-    block = max(1, FRONTIER // max(n, 1))
-    found: list[np.ndarray] = []
-    degree = np.zeros(n, np.int64)
-
-    def near(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        distance = np.bitwise_count(values[at, None] ^ values[None, :])
-        low, high = np.minimum(sizes[at, None], sizes[None, :]), np.maximum(sizes[at, None], sizes[None, :])
-        fits = (distance <= radius) & (100 * low >= NEAR_PERCENT * high)
-        fits[np.arange(len(at)), at] = False
-        return distance, fits
-
-    for start in range(0, n, block):
-        at = np.arange(start, min(start + block, n))
-        distance, fits = near(at)
-        if labels is not None:
-            i, j = np.nonzero(fits & (labels[at, None] != labels[None, :]))
-            found.append(np.stack([at[i], j])[:, at[i] < j])
-            continue
-        degree[at] = fits.sum(axis=1)
-        distance[~fits] = 255
-        for _ in range(min(NEAREST, n)):
-            j = distance.argmin(axis=1)
-            some = distance[np.arange(len(at)), j] < 255
-            found.append(np.stack([at[some], j[some]]))
-            distance[np.arange(len(at)), j] = 255
-    if labels is None and n:
-        pivot = int(degree.argmax())
-        j = np.flatnonzero(near(np.array([pivot]))[1][0])
-        found.append(np.stack([np.full(len(j), pivot), j]))
-    i, j = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-    return i, j
-
-
-def candidate_pairs(shards: DataFrame) -> DataFrame:
-    """(a, b) with a < b: the candidates of all shards, each once; of different labels if the shards have labels."""
-    labelled = "label" in shards.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(own: list[pa.RecordBatch]) -> pa.RecordBatch:
-            got = pa.Table.from_batches(own)
-            node, values, sizes = (got.column(c).to_numpy() for c in ("node", "fingerprint", "n_shingles"))
-            i, j = candidates(values.view(np.uint64), sizes, got.column("label").to_numpy() if labelled else None)
-            ends = np.unique(np.sort(np.stack([node[i], node[j]]), axis=0), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], ["a", "b"])
-
-        shard, own = None, []
-        for batch in batches:
-            keys = batch.column("shard").to_numpy()
-            cuts = np.flatnonzero(np.diff(keys)) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(keys)], strict=True):
-                if a == b:
-                    continue
-                if shard != keys[a]:
-                    if sum(x.num_rows for x in own) > 1:
-                        yield pairs(own)
-                    shard, own = keys[a], []
-                own.append(batch.slice(a, b - a))
-        if sum(x.num_rows for x in own) > 1:
-            yield pairs(own)
-
-    return mapped(shards.repartition("shard").sortWithinPartitions("shard"), run, "a bigint, b bigint").distinct()
-
-
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts (node, text) have the resemblance, counted on their sets of shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[int, np.ndarray] = {}
-
-        def of(node: int, text: str | None) -> np.ndarray:
-            found = sets.pop(node, None)
-            if found is None:
-                found = np.unique(shingle_hashes(text, NEAR_WORDS))
-                if len(sets) >= CACHED_SETS:
-                    del sets[next(iter(sets))]
-            sets[node] = found  # now the youngest
-            return found
-
-        for batch in batches:
-            keep = []
-            for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
-                x, y = of(a, x), of(b, y)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= NEAR_PERCENT * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return mapped(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), run, "a bigint, b bigint")
-
-
-def resembling(rows: DataFrame, printed: DataFrame) -> DataFrame:
-    """(node, component) of texts (key, text) that resemble another one, components being those of the counted pairs.
-
-    A first round counts a few pairs of each text, and a second one all other candidates that are not united by then.
-    """
-    nodes = staged(printed.groupBy("node").agg(F.min("key").alias("key"), *(F.first(c).alias(c) for c in ("fingerprint", "n_shingles", "minima"))), "near-nodes")
-    shards = staged(banded_shards(nodes.select("node", "fingerprint", "n_shingles", "minima"), NEAR_SHARD_ROWS), "near-shards")
-    pairs = staged(candidate_pairs(shards), "near-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "key"), "node")
-    texts = staged(rows.select("key", "text").join(wanted, "key").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
-    released(rows.sparkSession)
-    links = staged(verified(pairs, texts), "near-links")
-    united = staged(components(links), "near-united").withColumnRenamed("node", "own")
-    labelled = shards.join(united, F.col("node") == F.col("own"), "left").select(*shards.columns, F.coalesce("component", "node").alias("label"))
-    others = staged(candidate_pairs(labelled).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
-    released(rows.sparkSession)
-    return components(links.union(staged(verified(others, texts), "near-links")))
-
-
-def deduplicated_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near-duplicates the document with the smallest id, once if it is repeated.
-
-    A group is held together by pairs of a resemblance of 0.8 or more, each counted on the five-word shingles.
-    """
-    rows = packed(docs, "doc_id", "text").withColumn("key", F.xxhash64("text"))
-    printed = staged(fingerprints(rows.drop("row"), shingle_words=NEAR_WORDS, bands=NEAR_BANDS).drop("text"), "near")
-    found = staged(resembling(rows, printed).withColumnRenamed("node", "own"), "near-components")
-    grouped = printed.join(found, F.col("node") == F.col("own"), "left").withColumn("component", F.coalesce("component", "node"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("k"))).alias("first")
-    kept = staged(grouped.groupBy("component").agg(first).select("first.id", "first.k").distinct(), "near-kept")
-    chosen = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("key").eqNullSafe(F.col("k")), "left_semi")
-    return unpacked(chosen.dropDuplicates(["doc_id", "key"]))

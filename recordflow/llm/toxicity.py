@@ -247,4 +247,4 @@ def op2_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that are more likely clean than toxic."""
     scored = score(packed(docs, "text"), contract_model(spark, docs, sf_dir))
-    return unpacked(scored.where(F.col("toxicity") < 0.5))
+    return unpacked(scored.where(F.col("toxicity") < 0.5), docs.columns)

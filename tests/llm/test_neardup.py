@@ -1,0 +1,140 @@
+"""Near-duplicates against all pairs of shingle sets."""
+
+import re
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from recordflow.llm import neardup
+from tests.llm.conftest import ROWS
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_set(text, n=5):
+    words = WORD.findall((text or "").translate(LOWER))
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def classes(n, links):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in links:
+        a, b = find(i), find(j)
+        root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
+def alike(a, b):
+    both = len(a & b)
+    return 100 * both >= neardup.PERCENT * (len(a) + len(b) - both)
+
+
+def families(rng, n, words=120, own=20):
+    """Texts of one template and some own words, of resemblance about 0.74."""
+    template = [f"t{i}" for i in range(words)]
+    return [" ".join(template + [f"o{k}x{i}" for i in range(own)]) for k in range(n)]
+
+
+def changed(text, rng, share):
+    return " ".join(f"c{rng.integers(10**9)}" if rng.random() < share else w for w in text.split())
+
+
+def test_shingle_sets_are_those_of_the_words():
+    texts = [r[1] for r in ROWS if len(r[1] or "") < 50_000] + ["A b", "a B", "a b c d e", "a b c d e f a b c d e", "Ä ä"]
+    hashes, sizes = neardup.shingle_sets(pa.array(texts))
+    ends = np.cumsum(sizes)
+    sets = [plain_set(t) for t in texts]
+    assert sizes.tolist() == [len(s) for s in sets]
+    found = [frozenset(hashes[e - n : e].tolist()) for e, n in zip(ends, sizes, strict=True)]
+    for (a, x), (b, y) in combinations(zip(sets, found, strict=True), 2):
+        assert len(a & b) == len(x & y)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_links_of_a_tile_are_those_of_all_pairs(seed):
+    rng = np.random.default_rng(seed)
+    base = [rng.integers(0, 2**63, 60) for _ in range(4)]
+    sets = []
+    for _ in range(70):
+        own = base[rng.integers(4)].copy()
+        own[rng.random(60) < rng.choice([0.0, 0.05, 0.1, 0.2])] = rng.integers(0, 2**63)
+        sets.append(set(own[: rng.integers(40, 61)].tolist()))
+    sets += [set(), set(), {1}, {1}]
+    block = rng.integers(-1, 2, len(sets)) if seed % 2 else np.full(len(sets), -1)
+    hashes = np.concatenate([np.sort(np.array(sorted(s), np.uint64)) for s in sets])
+    links = neardup.resembling_links(hashes, np.array([len(s) for s in sets]), block)
+    meet = lambda i, j: block[i] < 0 or block[i] != block[j]
+    pairs = [(i, j) for i, j in combinations(range(len(sets)), 2) if sets[i] and sets[j] and alike(sets[i], sets[j])]
+    if seed % 2:
+        # Blocks tell which pairs count; what these unite is united.
+        wanted = [(i, j) for i, j in pairs if meet(i, j) or meet(j, i)]
+        assert set(map(frozenset, links)) <= set(map(frozenset, pairs))
+        assert classes(len(sets), links) == classes(len(sets), wanted) or (block < 0).any()
+    else:
+        assert classes(len(sets), links) == classes(len(sets), pairs)
+    assert len(links) < len(sets)
+
+
+def test_hopeful_nodes_belong_to_their_first_family():
+    rng = np.random.default_rng(1)
+    apart: list = []
+    while len(apart) < 20:  # further from one another than the radius
+        value = rng.integers(0, 2**63, dtype=np.uint64)
+        if all(int(value ^ other).bit_count() > neardup.RADIUS for other in apart):
+            apart.append(value)
+    values = np.repeat(np.array(apart), 2)
+    lows = rng.integers(0, 2**40, (40, 3))
+    lows[:, 2] = 7
+    lows[::2, 0] = lows[1::2, 0]  # pairs that share family 0, too
+    none = np.full(40, -1)
+    assert len(neardup.hopeful(values, np.full(40, 10), lows, 2, none)) == 0
+    lows[:, 0] = np.arange(40)
+    assert neardup.hopeful(values, np.full(40, 10), lows, 2, none).tolist() == list(range(40))
+    sizes = np.where(np.arange(40) % 2, 10, 7)
+    assert len(neardup.hopeful(values, sizes, lows, 2, none)) == 0
+    assert len(neardup.hopeful(values, np.full(40, 10), lows, 2, np.repeat(np.arange(20), 2))) == 0
+
+
+@pytest.mark.parametrize("blocks", [(8192, 400_000), (40, 3000)])
+def test_groups_are_those_of_all_pairs(spark, blocks):
+    """Templates, families around the limit and copies, in whole families and in blocks."""
+    rng = np.random.default_rng(5)
+    texts = families(rng, 150)
+    for k in range(12):
+        text = " ".join(f"w{k}x{i}" for i in range(200))
+        texts += [changed(text, rng, 0.002 + 0.02 * rng.random()) for _ in range(8)]
+    texts += texts[150:160] + ["", " ", "one", "One", "two words"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).withColumn("key", F.xxhash64("text"))
+    printed = neardup.sketched(rows).persist()
+    found = {r["node"]: r["component"] for r in neardup.resembling(rows, printed, *blocks).collect()}
+    got = {r["doc_id"]: found.get(r["node"], r["node"]) for r in printed.collect()}
+    sets = [plain_set(t) for t in texts]
+    expected = classes(len(texts), [(i, j) for i, j in combinations(range(len(texts)), 2) if sets[i] == sets[j] or sets[i] and sets[j] and alike(sets[i], sets[j])])
+    first = {}
+    for i in range(len(texts)):
+        first.setdefault(got[i], i)
+    assert [first[got[i]] for i in range(len(texts))] == expected
+    assert len(set(expected)) > 150
+
+
+def test_texts_of_one_template_ship_nothing_twice(spark):
+    """None of them resembles another one: large families lose them before any tile is made."""
+    rng = np.random.default_rng(2)
+    texts = families(rng, 600)
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    sizes = rows.withColumn("n_shingles", F.lit(len(plain_set(texts[0]))).cast("long"))
+    members = sizes.select(F.lit(1).cast("long").alias("shard"), "node", "n_shingles")
+    assert neardup.within_reach(members, rows).count() == 0
+    near = rows.union(spark.createDataFrame([(9999, changed(texts[7], rng, 0.01))], "node long, text string"))
+    members = near.select(F.lit(1).cast("long").alias("shard"), "node", F.lit(len(plain_set(texts[0]))).cast("long").alias("n_shingles"))
+    assert {7, 9999} <= {r["node"] for r in neardup.within_reach(members, near).collect()}
