@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from recordflow.llm.bpe import encoded_stage
 from recordflow.llm.common import staged, table
 from recordflow.llm.mixing import mixed_stage
+from recordflow.llm.neardup import deduplicated_stage
 from recordflow.llm.recompress import deduplicated_words_stage
-from recordflow.llm.simhash import deduplicated_stage
 from recordflow.llm.toxicity import clean_stage
 
 #: (name, function of the session, the documents so far and the folder of the tables).
