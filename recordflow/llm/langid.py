@@ -21,6 +21,8 @@ from recordflow.llm.common import chunks, mapped, staged, table
 
 #: Byte 4-grams are counted in so many bins; a model has this many numbers per language.
 BINS = 1 << 15
+
+#: Languages that a model may have unless the caller says otherwise: it takes 128 KB for each of them in every task, and twice that while it is counted.
 MAX_LANGUAGES = 64
 
 #: 4-grams beyond this many of a page add no certainty: neighbours aren't independent.
@@ -32,9 +34,13 @@ PRIOR_PAGES = 5.0
 #: Pages added to each count of declarations and suffixes.
 SMOOTHING = 1.0
 
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.I | re.S)
-_TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", re.I)
+_HIDDEN = re.compile(r"(script|style)\b", re.I)
+_CLOSING = {kind: re.compile(rf"</{kind}\s*>", re.I) for kind in ("script", "style")}
+_HTML = re.compile(r"<html\b", re.I)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z]+)", re.I)
+
+#: Labels under which a country's names are given out, so that a domain has one label more.
+REGISTRIES = ("ac", "co", "com", "edu", "go", "gov", "ne", "net", "or", "org")
 
 
 def grams(text: str) -> np.ndarray:
@@ -47,29 +53,77 @@ def grams(text: str) -> np.ndarray:
 
 
 def visible(html: str) -> str:
-    return unescape(_TAG.sub(" ", _HIDDEN.sub(" ", html)))
+    """The text outside of tags, comments, scripts and styles, in one forward scan.
+
+    What is opened but never closed is text, but for a comment's, script's or style's own tag.
+    """
+    out, at, unclosed = [], 0, set()
+    while (start := html.find("<", at)) >= 0:
+        out.append(html[at:start])
+        end = -1
+        if html.startswith("<!--", start):
+            if "comment" not in unclosed:
+                end = html.find("-->", start + 4)
+                end = end + 3 if end >= 0 else end
+                if end < 0:
+                    unclosed.add("comment")
+        elif (kind := _HIDDEN.match(html, start + 1)) and (name := kind.group(1).lower()) not in unclosed:
+            closing = _CLOSING[name].search(html, kind.end())
+            end = closing.end() if closing else end
+            if end < 0:
+                unclosed.add(name)
+        if end < 0:
+            end = html.find(">", start) + 1
+        if not end:  # no tag is closed from here on
+            at = start
+            break
+        at = end
+    return unescape(" ".join([*out, html[at:]]))
+
+
+def declared_language(html: str) -> str:
+    """The language that an html tag declares, in lower case; empty if none does."""
+    at = 0
+    while found := _HTML.search(html, at):
+        at = html.find(">", found.end())
+        language = _LANG.search(html, found.end(), at if at >= 0 else len(html))
+        if language or at < 0:
+            return language.group(1).lower() if language else ""
+    return ""
 
 
 def address(url: str | None) -> tuple[str, str, str]:
-    """Host, domain (its last two labels) and suffix (its last one); empty where there is none."""
+    """Host, domain and suffix (the last label); empty where there is none.
+
+    A domain is the last two labels, or three if the last is a country's and the one before it is in ``REGISTRIES``.
+    An address in numbers is its own domain and has no suffix.
+    """
     try:
         host = (urlsplit(url or "").hostname or "").rstrip(".")
     except ValueError:
         host = ""
     labels = host.split(".") if host else []
-    return host, ".".join(labels[-2:]), labels[-1] if len(labels) > 1 else ""
+    if ":" in host or (labels and all(x.isdigit() for x in labels)):
+        return host, host, ""
+    given_out = len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in REGISTRIES
+    return host, ".".join(labels[-3 if given_out else -2 :]), labels[-1] if len(labels) > 1 else ""
+
 
+def trained(docs: DataFrame, text: str = "text", lang: str = "lang", max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
+    """Languages and the log probabilities of their bins, from counts over all documents with a language.
 
-def trained(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages and the log probabilities of their bins, from counts over all documents with a language."""
+    More than ``max_languages`` are an error, as the model is held in every task. Null texts and languages are passed over, and texts
+    of fewer than four bytes add nothing but their language; repeated rows each count. An empty table gives a model without languages.
+    """
+    names = [r[0] for r in docs.select(lang).where(F.col(text).isNotNull() & F.col(lang).isNotNull()).distinct().orderBy(lang).limit(max_languages + 1).collect()]
+    if len(names) > max_languages:
+        raise ValueError(f"more than {max_languages} languages; max_languages sets another bound")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             for part in chunks(batch, "text"):
                 for x, name in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True):
-                    if name not in total and len(total) >= MAX_LANGUAGES:
-                        raise ValueError(f"more than {MAX_LANGUAGES} languages")
                     total.setdefault(name, np.zeros(BINS, np.int64))
                     total[name] += np.bincount(grams(x), minlength=BINS)
         for name, n in total.items():
@@ -79,18 +133,17 @@ def trained(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[li
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     # At most BINS rows per language: the size does not grow with the documents.
     counts = mapped(rows, run, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()
-    names = sorted(counts["lang"].unique())
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     table_ = np.full((len(names), BINS), 0.5)
-    for i, name in enumerate(names):
-        own = counts[counts["lang"] == name]
-        table_[i, own["bin"].to_numpy()] += own["n"].to_numpy()
+    place = {name: i for i, name in enumerate(names)}
+    np.add.at(table_, (counts["lang"].map(place).to_numpy(np.int64), counts["bin"].to_numpy(np.int64)), counts["n"].to_numpy())
     return names, np.log(table_ / table_.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
 def evidence(pages: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
-    """(page_id, host, domain, suffix, declared, text): ``text`` holds a log likelihood per language, the largest being 0."""
+    """(page_id, host, domain, suffix, declared, text): ``text`` holds a log likelihood per language, the largest being 0.
+
+    Null pages and addresses are empty ones: they declare nothing, have no host, and their text tells no language from another.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,11 +151,10 @@ def evidence(pages: DataFrame, names: list[str], model: np.ndarray) -> DataFrame
             for row in batch.to_pylist():
                 html = row["html"] or ""
                 host, domain, suffix = address(row["url"])
-                found = _DECLARED.search(html)
                 bins = grams(visible(html))
                 ll = model[:, bins].sum(axis=1, dtype=np.float64) * min(1.0, EVIDENCE_GRAMS / max(len(bins), 1))
                 out.append(
-                    {"page_id": row["page_id"], "host": host, "domain": domain, "suffix": suffix, "declared": found.group(1).lower() if found else "", "text": (ll - ll.max()).tolist()}
+                    {"page_id": row["page_id"], "host": host, "domain": domain, "suffix": suffix, "declared": declared_language(html), "text": (ll - ll.max()).tolist()}
                 )
             yield pa.RecordBatch.from_pylist(out, EVIDENCE)
 
@@ -127,6 +179,7 @@ def fused(pages: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
     A page without text has its language from the other evidence; without any it has the
     overall prior's. Ties go to the first language by name. Counts behind priors and likelihoods are
     sums of the text's probabilities over all pages; a page's own share is taken out of its host's and domain's.
+    Of ``pages`` only page_id, url and html are read; other columns are dropped, and repeated rows each count.
     """
     k = len(names)
     rows = staged(evidence(pages, names, model).withColumn("p", normalised(F.col("text"))), "lang-evidence")

@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import time
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from recordflow.llm import langid, warc
@@ -72,6 +74,91 @@ def test_addresses():
     assert langid.visible("<style>a</style><!-- b --><p>c&amp;d").split() == ["c&d"]
 
 
+def test_domains_under_a_registry_and_addresses_in_numbers():
+    assert langid.address("http://a.b.co.uk/")[1:] == ("b.co.uk", "uk")
+    assert langid.address("http://co.uk/")[1:] == ("co.uk", "uk")
+    assert langid.address("http://a.co.com/")[1:] == ("co.com", "com")
+    assert langid.address("http://10.0.0.7:80/x") == ("10.0.0.7", "10.0.0.7", "")
+    assert langid.address("http://[::1]/")[1:] == ("::1", "")
+
+
+@pytest.mark.parametrize(
+    ("html", "text", "declared"),
+    [
+        ("a<script>b</script >c<SCRIPT x>d</Script>e", "a c e", ""),
+        ("a<!-- <script> -->b<!-- c", "a b <!-- c", ""),
+        ("a<script>b", "a b", ""),
+        ("<style>a</script>b", "a b", ""),
+        ("<scripts>a</scripts>", "a", ""),
+        ("a < b", "a < b", ""),
+        ("a <b", "a <b", ""),
+        ("<HTML class=x LANG = 'De-at'><p>x", "x", "de"),
+        ("<html data-x=1>y<html lang=fr>", "y", "fr"),
+        ("<html lang=en", "<html lang=en", "en"),
+        ("<htmls lang=en>z", "z", ""),
+    ],
+)
+def test_scan_of_markup(html, text, declared):
+    assert " ".join(langid.visible(html).split()) == text
+    assert langid.declared_language(html) == declared
+
+
+@pytest.mark.parametrize("part", ["<", "<script>", "<style>", "<!--", "</script", "<html ", "<html lang", "<html>", "lang = ", "<a>", "< >"])
+def test_scan_is_linear(part):
+    html = part * (1_000_000 // len(part))
+    start = time.perf_counter()
+    langid.visible(html)
+    langid.declared_language(html)
+    assert time.perf_counter() - start < 5  # minutes, if it were not
+
+
+def test_languages_are_bounded_by_a_parameter(spark):
+    docs = spark.createDataFrame([(f"some text {i}", f"l{i}") for i in range(70)], "text string, lang string")
+    with pytest.raises(ValueError, match="max_languages"):
+        langid.trained(docs)
+    names, model = langid.trained(docs, max_languages=70)
+    assert len(names) == 70 and model.shape == (70, langid.BINS)
+
+
+def plain_posteriors(pages, names, model):
+    """Sums over pages, priors and posteriors, page by page."""
+    rows = []
+    for page_id, url, html in pages:
+        host, domain, suffix = langid.address(url)
+        bins = langid.grams(langid.visible(html or ""))
+        ll = model[:, bins].sum(axis=1, dtype=float) * min(1.0, langid.EVIDENCE_GRAMS / max(len(bins), 1))
+        p = np.exp(ll - ll.max())
+        rows.append((page_id, host, domain, suffix, langid.declared_language(html or ""), ll, p / p.sum()))
+    total = lambda place, value: sum((r[6] for r in rows if r[place] == value), np.zeros(len(names)))
+    base = sum((r[6] for r in rows), np.zeros(len(names))) + langid.SMOOTHING
+    share, weight = base / base.sum(), langid.PRIOR_PAGES
+    out = Counter()
+    for page_id, host, domain, suffix, declared, ll, p in rows:
+        prior = share
+        for place, value in ((2, domain), (1, host)):
+            left = np.maximum(total(place, value) - p, 0)
+            prior = (left + weight * prior) / (left.sum() + weight)
+        logs = ll + np.log(prior)
+        for place, value in ((4, declared), (3, suffix)):
+            if value:
+                logs = logs + np.log((total(place, value) + langid.SMOOTHING * share) / base)
+        odds = np.exp(logs - logs.max())
+        out[page_id, host, declared, names[int(ll.argmax())], names[int(odds.argmax())], round(float(odds.max() / odds.sum()), 6)] += 1
+    return out
+
+
+def test_posteriors(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    names, model = langid.trained(docs)
+    pages = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").collect()]
+    pages += [(1000 + (p[0] or 0), p[1], p[2]) for p in PAGES] + [pages[0], (5000, "http://h.co.uk", "<html lang=zz>"), (5001, "http://9.9.9.9", "<html lang=de>und")]
+    frame = spark.createDataFrame(pages, SCHEMA).repartition(4)
+    for df in (frame, frame.selectExpr("*", "1 AS host", "2 AS p", "3 AS lang", "4 AS text", "5 AS score")):
+        rows = langid.fused(df, names, model).collect()
+        got = Counter((r["page_id"], r["host"], r["declared"], r["text_lang"], r["lang"], round(r["score"], 6)) for r in rows)
+        assert got == plain_posteriors(pages, names, model)
+
+
 def test_languages(spark):
     docs = spark.createDataFrame(
         [(i, t, n) for i, (t, n) in enumerate([("der die und nicht ein ist das auch " * 30, "de"), ("the and of to in is that it was " * 30, "en"), (None, "en"), ("x", None)])],
