@@ -6,8 +6,11 @@ of parts merge into the sketch of the whole, and two of them estimate resemblanc
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordflow.llm.common import free_name, table, words
 
@@ -18,6 +21,9 @@ K = 128
 BUCKET_ROWS = 4096
 MAX_BUCKETS = 50_000
 
+#: Keys that are not numbers are sampled, so many for each range, to find its bounds.
+SAMPLED_KEYS = 4
+
 
 def shingle_hashes(ws: str, n: int = SHINGLE_WORDS) -> Column:
     """Different hashes of the shingles of a column of words: all words if they are fewer than ``n``, none if there are none."""
@@ -88,16 +94,22 @@ def with_next(docs: DataFrame, values: list[str], key: str = "doc_id", tie: str
     the key between approximate quantiles. As each bound is a key of the table, the rows that
     start a range are known beforehand and are sent to the range before, too, so one shuffle does.
     """
+    kind = docs.schema[key].dataType
     first, rows = docs.agg(F.min(key), F.count("*")).first()
     buckets = min(MAX_BUCKETS, rows // bucket_rows)
     bounds: list = []
     if buckets > 1 and first is not None:
-        parts = [i / buckets for i in range(1, buckets)]
-        found = docs.agg(F.percentile_approx(key, parts, max(10_000, 20 * buckets))).first()[0]
+        if isinstance(kind, T.NumericType):
+            parts = [i / buckets for i in range(1, buckets)]
+            found = docs.agg(F.percentile_approx(key, parts, max(10_000, 20 * buckets))).first()[0]
+        else:
+            share = min(1.0, SAMPLED_KEYS * buckets / rows)
+            some = sorted(r[0] for r in docs.select(key).where(F.col(key).isNotNull()).sample(share, seed=7).collect())
+            found = some[:: max(1, len(some) // buckets)]
         bounds = sorted({b for b in found if b is not None and b > first})
     bucket, extra, copy = (free_name(docs, c) for c in ("bucket", "extra", "copy"))
     if bounds:
-        listed = F.array(*map(F.lit, bounds)) if len(bounds) <= 64 else F.from_json(F.lit(str(bounds)), "array<bigint>")
+        listed = F.array(*map(F.lit, bounds)) if len(bounds) <= 64 else F.from_json(F.lit(json.dumps(bounds, default=str)), f"array<{kind.simpleString()}>")
         # The number of bounds that are not above the key, by halving.
         place = F.aggregate(
             F.sequence(F.lit(1), F.lit(len(bounds).bit_length())),

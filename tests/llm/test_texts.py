@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from recordflow.llm import bpe, mixing, quality, sketch, toxicity
@@ -190,15 +191,49 @@ def test_next_rows(spark, odd, bucket_rows):
     assert sketch.with_next(rows.limit(0), ["text"]).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["string", "date"])
+@pytest.mark.parametrize("bucket_rows", [2, 30, 4096])
+def test_next_rows_of_keys_that_are_no_numbers(spark, kind, bucket_rows):
+    rows = spark.range(300).selectExpr("CAST(date_add(DATE'2024-01-01', int(id * 7919 % 1000)) AS " + kind + ") AS doc_id", "string(id) AS text")
+    rows = rows.unionByName(rows.limit(1).selectExpr("CAST(NULL AS " + kind + ") AS doc_id", "'none' AS text"))
+    got = sketch.with_next(rows, ["text"], bucket_rows=bucket_rows).collect()
+    order = sorted(rows.collect(), key=lambda r: (r["doc_id"] is None, str(r["doc_id"]), r["text"]))
+    assert Counter((r["text"], r["next_text"]) for r in got) == Counter((r["text"], order[(i + 1) % len(order)]["text"]) for i, r in enumerate(order))
+
+
+def plain_sketch(text):
+    """The 128 smallest hashes of five words in a row, each word hashed with the hash of those before it as seed."""
+    ws = WORD.findall(text)
+    found = set()
+    for i in range(len(ws) - 4):
+        h = 42
+        for w in ws[i : i + 5]:
+            h = xxhash.xxh64_intdigest(w.encode(), h)
+        found.add(h)
+    if 0 < len(ws) < 5:
+        found.add(xxhash.xxh64_intdigest(" ".join(ws).encode(), 42))
+    return sorted(h - 2**64 if h >> 63 else h for h in found)[:128]
+
+
+def plain_resemblance(a, b):
+    union = sorted(set(a) | set(b))[:128]
+    return len(set(union) & set(a) & set(b)) / len(union) if union else 1.0
+
+
 def test_fingerprint_query(spark, folder):
     rows = sketch.op7_bottomk_fingerprint(spark, folder).collect()
     order = sorted(ROWS, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
     expected = Counter()
+    printed = lambda hashes: "".join(f"{h % 2**64:016x}" for h in hashes)
     for i, r in enumerate(order):
         text, after = r[1] or "", order[(i + 1) % len(order)][1] or ""
         q = len(text) // 4
-        expected[r[0], len(text), hashlib.sha256((text[: len(text) - q] + after[:q]).encode()).hexdigest()] += 1
-    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in rows) == expected
+        edited = text[: len(text) - q] + after[:q]
+        own, changed, following = plain_sketch(text), plain_sketch(edited), plain_sketch(after)
+        likeness = (round(plain_resemblance(own, changed), 9), round(plain_resemblance(own, following), 9))
+        expected[r[0], len(text), hashlib.sha256(edited.encode()).hexdigest(), printed(own), printed(changed), *likeness] += 1
+    columns = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint")
+    assert Counter((*(r[c] for c in columns), round(r["near_edited"], 9), round(r["near_next"], 9)) for r in rows) == expected
 
 
 # --- mixing
