@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordflow.llm import repeats
 from recordflow.llm.common import packed, table, unpacked
-from recordflow.llm.repeats import Anchors, Buffer, binaries, bytes_of, cut_texts, merged, mix, prefix_sums, stretch_hashes, stretches
+from recordflow.llm.repeats import HOT_TEXTS, Anchors, Buffer, binaries, bytes_of, cut_texts, merged, mix, prefix_sums, stretch_hashes, stretches
 
 WINDOW_WORDS = 13
 
@@ -144,6 +145,19 @@ class Recompression:
         digest = np.add.reduceat(mix(packed_), np.cumsum(n) - n)
         return binaries(packed_.astype("<u8").view(np.uint8), 8 * n), mix(digest)
 
+    def windows(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> repeats.Windows:
+        """A window's second hash is made of its words anew."""
+        found: Windows = anchors.more
+        n = found.begin[chosen + 1] - found.begin[chosen]
+        at = stretches(found.begin[chosen], n)
+        row, place = np.repeat(anchors.row[chosen], n), np.repeat(anchors.at[chosen], n) + found.offset[at]
+        words, of = word_table(buffer)
+        first = np.searchsorted(of, row) + place
+        salted, second = mix(words + _STEP), np.zeros(len(at), np.uint64)
+        for j in range(self.window):
+            second = (second ^ salted[first + j]) * _STEP
+        return repeats.Windows(row, place, found.key[at], mix(second), self.window)
+
     def windows_of(self, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Offsets and hashes of all windows, and how many each row has."""
         data, length = bytes_of(contents)
@@ -182,7 +196,7 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
     return len(words), len(words) - len(kept), " ".join(kept)
 
 
-def deduplicated(docs: DataFrame, text: str = "text", window: int = WINDOW_WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, text: str = "text", window: int = WINDOW_WORDS, hot_texts: int = HOT_TEXTS) -> DataFrame:
     """The rows with ``n_words``, ``n_removed`` and ``kept``: their words without repeats, joined by a space.
 
     A word goes if it is in a window of ``window`` words that also starts in a document with a
@@ -190,7 +204,7 @@ def deduplicated(docs: DataFrame, text: str = "text", window: int = WINDOW_WORDS
     each other anything, and a null id counts as the largest. Columns of these names are replaced.
     """
     added = [("n_words", T.LongType(), pa.int64()), ("n_removed", T.LongType(), pa.int64()), ("kept", T.StringType(), pa.string())]
-    return cut_texts(docs, Recompression(window), cut_words, added, text)
+    return cut_texts(docs, Recompression(window), cut_words, added, text, hot_texts)
 
 
 def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,9 @@ anchors to one task per name, where equal windows are found; the third cuts the
 
 Before each shuffle, what a chunk of texts has more than once goes on once: the further documents of
 a chunk that share an anchor, or a whole neighbourhood, with a smaller one are decided where they are. So
-the group of a hot anchor holds a row for each chunk and not for each copy.
+the group of a hot anchor holds a row for each chunk and not for each copy. An anchor with more texts than a group may
+hold, as a common phrase in ever other surroundings has, makes no group at all: its windows go on one by one, and Spark takes the smallest
+document of each in a grouping that adds up before it shuffles.
 """
 
 from __future__ import annotations
@@ -30,6 +32,12 @@ CHUNK_BYTES = 1 << 19
 #: Rows of whole anchor groups that are resolved together.
 GROUP_ROWS = 20_000
 
+#: Texts with an anchor beyond which its windows are compared one by one, each by itself. That changes the way, not the result.
+HOT_TEXTS = 200_000
+
+#: Hot anchors are told by so many low bits of their name; a chance match makes an anchor go the hot way, too.
+SLOT_BITS = 22
+
 _P = 0x9E3779B97F4A7C15
 _INVERSE = pow(_P, -1, 1 << 64)
 _BYTE = np.random.default_rng(2024).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -92,6 +100,16 @@ class Anchors(NamedTuple):
     more: object
 
 
+class Windows(NamedTuple):
+    """Windows by document of the chunk, place in it and two independent hashes; ``width`` is what a window covers."""
+
+    row: np.ndarray
+    at: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+    width: int
+
+
 class Scheme(Protocol):
     def anchors(self, buffer: Buffer) -> Anchors: ...
 
@@ -101,6 +119,9 @@ class Scheme(Protocol):
     def reach(self, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end, relative to the anchor, of all windows within some contents."""
 
+    def windows(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> Windows:
+        """Each window of the chosen anchors by itself."""
+
     def covered(self, names: np.ndarray, docs: np.ndarray, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """Of rows sorted by name: start and end, relative to the anchor, of what a smaller document of the group also has.
 
@@ -140,13 +161,14 @@ def _spread(n: int, seed: np.ndarray) -> np.ndarray:
     return mix(seed.astype(np.uint64) + np.arange(n, dtype=np.uint64) * np.uint64(_P)).astype(np.int64)
 
 
-NAMED = pa.schema([("route", pa.int64()), ("name", pa.int64()), ("doc", pa.int64()), ("key", pa.int64()), ("known", pa.bool_())])
+NAMED = pa.schema([("route", pa.int64()), ("name", pa.int64()), ("doc", pa.int64()), ("key", pa.int64()), ("n", pa.int32())])
 
 
-def shared_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """(key, names): for each text the low halves of the names of its anchors that a document of another id has, too.
+def shared_anchors(docs: DataFrame, scheme: Scheme, hot_texts: int = HOT_TEXTS) -> DataFrame:
+    """(key, names, hot): for each text the low halves of the names of its anchors that a document of another id has, too.
 
-    A half tells a text's anchors apart well enough: one too many is found out later.
+    A half tells a text's anchors apart well enough: one too many is found out later. ``hot`` has the names that more than ``hot_texts``
+    texts have, as far as the row knows: each such name is in one row at least.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,12 +192,24 @@ def shared_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
                 route = np.where(first, name.astype(np.int64), _spread(len(name), key[row]))
                 # Rows of one id alone are told apart nowhere: the first stands for them, and all ask for its group.
                 route = np.where(known, route, name.astype(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (route, name.astype(np.int64), doc[row], key[row], known)], schema=NAMED)
+                # How many texts a row stands for; more than one says that they are of several documents.
+                n = np.where(known, np.diff(np.append(start, len(name)))[group], 1)
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((route, name.astype(np.int64), doc[row], key[row], n), NAMED, strict=True)], schema=NAMED)
 
-    named = mapped(docs, run, "route bigint, name bigint, doc bigint, key bigint, known boolean")
+    named = mapped(docs, run, "route bigint, name bigint, doc bigint, key bigint, n int")
     group = Window.partitionBy("route")
-    told = named.withColumn("shared", (F.min("doc").over(group) < F.max("doc").over(group)) | F.max("known").over(group))
-    return told.where("shared").groupBy("key").agg(F.collect_set(F.expr("int(name & 2147483647)")).alias("names"))
+    told = named.withColumn("shared", (F.min("doc").over(group) < F.max("doc").over(group)) | (F.max("n").over(group) > 1))
+    told = told.withColumn("texts", F.sum("n").over(group))
+    hot = F.collect_set(F.when((F.col("texts") > hot_texts) & (F.col("route") == F.col("name")), F.col("name"))).alias("hot")
+    return told.where("shared").groupBy("key").agg(F.collect_set(F.expr("int(name & 2147483647)")).alias("names"), hot)
+
+
+def hot_slots(shared: DataFrame) -> np.ndarray:
+    """A mark for each value of a name's low bits that a hot name has: a table of one size, whatever the number of names."""
+    slots = shared.where("size(hot) > 0").select(F.explode("hot").alias("name")).select(F.expr(f"int(name & {2**SLOT_BITS - 1})").alias("slot")).distinct()
+    marks = np.zeros(1 << SLOT_BITS, bool)
+    marks[[r["slot"] for r in slots.collect()]] = True
+    return marks
 
 
 AROUND = "route bigint, doc bigint, key bigint, at array<int>, contents binary, decided boolean"
@@ -187,8 +221,22 @@ MEMBERS = "route bigint, docs array<bigint>, keys array<bigint>, at array<int>,
 _MEMBERS = pa.schema([("route", pa.int64()), ("docs", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("at", pa.list_(pa.int32())), ("contents", pa.binary())])
 
 
-def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme, members: bool = False) -> DataFrame:
-    """The contents around shared anchors, once for each document of the smallest id in a chunk that has them.
+def chosen_anchors(part: pa.RecordBatch, found: Anchors) -> np.ndarray:
+    """Places of the anchors that a text's list names."""
+    lists = part.column("names")
+    wanted = lists.flatten().to_numpy().astype(np.int64)
+    of = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+    half = (found.name & np.uint64(2**31 - 1)).astype(np.int64)
+    return np.flatnonzero(np.isin(half | found.row << 31, wanted | of << 31))
+
+
+def is_hot(names: np.ndarray, packed_marks: bytes) -> np.ndarray:
+    slot = (names & np.uint64(2**SLOT_BITS - 1)).astype(np.int64)
+    return (np.frombuffer(packed_marks, np.uint8)[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+
+
+def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme, members: bool = False, hot: bytes | None = None) -> DataFrame:
+    """The contents around shared anchors that are not ``hot``, once for each document of the smallest id in a chunk that has them.
 
     With ``members``, once for a chunk, with all their occurrences.
     """
@@ -199,11 +247,9 @@ def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme, members:
                 doc, key = (part.column(c).to_numpy() for c in ("_doc", "_key"))
                 buffer = buffer_of(part.column("_text"))
                 found = scheme.anchors(buffer)
-                lists = part.column("names")
-                wanted = lists.flatten().to_numpy().astype(np.int64)
-                of = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-                half = (found.name & np.uint64(2**31 - 1)).astype(np.int64)
-                chosen = np.flatnonzero(np.isin(half | found.row << 31, wanted | of << 31))
+                chosen = chosen_anchors(part, found)
+                if hot:
+                    chosen = chosen[~is_hot(found.name[chosen], hot)]
                 if not len(chosen):
                     continue
                 contents, digest = scheme.contents(buffer, found, chosen)
@@ -228,10 +274,49 @@ def around_anchors(docs: DataFrame, shared: DataFrame, scheme: Scheme, members:
                 out = [pa.array(route), pa.array(doc[row]), pa.array(key[row]), places, contents.take(pa.array(order[text])), pa.array(decided)]
                 yield pa.RecordBatch.from_arrays(out, schema=_AROUND)
 
-    hits = shared.withColumnRenamed("key", "_hit")
+    hits = shared.select(F.col("key").alias("_hit"), "names")
     return mapped(docs.join(hits, F.col("_key") == F.col("_hit")).drop("_hit"), run, MEMBERS if members else AROUND)
 
 
+def hot_spans(docs: DataFrame, shared: DataFrame, scheme: Scheme, marks: np.ndarray) -> DataFrame:
+    """(key, start, end): the windows of hot anchors that a smaller document has, too, window by window.
+
+    Of the texts of a chunk that have a window the smallest one asks for it, and the others are decided. Windows are told by two hashes of 64 bits.
+    """
+    hot = np.packbits(marks, bitorder="little").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "_text", CHUNK_BYTES):
+                doc, key = (part.column(c).to_numpy() for c in ("_doc", "_key"))
+                buffer = buffer_of(part.column("_text"))
+                found = scheme.anchors(buffer)
+                chosen = chosen_anchors(part, found)
+                chosen = chosen[is_hot(found.name[chosen], hot)]
+                if not len(chosen):
+                    continue
+                w = scheme.windows(buffer, found, chosen)
+                order = np.lexsort((w.at, doc[w.row], w.second, w.first))
+                row, at, first, second = (x[order] for x in (w.row, w.at, w.first, w.second))
+                new = np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
+                low = doc[row][np.flatnonzero(new)][np.cumsum(new) - 1]
+                columns = (first.astype(np.int64), second.astype(np.int64), doc[row], key[row], at, at + w.width, doc[row] > low)
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, HOT, strict=True)], schema=HOT)
+
+    half = docs.sparkSession.createDataFrame([(int(s),) for s in np.flatnonzero(marks)], "slot int")
+    named = shared.select("key", F.explode("names").alias("half")).withColumn("of", F.expr(f"half & {2**SLOT_BITS - 1}"))
+    keys = named.join(F.broadcast(half), F.col("of") == F.col("slot"), "left_semi").groupBy(F.col("key").alias("_hit")).agg(F.collect_set("half").alias("names"))
+    rows = mapped(docs.join(keys, F.col("_key") == F.col("_hit")).drop("_hit"), run, "first bigint, second bigint, doc bigint, key bigint, start int, end int, decided boolean")
+    rows = staged(rows, "repeat-hot")
+    asked = rows.where("NOT decided")
+    least = staged(asked.groupBy(F.col("first").alias("f"), F.col("second").alias("s")).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most"), "repeat-least")
+    later = asked.join(least, (F.col("first") == F.col("f")) & (F.col("second") == F.col("s"))).where("doc > least")
+    return rows.where("decided").select("key", "start", "end").union(later.select("key", "start", "end"))
+
+
+HOT = pa.schema([("first", pa.int64()), ("second", pa.int64()), ("doc", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("decided", pa.bool_())])
+
+
 def resolved_groups(around: DataFrame, resolve: Callable[[list], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``resolve`` over whole anchor groups, some at a time, in the order of their names."""
 
@@ -257,8 +342,8 @@ def resolved_groups(around: DataFrame, resolve: Callable[[list], Iterator[pa.Rec
 COVERED = pa.schema([("key", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 
 
-def covered_spans(around: DataFrame, scheme: Scheme) -> DataFrame:
-    """(key, spans): for each text the stretches of windows that a smaller document has, too."""
+def covered_spans(around: DataFrame, scheme: Scheme, others: DataFrame | None = None) -> DataFrame:
+    """(key, spans): for each text the stretches of windows that a smaller document has, too, and those of ``others``."""
 
     def resolve(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held).combine_chunks()
@@ -276,18 +361,24 @@ def covered_spans(around: DataFrame, scheme: Scheme) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, COVERED, strict=True)], schema=COVERED)
 
     rows = resolved_groups(around, resolve, "key bigint, start int, end int")
+    rows = rows if others is None else rows.union(others)
     return rows.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
-def cut_texts(docs: DataFrame, scheme: Scheme, cut: Callable[[str, list], tuple], added: list[tuple[str, T.DataType, pa.DataType]], text: str) -> DataFrame:
+def cut_texts(
+    docs: DataFrame, scheme: Scheme, cut: Callable[[str, list], tuple], added: list[tuple[str, T.DataType, pa.DataType]], text: str, hot_texts: int = HOT_TEXTS
+) -> DataFrame:
     """The rows with the columns ``added``, which ``cut`` makes of a text and its covered spans."""
     names = [n for n, _, _ in added]
     rows = docs.drop(*names)
     kept = rows.schema.fields
     marked = keyed(rows, text)
-    shared = staged(shared_anchors(marked, scheme), "repeat-anchors")
+    shared = staged(shared_anchors(marked, scheme, hot_texts), "repeat-anchors")
     released(docs.sparkSession)
-    spans = staged(covered_spans(around_anchors(marked, shared, scheme), scheme), "repeat-spans")
+    marks = hot_slots(shared)
+    others = hot_spans(marked, shared, scheme, marks) if marks.any() else None
+    hot = np.packbits(marks, bitorder="little").tobytes() if marks.any() else None
+    spans = staged(covered_spans(around_anchors(marked, shared, scheme, hot=hot), scheme, others), "repeat-spans")
     released(docs.sparkSession)
     own, key, found = (free_name(rows, c) for c in ("own", "key", "found"))
 

@@ -21,8 +21,10 @@ from pyspark.sql import types as T
 from recordflow.llm.common import staged, table
 from recordflow.llm.repeats import (
     _MEMBERS,
+    HOT_TEXTS,
     Anchors,
     Buffer,
+    Windows,
     around_anchors,
     binaries,
     bytes_of,
@@ -164,6 +166,17 @@ class Suffixes:
         data[np.cumsum(length) - length] = before
         return binaries(data, length), mix(stretch_hashes(anchors.more.sums, at - before, end) + before.astype(np.uint64))
 
+    def windows(self, buffer: Buffer, anchors: Anchors, chosen: np.ndarray) -> Windows:
+        """A window's hashes are those of its halves, one of them with what both have in common."""
+        places: Places = anchors.more
+        n = places.end[chosen] - places.start[chosen] - self.window + 1
+        start = stretches(places.start[chosen], n)
+        row = np.repeat(anchors.row[chosen], n)
+        half = self.window // 2
+        first = stretch_hashes(places.sums, start, start + self.window)
+        second = mix(stretch_hashes(places.sums, start, start + half) * np.uint64(3) + stretch_hashes(places.sums, start + half, start + self.window))
+        return Windows(row, start - buffer.offsets[:-1][row], first, second, self.window)
+
     def reach(self, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
         data, length = bytes_of(contents)
         before = data[np.cumsum(length) - length].astype(np.int64)
@@ -217,7 +230,7 @@ def cut_bytes(text: str, spans: list[tuple[int, int]]) -> tuple[int, int, int, b
     return len(data), len(data) - len(rest), len(gone), rest
 
 
-def deduplicated(docs: DataFrame, text: str = "text", window: int = WINDOW_BYTES) -> DataFrame:
+def deduplicated(docs: DataFrame, text: str = "text", window: int = WINDOW_BYTES, hot_texts: int = HOT_TEXTS) -> DataFrame:
     """The rows with ``n_bytes``, ``n_removed``, ``n_spans`` (removed stretches) and ``kept``, the other bytes of their text.
 
     A byte goes if it is in a string of ``window`` bytes that also starts in a document with a smaller
@@ -226,7 +239,7 @@ def deduplicated(docs: DataFrame, text: str = "text", window: int = WINDOW_BYTES
     of these names are replaced.
     """
     added = [(n, T.LongType(), pa.int64()) for n in ("n_bytes", "n_removed", "n_spans")] + [("kept", T.BinaryType(), pa.binary())]
-    return cut_texts(docs, Suffixes(window), cut_bytes, added, text)
+    return cut_texts(docs, Suffixes(window), cut_bytes, added, text, hot_texts)
 
 
 def repeat_groups(docs: DataFrame, text: str = "text", window: int = WINDOW_BYTES) -> DataFrame:

@@ -10,8 +10,8 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from recordflow.llm import components, recompress, simhash, suffixes
-from recordflow.llm.repeats import buffer_of, merged
+from recordflow.llm import components, recompress, repeats, simhash, suffixes
+from recordflow.llm.repeats import HOT_TEXTS, buffer_of, merged
 from tests.llm.conftest import ROWS
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -45,25 +45,27 @@ def rows():
     return [r for r in ROWS if len(r[1] or "") < 20_000]
 
 
-def test_words(spark, rows, odd, clashing):
+@pytest.mark.parametrize("hot_texts", [HOT_TEXTS, 1])
+def test_words(spark, rows, odd, clashing, hot_texts):
     words = [WORD.findall(r[1] or "") for r in rows]
     gone = removed(list(zip(ids(rows), words, strict=True)), 13)
     expected = Counter((r[0], len(w), sum(g), " ".join(x for x, y in zip(w, g, strict=True) if not y)) for r, w, g in zip(rows, words, gone, strict=True))
     for docs in (odd, clashing):
-        got = recompress.deduplicated(docs).where("coalesce(length(text), 0) < 20000")
+        got = recompress.deduplicated(docs, hot_texts=hot_texts).where("coalesce(length(text), 0) < 20000")
         assert Counter(tuple(r[c] for c in ("doc_id", "n_words", "n_removed", "kept")) for r in got.collect()) == expected
     assert [c for c in clashing.columns if c not in got.columns] == []
     assert {r["_key"] for r in got.select("_key").collect()} == {"mine"}
 
 
-def test_bytes(spark, rows, odd, clashing):
+@pytest.mark.parametrize("hot_texts", [HOT_TEXTS, 1])
+def test_bytes(spark, rows, odd, clashing, hot_texts):
     data = [(r[1] or "").encode() for r in rows]
     gone = removed(list(zip(ids(rows), data, strict=True)), 50)
     expected = Counter(
         (r[0], len(b), sum(g), len(re.findall(b"\1+", bytes(g))), bytes(x for x, y in zip(b, g, strict=True) if not y)) for r, b, g in zip(rows, data, gone, strict=True)
     )
     for docs in (odd, clashing):
-        got = suffixes.deduplicated(docs).where("coalesce(length(text), 0) < 20000")
+        got = suffixes.deduplicated(docs, hot_texts=hot_texts).where("coalesce(length(text), 0) < 20000")
         assert Counter((*(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans")), bytes(r["kept"])) for r in got.collect()) == expected
 
 
@@ -73,20 +75,49 @@ def test_empty_tables(empty):
     assert simhash.near_duplicates(printed).count() == 0
 
 
-def test_small_alphabets(spark):
+@pytest.mark.parametrize("hot_texts", [HOT_TEXTS, 2])
+def test_small_alphabets(spark, hot_texts):
     """Runs, periods and overlaps, which random prose lacks."""
     rng = np.random.default_rng(5)
     texts = [" ".join(rng.choice(["a", "b"], size=rng.integers(5, 60))) for _ in range(40)] + ["a " * 30, "a b " * 20, "b a " * 15, "c " + "a " * 14]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     words = [WORD.findall(t) for t in texts]
     gone = removed(list(enumerate(words)), 13)
-    got = {r["doc_id"]: r["n_removed"] for r in recompress.deduplicated(docs).collect()}
+    got = {r["doc_id"]: r["n_removed"] for r in recompress.deduplicated(docs, hot_texts=hot_texts).collect()}
     assert got == {i: sum(g) for i, g in enumerate(gone)}
     gone = removed([(i, t.encode()) for i, t in enumerate(texts)], 50)
-    got = {r["doc_id"]: r["n_removed"] for r in suffixes.deduplicated(docs).collect()}
+    got = {r["doc_id"]: r["n_removed"] for r in suffixes.deduplicated(docs, hot_texts=hot_texts).collect()}
     assert got == {i: sum(g) for i, g in enumerate(gone)}
 
 
+def test_a_common_phrase_makes_no_large_group(spark):
+    """One phrase in every third of 3,000 texts, in ever other surroundings: neither scheme holds its texts in one group."""
+    rng = np.random.default_rng(12)
+    letters = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    phrase = " ".join(letters(7) for _ in range(4))
+    texts = [" ".join([letters(40), *([phrase] if i % 3 == 0 else []), *(letters(6) for _ in range(14))]) for i in range(3000)] + [f"{phrase} {letters(9)} " * 9]
+    texts += texts[:30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    sizes = spark.sparkContext.accumulator(0)
+    for deduplicated, scheme, sequences, n in (
+        (recompress.deduplicated, recompress.Recompression(), [WORD.findall(t) for t in texts], 13),
+        (suffixes.deduplicated, suffixes.Suffixes(), [t.encode() for t in texts], 50),
+    ):
+        gone = removed(list(enumerate(sequences)), n)
+        got = {r["doc_id"]: r["n_removed"] for r in deduplicated(docs, hot_texts=50).collect()}
+        assert got == {i: sum(g) for i, g in enumerate(gone)}
+        marked = repeats.keyed(docs, "text")
+        shared = repeats.shared_anchors(marked, scheme, 50).persist()
+        marks = repeats.hot_slots(shared)
+        largest = lambda hot: repeats.around_anchors(marked, shared, scheme, hot=hot).groupBy("route").count().agg({"count": "max"}).first()[0]
+        if marks.any():
+            assert largest(np.packbits(marks, bitorder="little").tobytes()) <= 50 < largest(None)
+        else:
+            assert largest(None) <= 50
+        sizes += int(marks.sum())
+    assert sizes.value > 0
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from("abc"), min_size=20, max_size=40), min_size=2, max_size=5))
 def test_equal_windows_have_equal_anchors(texts):
