@@ -14,6 +14,9 @@ from recordflow.llm.common import free_name, table, words
 #: Rows that costs and selectivities are estimated on, in expectation.
 SAMPLE_ROWS = 2_000
 
+#: Times that each rule is asked of the sample; the fastest counts.
+TIMINGS = 3
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -79,17 +82,33 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.withColumn("n_repeat_words", F.expr(f"coalesce(aggregate({added}, 0L, (a, x) -> a + x), 0L)")).drop(at)
 
 
+def seconds(sample: DataFrame, condition: Column) -> tuple[float, int]:
+    """The least time that counting the rows of a condition takes, and their number; other work on the machine only adds to it."""
+    least, found = float("inf"), 0
+    for _ in range(TIMINGS):
+        began = time.perf_counter()
+        found = sample.where(condition).count()
+        least = min(least, time.perf_counter() - began)
+    return least, found
+
+
 def estimated(rows: DataFrame, text: str, ws: str, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> list[Estimate]:
-    """Seconds and share of rejected rows of each rule over a sample of about ``sample_rows`` rows."""
+    """Seconds and share of rejected rows of each rule over a sample of about ``sample_rows`` rows.
+
+    A rule's cost is what it takes beyond a condition that costs next to nothing, so starting a job does not count; the difference
+    is taken as a hundredth of that time at least, below which it can't be told from chance.
+    """
     share = min(1.0, sample_rows / max(rows.count(), 1))
     sample = rows.select(text, ws).sample(share, seed=seed).persist()
     try:
         n = max(sample.count(), 1)
+        nothing = F.size(ws) < 0
+        seconds(sample, nothing)  # code is made and compiled once
+        empty, _ = seconds(sample, nothing)
         out = []
         for rule in rules:
-            began = time.perf_counter()
-            failed = sample.where(rule.condition(text, ws)).count()
-            out.append(Estimate(rule, time.perf_counter() - began, failed / n))
+            took, failed = seconds(sample, rule.condition(text, ws))
+            out.append(Estimate(rule, max(took - empty, empty / 100), failed / n))
         return out
     finally:
         sample.unpersist()

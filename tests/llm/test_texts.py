@@ -152,6 +152,21 @@ def test_cascade_order_and_verdicts(odd, clashing, empty):
     assert quality.judged(empty).count() == 0
 
 
+def test_costs_are_those_of_the_rules(spark):
+    """Of two rules that reject the same rows the cheap one is asked first, and starting a job costs neither anything."""
+    docs = spark.range(400).selectExpr("id AS doc_id", "IF(id % 4 = 0, 'x', array_join(transform(sequence(1, 3000), i -> concat('w', i % 97)), ' ')) AS text")
+    rows = docs.withColumn("ws", F.split("text", " "))
+    cheap = quality.Rule("cheap", "size({words}) < 2")
+    costly = quality.Rule("costly", "size(array_distinct(transform({words}, w -> sha2(w, 512)))) < 2")
+    made = {e.rule.name: e for e in quality.estimated(rows, "text", "ws", (costly, cheap))}
+    assert made["cheap"].selectivity == made["costly"].selectivity == 0.25
+    assert made["costly"].cost > 5 * made["cheap"].cost
+    order = sorted(made.values(), key=lambda e: -e.rank)
+    assert [e.rule.name for e in order] == ["cheap", "costly"]
+    failed = quality.judged(docs, (costly, cheap)).select("failed").distinct().collect()
+    assert {r["failed"] for r in failed} == {None, "cheap"}
+
+
 # --- fingerprints
 
 
