@@ -186,20 +186,59 @@ class Suffixes:
         lefts = [c[1 : 1 + c[0]][::-1] for c in contents]
         return maximal_repeats(lefts, [c[1 + c[0] :] for c in contents], self.window, self.anchor)
 
+    def pairs(self, contents: pa.BinaryArray, one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes before the anchor and from it on that two members of a bucket have in common: trees of one interval, many at once."""
+        data, length = bytes_of(contents)
+        at = np.cumsum(length) - length
+        before = data[at].astype(np.int64)
+        behind = length - 1 - before
+        anchor = at + 1 + before  # the place between what is before the anchor and what is behind it
+        out = []
+        for reach, step, shift in ((before, -1, -1), (behind, 1, 0)):
+            most = np.minimum(reach[one], reach[other])
+            shared, todo = np.zeros(len(one), np.int64), np.flatnonzero(most > 0)
+            x, y = anchor[one] + shift, anchor[other] + shift
+            while len(todo):
+                n = shared[todo]
+                same = data[x[todo] + step * n] == data[y[todo] + step * n]
+                todo = todo[same]
+                shared[todo] += 1
+                todo = todo[shared[todo] < most[todo]]
+            out.append(shared)
+        return out[0], self.anchor + out[1]
+
     def covered(self, names: np.ndarray, docs: np.ndarray, contents: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
         start, end = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
-        texts = contents.to_pylist()
-        for a, b in groups(names):
+        bounds = np.array(list(groups(names)), np.int64).reshape(-1, 2)
+        two = bounds[bounds[:, 1] - bounds[:, 0] == 2, 0]
+        two = two[docs[two] != docs[two + 1]]
+        if len(two):
+            left, right = self.pairs(contents, two, two + 1)
+            later = two + (docs[two + 1] > docs[two])
+            some = left + right >= self.window
+            start[later[some]], end[later[some]] = -left[some], right[some]
+        more = bounds[bounds[:, 1] - bounds[:, 0] > 2]
+        for a, b in more.tolist():
             own = docs[a:b].tolist()
             if min(own) == max(own):
                 continue
-            for left, right, members in self.repeats(texts[a:b]):
-                least = min(own[i] for i in members)
+            # Members with equal contents are one suffix, which has the smallest of their documents.
+            suffix: dict[bytes, list[int]] = {}
+            for i, c in enumerate(contents[a:b].to_pylist()):
+                suffix.setdefault(c, []).append(i)
+            least = [min(own[i] for i in members) for members in suffix.values()]
+            spans = [(0, 0)] * len(suffix)
+            if len(suffix) > 1:
+                for left, right, members in self.repeats(list(suffix)):
+                    first = min(least[j] for j in members)
+                    for j in members:
+                        if least[j] > first:
+                            # All stretches hold the anchor, so their union is one.
+                            spans[j] = (min(spans[j][0], -left), max(spans[j][1], right))
+            for (content, members), low, span in zip(suffix.items(), least, spans, strict=True):
+                whole = (-content[0], self.anchor + len(content) - 1 - content[0])
                 for i in members:
-                    if own[i] > least:
-                        # All stretches hold the anchor, so their union is one.
-                        start[a + i] = min(start[a + i], -left)
-                        end[a + i] = max(end[a + i], right)
+                    start[a + i], end[a + i] = whole if own[i] > low else span
         return start, end
 
 
