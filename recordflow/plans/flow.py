@@ -39,6 +39,11 @@ log = logging.getLogger(__name__)
 # Steps that give one row for each of their input.
 ROW_KEEPING_STEPS = ("add_fields", "rename_columns", "drop_columns", "select_columns", "window")
 
+# Fields that have one value in all rows of a run.
+CONSTANT_FIELDS = ("literal", "current_date", "current_timestamp")
+# Whole rows are staged, random ids among them, which the session's usual codec leaves as long as they are.
+STAGED_CODEC = "zstd"
+
 HOT_KEYS, DUPLICATES, PIVOT_VALUES, LEVELS = "hot keys", "duplicates", "pivot values", "levels of a range join"
 
 
@@ -132,6 +137,18 @@ class FlowPlan:
             self._cheap[position] = cheap
         return self._cheap[position]
 
+    def constants(self, position: int) -> set[str]:
+        """Columns, in lower case, that an ``add_fields`` gives one value in all rows of this node."""
+        node = self.nodes[position]
+        if node.kind != "step" or node.step.type not in ("add_fields", "drop_columns", "select_columns", "filter"):
+            return set()
+        found = self.constants(node.parents[0])
+        # Later fields of a step replace earlier ones of their name.
+        for config in (node.step.params.get("addFields") or []) if node.step.type == "add_fields" else []:
+            name = config["name"].lower()
+            found = found | {name} if config.get("function") in CONSTANT_FIELDS else found - {name}
+        return found
+
     def is_staged(self, position: int) -> bool:
         """Whether a run writes this node once instead of computing it for every reader."""
         node, mode = self.nodes[position], self.flow.settings.staging
@@ -195,7 +212,7 @@ class CompiledFlow:
         Raises FlowFailed, which carries the report, when the run stops.
         """
         report = RunReport.start(run_id or f"direct_{uuid.uuid4().hex}", self.flow, self.spec_version)
-        area = StagingArea(self.spark, report.pipeline_id)
+        area = StagingArea(self.spark, report.pipeline_id, STAGED_CODEC)
         self._source_frames.clear()
         try:
             with tuned(self.spark), area.watched():
@@ -402,6 +419,9 @@ class _Run:
     def _write(self, sink: Sink, position: int) -> dict[str, Any]:
         observation = Observation(f"{self.report.pipeline_id}_{sink.name}")
         started = time.monotonic()
+        if sink.partition_by and sink.rebalance is None and {name.lower() for name in sink.partition_by} <= self.plan.constants(position):
+            # One folder takes all rows, and each task one file in it, as without partitions.
+            sink = replace(sink, rebalance=False)
         write_sink(self.frames[position], sink, observation, stable=position in self.cheap)
         log.info("sink %s written in %.1f s", sink.name, time.monotonic() - started)
         written = observed(observation)

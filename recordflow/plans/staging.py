@@ -37,12 +37,13 @@ class StagingArea:
     """A folder of staged tables that belongs to one run.
 
     Tables behind lazy frames must outlive the call that made them: what nobody has discarded goes
-    when the program ends, if its session still runs then.
+    when the program ends, if its session still runs then. Tables have the session's Parquet codec unless ``compression`` names one.
     """
 
-    def __init__(self, spark: SparkSession, run_id: str | None = None):
+    def __init__(self, spark: SparkSession, run_id: str | None = None, compression: str | None = None):
         self.spark = spark
         self.run_id = run_id or uuid.uuid4().hex
+        self.compression = compression
         self._count = 0
 
     @property
@@ -58,7 +59,7 @@ class StagingArea:
     def stage(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` as Parquet and return the table read back with the same schema."""
         path = self.new_path(label)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=self.compression)
         return self.spark.read.schema(df.schema).parquet(path)
 
     @contextmanager

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 from recordflow import CompiledFlow, FlowFailed, RuleRegistry, Spec, SpecError, run_flow
+from recordflow.plans import flow as flows
 from recordflow.plans.flow import FlowPlan
 from recordflow.plans.staging import checkpoint_root
 from tests.conftest import rows
@@ -129,6 +130,46 @@ def test_staged_tables_are_removed(spark, tmp_path):
     assert not os.path.exists(f"{root}/{gone.pipeline_id}")
 
 
+def test_rows_are_shuffled_for_partitions_that_differ_only(spark, tmp_path, monkeypatch):
+    """The rejects go to the folder of the run's date, the others to folders by a column."""
+    write_input(tmp_path / "in", valid_records(30) + rejects())
+    asked, write = {}, flows.write_sink
+    monkeypatch.setattr(flows, "write_sink", lambda df, sink, *a, **k: asked.update({sink.name: sink.rebalance}) or write(df, sink, *a, **k))
+    document = spec(tmp_path, quality_rules={"min_valid_record_percentage": 20})
+    assert run_flow(spark, document, run_time=RUN_TIME).status == "success"
+    assert asked == {"rejects": False, "lines": None, "by_cover": None}
+    assert spark.read.json(f"{tmp_path}/rejects").count() == 20
+
+    steps = document["dataflows"][0]["transformations"]
+    steps.append({"name": "kept", "type": "filter", "params": {"input": "ko", "condition": "premium > 0"}})
+    changed = [{"name": "Noted_On", "function": "expr", "expression": "driver_age"}, {"name": "lot", "function": "literal", "value": 1}]
+    steps.append({"name": "changed", "type": "add_fields", "params": {"input": "kept", "addFields": changed}})
+    plan = FlowPlan(Spec.from_dict(document).dataflow())
+    assert plan.constants(plan.names["kept"]) == {"noted_on", "noted"}
+    assert plan.constants(plan.names["changed"]) == {"noted", "lot"}
+    assert plan.constants(plan.names["unique"]) == plan.constants(plan.names["raw"]) == set()
+
+
+def test_staged_rows_are_packed(spark, tmp_path):
+    write_input(tmp_path / "in", valid_records(3))
+    kept = CompiledFlow(spark, spec(tmp_path)).run(keep_staged=True)
+    files = glob.glob(f"{checkpoint_root(spark)}/recordflow/{kept.pipeline_id}/*/*.parquet")
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+
+
+def test_json_of_the_shipments_is_packed(spark, sf_dir):
+    """Whole rows, in a third of the bytes of their text at most."""
+    from workload.files import run_shipments
+
+    compiled, report = run_shipments(spark, sf_dir)
+    counts = {item["name"]: item.get("record_count") for stage in report.stages for item in stage["data"]}
+    places = {"lines": compiled.flow.sources[0].path, "feed": compiled.flow.sinks[1].paths[0], "returned": compiled.flow.sinks[3].paths[0]}
+    for name, path in places.items():
+        text = spark.read.text(path).selectExpr("count(value) AS n", "sum(length(value)) AS size").first()
+        assert text["n"] == counts[name]
+        assert sum(os.path.getsize(file) for file in glob.glob(f"{path}/**/part-*", recursive=True)) * 3 < text["size"], name
+
+
 def test_gate_stops_a_run_before_any_write(spark, tmp_path):
     write_input(tmp_path / "in", valid_records(30) + rejects())
     document = spec(tmp_path, quality_rules={"min_valid_record_percentage": 80})
