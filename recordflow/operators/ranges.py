@@ -3,11 +3,13 @@
 Compared values become whole numbers in the same order. An interval has a level by its length, so that it spans two bins of its
 level's width at most, and rows meet in bins: each goes to those of its own level, and to those of wider levels that the other side has.
 Whatever their lengths, a row is copied at most twice per level, and adaptive execution divides bins with very many rows.
+Where few rows would meet in the widest bins alone, as within the days of a user, all rows go to these, and none is copied for other levels.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from copy import copy
 from functools import reduce
 from typing import Any
 
@@ -17,12 +19,17 @@ from pyspark.sql import types as T
 
 from recordflow.errors import SpecError
 from recordflow.functions.columns import FLOATING, INTEGRAL, column_of, known_columns, type_of
+from recordflow.plans.staging import is_repeatable
 
 BOUNDS = ("[]", "[)", "(]", "()")
 
 #: Widths of bins are powers of 4, up to one bin for all values below 0 and one for the others.
 LEVELS = (*range(0, 63, 2), 63)
 
+#: Pairs to compare for each row, and within one bin, up to which all rows may go to the widest bins: less work than their copies.
+PAIRS_PER_ROW = 32
+PAIRS_PER_BIN = 10**8
+
 
 class Range:
     """What a step's ``between`` or ``overlaps`` says: the columns of both sides, and the comparison."""
@@ -103,7 +110,13 @@ class _Side:
 
     def levels(self) -> list[int]:
         """The levels that occur, of ``LEVELS`` at most."""
-        return sorted(r[0] for r in self.rows.select(f"{self.alias}_level").distinct().collect())
+        return sorted(_rows_by_level(self)[self.alias])
+
+    def raised(self, level: int) -> _Side:
+        """The same rows, all at one level that is as wide as any of theirs."""
+        other = copy(self)
+        other.rows = self.rows.withColumn(f"{self.alias}_level", F.lit(level))
+        return other
 
     def in_bins(self, others: list[int]) -> DataFrame:
         """A row for each bin: of the own level, and of each wider level of the other side."""
@@ -125,14 +138,43 @@ def _shifted(column: Column, level: Column) -> Column:
     return F.call_function("shiftright", column, level)
 
 
+def _rows_by_level(*sides: _Side) -> dict[str, dict[int, int]]:
+    """For each side the number of rows by level; one job, so that what both sides read is read once."""
+    levels = reduce(DataFrame.union, [side.rows.select(F.lit(side.alias).alias("side"), F.col(f"{side.alias}_level").alias("level")) for side in sides])
+    found: dict[str, dict[int, int]] = {side.alias: {} for side in sides}
+    for row in levels.groupBy("side", "level").count().collect():
+        found[row["side"]][row["level"]] = row["count"]
+    return found
+
+
+def _few_meet(a: _Side, b: _Side, pairs: list[tuple[str, str]], level: int, n_rows: int) -> bool:
+    """Whether few pairs would meet if all rows were in bins of this level. Rows are counted by bin and key, added up before the shuffle."""
+    counts = []
+    for side, names in ((a, [x for x, _ in pairs]), (b, [y for _, y in pairs])):
+        keys = [F.col(f"{side.alias}.`{name}`").alias(f"{side.alias}_{i}") for i, name in enumerate(names)]
+        binned = side.raised(level).in_bins([]).select(F.col(f"{side.alias}_at.bin").alias(f"{side.alias}_bin"), *keys)
+        counts.append(binned.groupBy(*binned.columns).agg(F.count(F.lit(1)).cast("double").alias(f"{side.alias}_n")))
+    same = reduce(lambda x, y: x & y, [F.col(f"l_{k}") == F.col(f"r_{k}") for k in ("bin", *range(len(pairs)))])
+    meeting = F.col("l_n") * F.col("r_n")
+    found = counts[0].join(counts[1], same).agg(F.sum(meeting).alias("pairs"), F.max(meeting).alias("hottest")).first()
+    return (found["pairs"] or 0) <= PAIRS_PER_ROW * n_rows and (found["hottest"] or 0) <= PAIRS_PER_BIN
+
+
 def pairs_in_range(left: DataFrame, right: DataFrame, found: Range, pairs: list[tuple[str, str]], match: Column, measured: bool = True) -> DataFrame:
     """The structs ``l`` and ``r`` of all rows that match, by bins and the equalities ``pairs``.
 
-    With ``measured``, the levels that occur are looked up first; else rows go to the bins of all levels that there could be.
+    With ``measured``, the levels that occur are looked up first, and whether the widest do alone; else rows go to the bins of all
+    levels that there could be.
     """
     whole = all(not isinstance(type_of(df, n), (*FLOATING, T.DecimalType)) for df, names in zip((left, right), found.ends, strict=True) for n in names)
     a, b = (_Side(df, alias, ends, whole) for df, alias, ends in zip((left, right), "lr", found.ends, strict=True))
-    of_a, of_b = ((a.levels(), b.levels()) if measured else (list(LEVELS),) * 2)
+    of_a, of_b = list(LEVELS), list(LEVELS)
+    if measured and is_repeatable(left) and is_repeatable(right):  # other rows might come with other levels than those looked up
+        rows = _rows_by_level(a, b)
+        of_a, of_b = sorted(rows["l"]), sorted(rows["r"])
+        widest = max([*of_a, *of_b], default=0)
+        if len({*of_a, *of_b}) > 1 and _few_meet(a, b, pairs, widest, sum(rows["l"].values()) + sum(rows["r"].values())):
+            a, b, of_a, of_b = a.raised(widest), b.raised(widest), [], []
     at = F.col("l_at")
     same = [at == F.col("r_at"), *[F.col(f"l.`{x}`") == F.col(f"r.`{y}`") for x, y in pairs]]
     # Of the bins that two rows share, they are compared in the one where the later begins, at the wider of their levels.

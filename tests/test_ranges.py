@@ -147,6 +147,33 @@ def test_a_row_is_copied_twice_per_level_at_most(spark):
     assert side.in_bins(levels).groupBy("l").count().agg(F.max("count")).first()[0] <= 2 * len(levels)
 
 
+def binned_rows(monkeypatch):
+    """The frames of rows in bins that a join was made of, in order."""
+    made, in_bins = [], ranges._Side.in_bins
+    monkeypatch.setattr(ranges._Side, "in_bins", lambda self, others: made.append(in_bins(self, others)) or made[-1])
+    return made
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_rows_that_meet_few_others_are_copied_for_no_levels(spark, monkeypatch, hot):
+    """Intervals of many lengths, on few days of many users; of one user only, they go to the bins of their levels again."""
+    rng = random.Random(3)
+    make = lambda: [(1 if hot else i % 100, i, a := rng.randint(0, 2**25 if hot else 2**30), a + rng.choice([0, 0, 0, 50, 9000, 2**16, 2**22])) for i in range(1500)]
+    left, right = make(), make()
+    l_df, r_df = (spark.createDataFrame(x, "u int, k int, a long, b long") for x in (left, right))
+    made = binned_rows(monkeypatch)
+    params = {"on": ["u"], "overlaps": {"left": ["a", "b"], "right": ["a", "b"]}}
+    joined = relational.join(l_df, r_df, params, look_for_skew=True)
+    test = lambda x, y: x[0] == y[0] and x[2] <= y[3] and y[2] <= x[3]
+    assert rows_of(joined, "k", "k_right") == sorted((x[1], y[1]) for x in left for y in right if test(x, y))
+    copies = sum(frame.count() for frame in made[-2:]) / 3000
+    assert copies > 3 if hot else copies < 1.5
+
+
+def rows_of(df, *names):
+    return sorted(tuple(row[name] for name in names) for row in df.collect())
+
+
 def test_faults_are_told(spark):
     l_df, r_df = spark.createDataFrame([(1, "x")], "v int, t string"), spark.createDataFrame([(1, 2)], "low int, high int")
     between = {"value": "v", "low": "low", "high": "high"}
