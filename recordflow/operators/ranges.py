@@ -105,24 +105,34 @@ class _Side:
         bits = F.when(length.isNull(), 63).when(length == 0, 0).otherwise(F.length(F.bin(length)))
         level = F.when(bits > 62, 63).otherwise(F.ceil(bits / 2) * 2).cast("int")  # a power of 4 above the length
         row = F.struct(*[column_of(df, c).alias(c) for c in df.columns]).alias(alias)
-        self.alias = alias
+        self.alias, self.is_value, self.is_repeatable = alias, ends[0] == ends[1], is_repeatable(df)
         self.rows = df.where(low <= high).select(row, low.alias(f"{alias}_low"), high.alias(f"{alias}_high"), level.alias(f"{alias}_level"))
 
     def levels(self) -> list[int]:
         """The levels that occur, of ``LEVELS`` at most."""
         return sorted(_rows_by_level(self)[self.alias])
 
+    def possible_levels(self) -> list[int] | Column:
+        """The levels that rows can have, without a job: those that occur are found by the query itself, if rows come out the same there."""
+        if self.is_value:
+            return [0]
+        if not self.is_repeatable:
+            return list(LEVELS)
+        return self.rows.agg(F.collect_set(f"{self.alias}_level")).scalar()
+
     def raised(self, level: int) -> _Side:
         """The same rows, all at one level that is as wide as any of theirs."""
         other = copy(self)
         other.rows = self.rows.withColumn(f"{self.alias}_level", F.lit(level))
         return other
 
-    def in_bins(self, others: list[int]) -> DataFrame:
+    def in_bins(self, others: list[int] | Column) -> DataFrame:
         """A row for each bin: of the own level, and of each wider level of the other side."""
         a = self.alias
         own = F.col(f"{a}_level")
-        levels = F.concat(F.array(own), F.filter(F.array(*[F.lit(x) for x in others]).cast("array<int>"), lambda x: x > own))
+        others = others if isinstance(others, Column) else F.array(*[F.lit(x) for x in others]).cast("array<int>")
+        # A column of its own, as there are no subqueries within functions of arrays.
+        levels = F.concat(F.array(own), F.filter(f"{a}_others", lambda x: x > own))
         bins = F.transform(
             levels,
             lambda x: F.transform(
@@ -130,7 +140,7 @@ class _Side:
                 lambda b: F.struct(x.alias("level"), b.alias("bin")),
             ),
         )
-        return self.rows.withColumn(f"{a}_at", F.explode(F.flatten(bins)))
+        return self.rows.withColumn(f"{a}_others", others).withColumn(f"{a}_at", F.explode(F.flatten(bins))).drop(f"{a}_others")
 
 
 def _shifted(column: Column, level: Column) -> Column:
@@ -163,18 +173,19 @@ def _few_meet(a: _Side, b: _Side, pairs: list[tuple[str, str]], level: int, n_ro
 def pairs_in_range(left: DataFrame, right: DataFrame, found: Range, pairs: list[tuple[str, str]], match: Column, measured: bool = True) -> DataFrame:
     """The structs ``l`` and ``r`` of all rows that match, by bins and the equalities ``pairs``.
 
-    With ``measured``, the levels that occur are looked up first, and whether the widest do alone; else rows go to the bins of all
-    levels that there could be.
+    With ``measured``, the levels that occur are looked up first, and whether the widest do alone; else no job is started, and the levels
+    are found by a subquery. Of rows that differ when they are computed again, all levels that there could be are taken.
     """
     whole = all(not isinstance(type_of(df, n), (*FLOATING, T.DecimalType)) for df, names in zip((left, right), found.ends, strict=True) for n in names)
     a, b = (_Side(df, alias, ends, whole) for df, alias, ends in zip((left, right), "lr", found.ends, strict=True))
-    of_a, of_b = list(LEVELS), list(LEVELS)
-    if measured and is_repeatable(left) and is_repeatable(right):  # other rows might come with other levels than those looked up
+    if measured and a.is_repeatable and b.is_repeatable:  # other rows might come with other levels than those looked up
         rows = _rows_by_level(a, b)
         of_a, of_b = sorted(rows["l"]), sorted(rows["r"])
         widest = max([*of_a, *of_b], default=0)
         if len({*of_a, *of_b}) > 1 and _few_meet(a, b, pairs, widest, sum(rows["l"].values()) + sum(rows["r"].values())):
             a, b, of_a, of_b = a.raised(widest), b.raised(widest), [], []
+    else:
+        of_a, of_b = a.possible_levels(), b.possible_levels()
     at = F.col("l_at")
     same = [at == F.col("r_at"), *[F.col(f"l.`{x}`") == F.col(f"r.`{y}`") for x, y in pairs]]
     # Of the bins that two rows share, they are compared in the one where the later begins, at the wider of their levels.

@@ -170,6 +170,25 @@ def test_rows_that_meet_few_others_are_copied_for_no_levels(spark, monkeypatch,
     assert copies > 3 if hot else copies < 1.5
 
 
+def test_lazy_rows_go_to_levels_that_occur(spark, monkeypatch):
+    """Planned without a job, values are copied for the levels of the intervals, and these for none but their own."""
+    points = spark.range(500).selectExpr("id AS k", "id AS v")
+    spans = spark.range(60).selectExpr("id AS w", "id * 8 AS low", "id * 8 + IF(id % 2 = 0, 3, 40) AS high")
+    made = binned_rows(monkeypatch)
+    context = spark.sparkContext
+    context.setJobGroup("lazy range join", "none is started")
+    joined = relational.join(points, spans, {"between": {"value": "v", "low": "low", "high": "high"}, "how": "left"})
+    assert list(context.statusTracker().getJobIdsForGroup("lazy range join")) == []
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert [frame.groupBy(frame[0]).count().agg(F.max("count")).first()[0] for frame in made] == [3, 2]
+    spans_now = [(r["w"], r["low"], r["high"]) for r in spans.collect()]
+    assert got(joined.where("w IS NOT NULL").select("k", "w")) == sorted(((v, w) for v in range(500) for w, low, high in spans_now if low <= v <= high), key=repr)
+    assert joined.where("w IS NULL").count() == sum(not any(low <= v <= high for _, low, high in spans_now) for v in range(500))
+    drawn = spans.withColumn("high", F.expr("low + cast(1000 * rand() AS long)"))
+    assert ranges._Side(drawn, "r", ["low", "high"], True).possible_levels() == list(ranges.LEVELS)
+    assert ranges._Side(drawn, "r", ["low", "low"], True).possible_levels() == [0]
+
+
 def rows_of(df, *names):
     return sorted(tuple(row[name] for name in names) for row in df.collect())
 
