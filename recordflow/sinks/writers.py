@@ -5,8 +5,9 @@ from __future__ import annotations
 import logging
 from collections import Counter
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from recordflow.errors import SpecError
@@ -17,6 +18,10 @@ from recordflow.sources.readers import require_format
 
 log = logging.getLogger(__name__)
 
+# Partition values whose files a task holds open at once. Rows of these are written as they come; only with more values are the rest sorted.
+OPEN_FILES = 8
+OPEN_FILES_CONF = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def check_sink_columns(df: DataFrame, sink: Sink) -> None:
     """Partition columns must exist and leave at least one column for the files."""
@@ -41,7 +46,8 @@ def write_sink(df: DataFrame, sink: Sink, counter: Observation | None = None, st
             return write_sink(area.stage(df, sink.name), sink, counter, stable=True)
         finally:
             area.discard()
-    if bool(sink.partition_by) if sink.rebalance is None else sink.rebalance:
+    rebalance = bool(sink.partition_by) if sink.rebalance is None else sink.rebalance
+    if rebalance:
         # Adaptive execution then cuts a hot partition value into files of the advisory size and
         # packs small ones together; without it every task would write a file per value.
         df = df.hint("rebalance", *sink.partition_by) if sink.partition_by else df.hint("rebalance")
@@ -53,11 +59,25 @@ def write_sink(df: DataFrame, sink: Sink, counter: Observation | None = None, st
         options.setdefault("ignoreNullFields", "false")
     if sink.overwrite_partitions:
         options["partitionOverwriteMode"] = "dynamic"
-    for path in sink.paths:
-        writer = df.write.format(sink.format).mode(sink.mode).options(**options)
-        if sink.partition_by:
-            writer = writer.partitionBy(*sink.partition_by)
-        writer.save(path)
+    with _open_files(df.sparkSession, 0 if rebalance or not sink.partition_by else OPEN_FILES):
+        for path in sink.paths:
+            writer = df.write.format(sink.format).mode(sink.mode).options(**options)
+            if sink.partition_by:
+                writer = writer.partitionBy(*sink.partition_by)
+            writer.save(path)
+
+
+@contextmanager
+def _open_files(spark: SparkSession, n: int):
+    """Let tasks hold ``n`` files open, unless the session says how many; a task's rows, which no shuffle has sized, then need no sort."""
+    if not n or spark.conf.get(OPEN_FILES_CONF, None) is not None:
+        yield
+        return
+    spark.conf.set(OPEN_FILES_CONF, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.unset(OPEN_FILES_CONF)
 
 
 def write_sinks(frames: Mapping[str, DataFrame], sinks: Sequence[Sink]) -> dict[str, bool]:

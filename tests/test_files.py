@@ -3,11 +3,12 @@ import os
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from recordflow import Sink, Source, SpecError
 from recordflow.operators.validate import ERRORS, split
-from recordflow.sinks.writers import snapshot, write_sink, write_sinks
+from recordflow.sinks.writers import OPEN_FILES, OPEN_FILES_CONF, snapshot, write_sink, write_sinks
 from recordflow.sources.readers import preflight, read_source, read_sources, require_input
 from tests.conftest import rows
 
@@ -96,6 +97,27 @@ def test_partitioned_write(spark, data, tmp_path, rebalance):
     assert rows(spark.read.parquet(str(tmp_path / "o")), "id", "g", "v") == rows(data)
 
 
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_rows_that_no_shuffle_sized_are_not_sorted(spark, tmp_path, monkeypatch, rebalance):
+    """A task has files open for some values at once; rows of further values come after a sort, and none is lost."""
+    seen, save = [], DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "save", lambda *a, **k: seen.append(spark.conf.get(OPEN_FILES_CONF, None)) or save(*a, **k))
+    many = spark.range(0, 4000, 1, 2).withColumn("g", F.col("id") % (3 * OPEN_FILES))
+    write_sink(many, sink(tmp_path / "o", partition_by=("g",), rebalance=rebalance))
+    assert seen == [None if rebalance else str(OPEN_FILES)]
+    assert rows(spark.read.parquet(str(tmp_path / "o")), "id", "g") == rows(many)
+    if not rebalance:
+        assert len(glob.glob(f"{tmp_path}/o/g=*/*.parquet")) == 2 * 3 * OPEN_FILES
+
+    assert spark.conf.get(OPEN_FILES_CONF, None) is None
+    spark.conf.set(OPEN_FILES_CONF, "3")
+    try:
+        write_sink(many, sink(tmp_path / "own", partition_by=("g",), rebalance=rebalance))
+        assert seen[-1] == spark.conf.get(OPEN_FILES_CONF) == "3"
+    finally:
+        spark.conf.unset(OPEN_FILES_CONF)
+
+
 def test_fan_out(spark, data, tmp_path):
     write_sink(data, Sink("k", "data", (str(tmp_path / "a"), str(tmp_path / "b")), "parquet"))
     assert rows(spark.read.parquet(str(tmp_path / "a"))) == rows(spark.read.parquet(str(tmp_path / "b"))) == rows(data)
