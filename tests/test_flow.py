@@ -170,6 +170,20 @@ def test_json_of_the_shipments_is_packed(spark, sf_dir):
         assert sum(os.path.getsize(file) for file in glob.glob(f"{path}/**/part-*", recursive=True)) * 3 < text["size"], name
 
 
+def test_the_shipments_are_shuffled_for_no_folder(spark, sf_dir, monkeypatch):
+    """Seven years, and one day of rejects: each task writes a file per folder as the rows come."""
+    from workload.files import run_shipments
+
+    asked, write = {}, flows.write_sink
+    monkeypatch.setattr(flows, "write_sink", lambda df, sink, *a, **k: asked.update({sink.name: sink.rebalance}) or write(df, sink, *a, **k))
+    compiled, report = run_shipments(spark, sf_dir)
+    assert asked == {"by-year": False, "feed": None, "totals": None, "returned": False}
+    counts = {item["name"]: item.get("record_count") for item in report.stages[-1]["data"]}
+    facts = spark.read.parquet(compiled.flow.sinks[0].paths[0])
+    assert facts.count() == counts["by-year"] == counts["feed"]
+    assert facts.filter("ship_year <> year(l_shipdate)").isEmpty()
+
+
 def test_gate_stops_a_run_before_any_write(spark, tmp_path):
     write_input(tmp_path / "in", valid_records(30) + rejects())
     document = spec(tmp_path, quality_rules={"min_valid_record_percentage": 80})

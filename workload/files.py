@@ -262,7 +262,7 @@ def shipment_spec(area: StagingArea, min_valid: float = 20) -> dict:
                 "transformations": steps,
                 "sinks": [
                     {"input": "facts", "name": "by-year", "paths": [area.new_path("facts")], "format": "PARQUET",
-                     "saveMode": "OVERWRITE", "partitionBy": ["ship_year"], "options": {"compression": "zstd"}},
+                     "saveMode": "OVERWRITE", "partitionBy": ["ship_year"], "rebalance": False, "options": {"compression": "zstd"}},
                     {"input": "facts", "name": "feed", "paths": [area.new_path("feed")], "format": "JSON",
                      "saveMode": "APPEND", "options": PACKED_JSON},
                     {"input": "suppliers", "name": "totals", "paths": [area.new_path("totals")], "format": "PARQUET"},
