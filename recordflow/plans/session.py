@@ -14,6 +14,8 @@ TUNING = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Split a hot join key even where that costs another shuffle further on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Staged tables are packed, so the usual 128 MB of one can hold more rows than a task sorts in memory.
+    "spark.sql.files.maxPartitionBytes": "32m",
 }
 
 

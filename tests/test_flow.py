@@ -184,6 +184,22 @@ def test_the_shipments_are_shuffled_for_no_folder(spark, sf_dir, monkeypatch):
     assert facts.filter("ship_year <> year(l_shipdate)").isEmpty()
 
 
+def test_a_run_reads_in_small_splits_unless_told_otherwise(spark, tmp_path, monkeypatch):
+    """A split of a packed staged table holds many rows, and a task sorts those in memory."""
+    write_input(tmp_path / "in", valid_records(3))
+    name, seen, write = "spark.sql.files.maxPartitionBytes", set(), flows.write_sink
+    monkeypatch.setattr(flows, "write_sink", lambda df, *a, **k: seen.add(spark.conf.get(name)) or write(df, *a, **k))
+    assert spark.conf.get(name, None) is None
+    assert run_flow(spark, spec(tmp_path)).status == "success"
+    assert seen == {"32m"} and spark.conf.get(name, None) is None
+    spark.conf.set(name, "1m")
+    try:
+        assert run_flow(spark, spec(tmp_path)).status == "success"
+        assert seen == {"32m", "1m"} and spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.unset(name)
+
+
 def test_gate_stops_a_run_before_any_write(spark, tmp_path):
     write_input(tmp_path / "in", valid_records(30) + rejects())
     document = spec(tmp_path, quality_rules={"min_valid_record_percentage": 80})
